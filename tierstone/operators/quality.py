@@ -60,11 +60,16 @@ def write_with_quarantine(df: DataFrame, rules: Mapping[str, str], path: str) ->
 
 
 def read_passed(stored: DataFrame) -> DataFrame:
-    return stored.filter(~F.col("_quarantined")).drop("_quarantined", FAILED)
+    return stored.filter(~_in_quarantine()).drop("_quarantined", FAILED)
 
 
 def read_quarantined(stored: DataFrame) -> DataFrame:
-    return stored.filter("_quarantined").drop("_quarantined")
+    return stored.filter(_in_quarantine()).drop("_quarantined")
+
+
+def _in_quarantine() -> Column:
+    # folder names are text
+    return F.col("_quarantined").cast("boolean")
 
 
 def quality_metrics(

@@ -145,31 +145,34 @@ def rank_within(
     key in one task: equal values collapse to a count before the shuffle, distinct values are
     ranked inside value bins, and bins are offset by the running count of the bins above.
     """
-    keys = list(keys)
-    parts = [*keys, "_bin"]
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    spans = counts.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    ks = [f"_k{i}" for i in range(len(keys))]
+
+    def null_safe(left: Sequence[str], right: Sequence[str]) -> list[Column]:
+        return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+
+    def renamed(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+        """Own names for the join columns of one side; ``df`` is on both sides of every join."""
+        return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
+
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.col(value).alias("_v")).agg(
+        F.count("*").alias("_n")
+    )
+    spans = renamed(counts.groupBy(*ks).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), ks, "s")
     wide = F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
-    from_top = F.floor((F.col("_hi") - F.col(value)).cast("double") / wide * (bins - 1))
+    from_top = F.floor((F.col("_hi") - F.col("_v")).cast("double") / wide * (bins - 1))
     # NULLs sort last, so they take the bin after all others
-    bin_no = F.when(F.col(value).isNull(), bins).otherwise(F.coalesce(from_top, F.lit(0))).cast("int")
-    same_keys = [counts[k].eqNullSafe(spans[k]) for k in keys]
-    binned = counts.join(spans, same_keys).select(
-        *[counts[k] for k in keys], value, "_n", bin_no.alias("_bin")
-    )
-    above = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = binned.groupBy(*parts).agg(F.sum("_n").alias("_bin_n")).select(
-        *parts, F.coalesce(F.sum("_bin_n").over(above), F.lit(0)).alias("_above")
-    )
-    higher = (
-        Window.partitionBy(*parts).orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    bin_no = F.when(F.col("_v").isNull(), bins).otherwise(F.coalesce(from_top, F.lit(0))).cast("int")
+    binned = counts.join(spans, null_safe(ks, [f"s{k}" for k in ks])).select(*ks, "_v", "_n", bin_no.alias("_bin"))
+    parts = [*ks, "_bin"]
+    above = Window.partitionBy(*ks).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = renamed(
+        binned.groupBy(*parts).agg(F.sum("_n").alias("_bin_n")).select(
+            *parts, F.coalesce(F.sum("_bin_n").over(above), F.lit(0)).alias("_above")
+        ), parts, "o",
     )
+    higher = Window.partitionBy(*parts).orderBy(F.desc_nulls_last("_v")).rowsBetween(Window.unboundedPreceding, -1)
     inside = binned.withColumn("_inside", F.coalesce(F.sum("_n").over(higher), F.lit(0)))
-    same_part = [inside[k].eqNullSafe(offsets[k]) for k in parts]
-    ranked = inside.join(offsets, same_part).select(
-        *[inside[k].alias(f"_k_{k}") for k in keys],
-        inside[value].alias("_k_value"),
-        (F.col("_above") + F.col("_inside") + 1).alias(name),
+    ranked = inside.join(offsets, null_safe(parts, [f"o{p}" for p in parts])).select(
+        *ks, "_v", (F.col("_above") + F.col("_inside") + 1).alias(name)
     )
-    on = [df[k].eqNullSafe(ranked[f"_k_{k}"]) for k in keys] + [df[value].eqNullSafe(ranked["_k_value"])]
-    return df.join(ranked, on, "left").select(*[df[c] for c in df.columns], name)
+    return df.join(ranked, null_safe([*keys, value], [*ks, "_v"]), "left").select(*df.columns, name)
