@@ -14,8 +14,11 @@ BOM = "\ufeff"
 
 
 def trim_whitespace(c: Column) -> Column:
-    """Strip every kind of leading and trailing whitespace (``trim`` only knows the space)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Strip every kind of leading and trailing whitespace (``trim`` alone only knows the space).
+
+    The characters are those of the regular expression ``\\s``; a byte scan is much cheaper.
+    """
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def sentinel_to_null(c: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierstone.operators.skew import (
     ROWS_PER_TASK,
     SEGMENT,
-    hot_key_spans,
+    find_hot_keys,
     only_hot_keys,
     with_neighbours,
     with_next_two,
@@ -50,15 +50,18 @@ def scd2_build(
     copies are combined before the shuffle; without such keys the plan has no such branch.
     ``events`` is read more than once, so pass a stored table.
     """
-    keyed = _keyed(events, keys, sequence).withColumn("_start", F.col(sequence))
-    hot = hot_key_spans(keyed, keys, sequence, rows_per_task)
+    keyed = _keyed(events, keys, sequence)
+    hot = find_hot_keys(keyed, keys, sequence, rows_per_task)
     if close_missing is not None:
         keyed = _with_due(keyed, sequence, close_missing)
     return _build(keyed, hot, keys, sequence, tracked, drop, tiebreak, untracked)
 
 
 def _keyed(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
-    return df.dropna(subset=[*keys, sequence])
+    # one condition per column: these reach the scan, a dropna does not
+    for c in [*keys, sequence]:
+        df = df.filter(F.col(c).isNotNull())
+    return df
 
 
 def unkeyed_rows(events: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
@@ -100,10 +103,14 @@ def _build(
     else:
         compared = [c for c in tracked if c in values]
     kept = [c for c in df.columns if c not in drop]
-    newest = [*tiebreak, "_hash"]
-    df = df.withColumn("_hash", F.xxhash64(*[c for c in df.columns if c not in inner]))
-    df = df.select(*kept, *[F.col(c).alias(f"_t_{c}") for c in newest])
-    newest = [f"_t_{c}" for c in newest]
+    # the hash covers what is kept, so dropped columns are not even read unless they break ties
+    ranks = {c: c if c in kept else f"_t_{c}" for c in tiebreak}
+    df = df.select(
+        *kept,
+        *[F.col(c).alias(n) for c, n in ranks.items() if n != c],
+        F.xxhash64(*[c for c in kept if c not in inner]).alias("_t_hash"),
+    )
+    newest = [*ranks.values(), "_t_hash"]
 
     finish = partial(_versions, keys=keys, sequence=sequence, values=values, compared=compared)
     if hot is None:
@@ -119,12 +126,16 @@ def _newest_by_sort(df: DataFrame, keys: list[str], sequence: str, newest: list[
     sort by (key, sequence, tiebreak) also serves every later window on (key, sequence)."""
     w = Window.partitionBy(*keys).orderBy(sequence, *newest)
     after = F.lead(sequence).over(w)
-    return df.withColumn("_after", after).filter(~F.col("_after").eqNullSafe(F.col(sequence))).drop("_after", *newest)
+    return df.withColumn("_after", after).filter(~F.col("_after").eqNullSafe(F.col(sequence))).drop("_after", *_helpers(newest))
+
+
+def _helpers(newest: list[str]) -> list[str]:
+    return [c for c in newest if c.startswith("_t_")]
 
 
 def _newest_by_combine(df: DataFrame, keys: list[str], sequence: str, newest: list[str]) -> DataFrame:
     """The same by aggregation, so that copies collapse before the shuffle."""
-    rest = [c for c in df.columns if c not in keys and c != sequence and c not in newest]
+    rest = [c for c in df.columns if c not in keys and c != sequence and c not in _helpers(newest)]
     best = df.groupBy(*keys, sequence).agg(F.max_by(F.struct(*rest), F.struct(*newest)).alias("_best"))
     return best.select(*keys, sequence, "_best.*")
 
@@ -138,6 +149,8 @@ def _versions(
     shown values, and the first of the next version gives the end.
     """
     gaps = "_due" in df.columns
+    # a carried open version starts before its last observation; any other row starts at its own
+    start = F.col("_start") if "_start" in df.columns else F.col(sequence)
     seen = {"t": F.struct(*[F.col(c) for c in compared]) if compared else F.lit(True)}
     if gaps:
         seen |= {"seq": F.col(sequence), "due": F.col("_due")}
@@ -153,11 +166,11 @@ def _versions(
         .drop("_prev", "_next")
     )
     shown = F.struct(*[F.col(c) for c in [*values, *(["_due"] if gaps else [])]])
-    edges = with_next_two(edges, keys, sequence, F.struct(F.col("_start").alias("start"), shown.alias("shown")))
+    edges = with_next_two(edges, keys, sequence, F.struct(start.alias("start"), shown.alias("shown")))
     last = F.when(F.col("_ends"), shown).otherwise(F.col("_n1.shown"))
     following = F.when(F.col("_ends"), F.col("_n1.start")).otherwise(F.col("_n2.start"))
     firsts = edges.filter("_opens").select(
-        *keys, last.alias("_last"), F.col("_start").alias(START_AT), following.alias("_following")
+        *keys, last.alias("_last"), start.alias(START_AT), following.alias("_following")
     )
     return firsts.select(
         *keys,
@@ -205,12 +218,12 @@ def scd2_merge(
     in_order = fresh.join(marks.filter(~F.col("_late")), keys).withColumn("_start", F.col(sequence))
     carried = open_rows.withColumn("_start", F.col(START_AT)).drop(START_AT, END_AT)
     feed = in_order.unionByName(carried, allowMissingColumns=True).drop("_late")
-    grown = build(feed, hot_key_spans(fresh, keys, sequence, rows_per_task))
+    grown = build(feed, find_hot_keys(fresh, keys, sequence, rows_per_task))
     merged = untouched.drop("_late").unionByName(grown)
     if marks.filter("_late").isEmpty():
         return merged
     late = _keyed(history, keys, sequence).join(marks.filter("_late"), keys, "left_semi")
-    rebuilt = build(late.withColumn("_start", F.col(sequence)), hot_key_spans(late, keys, sequence, rows_per_task))
+    rebuilt = build(late, find_hot_keys(late, keys, sequence, rows_per_task))
     return merged.unionByName(rebuilt)
 
 
@@ -233,17 +246,24 @@ def as_of(df: DataFrame, moment: Column) -> DataFrame:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Change feed between two snapshots: ``insert``, ``delete``, ``update_pre``, ``update_post``."""
-    keys, columns = list(keys), list(columns)
+    """Change feed between two snapshots: ``insert``, ``delete``, ``update_pre``, ``update_post``.
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(*columns).alias(name))
-
-    both = side(old, "_old").join(side(new, "_new"), keys, "full_outer")
+    Both sides meet in one aggregate instead of a join: one shuffle, and copies of a key collapse
+    before it (the greatest row stands for them) instead of pairing up.
+    """
+    keys, columns = list(keys), list(columns)
+    values = F.struct(*columns)
+    nothing = F.lit(None)
+    both = (
+        old.select(*keys, values.alias("_old"), nothing.alias("_new"))
+        .unionAll(new.select(*keys, nothing.alias("_old"), values.alias("_new")))
+        .groupBy(*keys)
+        .agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+    )
     before, after = F.col("_old"), F.col("_new")
 
-    def change(kind: str, values: Column) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), values.alias("_values"))
+    def change(kind: str, side: Column) -> Column:
+        return F.struct(F.lit(kind).alias("_change_type"), side.alias("_values"))
 
     changes = (
         F.when(before.isNull(), F.array(change("insert", after)))

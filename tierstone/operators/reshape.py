@@ -86,12 +86,16 @@ def pivot_totals(
     amount: str,
     suffixes: tuple[str, str] = ("count", "capacity_kw"),
 ) -> list[Column]:
-    """Aggregates for a fixed-vocabulary pivot of pre-summed rows: two columns per category."""
-    out = []
-    for v in vocabulary:
-        hit = F.col(category) == v
-        out += [
-            F.sum(F.when(hit, F.col(count)).otherwise(0)).alias(f"{v.lower()}_{suffixes[0]}"),
-            F.sum(F.when(hit, F.col(amount)).otherwise(0)).alias(f"{v.lower()}_{suffixes[1]}"),
-        ]
-    return out
+    """Aggregates for a fixed-vocabulary pivot of pre-summed rows: two columns per category.
+
+    Rows without a ``count`` are not part of the pivot.
+    """
+    def total(v: str, column: str) -> Column:
+        other = F.when(F.col(count).isNotNull(), 0)
+        return F.sum(F.when(F.col(category) == v, F.col(column)).otherwise(other))
+
+    return [
+        total(v, column).alias(f"{v.lower()}_{suffix}")
+        for v in vocabulary
+        for column, suffix in zip((count, amount), suffixes)
+    ]

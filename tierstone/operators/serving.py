@@ -86,8 +86,8 @@ def feeder_der_summary(
 
     Rows shrink to at most one per feeder and technology before the wide pivot, so the two
     columns per technology never travel through a shuffle of raw rows.  Distinct projects are
-    counted apart on the bare (feeder, project) pairs: one distinct in the wide aggregate would
-    carry every sum once per project.
+    counted apart on the bare (feeder, project) pairs and added as one more row per feeder: one
+    distinct in the wide aggregate would carry every sum once per project.
     """
     der = current_der(installed, planned, extra=["der_id", "der_type"]).filter("feeder_id IS NOT NULL")
 
@@ -104,11 +104,16 @@ def feeder_der_summary(
         *of_status("installed"),
         *of_status("planned"),
     )
-    wide = (
-        per_technology.repartition(*FEEDER_KEY)
+    projects = (
+        der.select(*FEEDER_KEY, "der_id").distinct().groupBy(*FEEDER_KEY).agg(F.count("der_id").alias("projects"))
+    )
+    return (
+        per_technology.unionByName(projects, allowMissingColumns=True)
+        .repartition(*FEEDER_KEY)
         .groupBy(*FEEDER_KEY)
         .agg(
             F.sum("n").alias("total_der_count"),
+            F.sum("projects").alias("unique_project_count"),
             F.sum("installed_n").alias("installed_count"),
             F.sum("installed_kw").alias("installed_capacity_kw"),
             F.sum("planned_n").alias("planned_count"),
@@ -116,18 +121,7 @@ def feeder_der_summary(
             *pivot_totals("der_type", technologies, "n", "kw"),
             F.count("der_type").alias("technology_type_count"),
         )
-    )
-    projects = der.select(*FEEDER_KEY, "der_id").distinct().groupBy(*FEEDER_KEY).agg(
-        F.count("der_id").alias("unique_project_count")
-    )
-    # feeder_id is never NULL here, utility_id may be: keep such rows with a NULL-safe match
-    same = (wide["feeder_id"] == projects["feeder_id"]) & wide["utility_id"].eqNullSafe(projects["utility_id"])
-    columns = ["total_der_count", "unique_project_count", *wide.columns[3:]]
-    return wide.join(projects, same).select(
-        wide["feeder_id"],
-        wide["utility_id"],
-        *columns,
-        (F.col("technology_type_count") > 1).alias("has_hybrid_projects"),
+        .withColumn("has_hybrid_projects", F.col("technology_type_count") > 1)
     )
 
 

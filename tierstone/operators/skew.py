@@ -13,13 +13,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierstone.sources.shared import cut_lineage
+
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
-SEGMENTS_PER_TASK = 4
+# a power of two; CUTS - 1 cut points give CUTS segments of about equal size
+CUTS = 1_024
+RANK_CUTS = 256
 
 SEGMENT = "_segment"
 
 
+def cut_points(at: Column, cuts: int) -> Column:
+    """Aggregate: ``cuts - 1`` approximate quantiles of ``at``."""
+    return F.percentile_approx(at, [i / cuts for i in range(1, cuts)], 20 * cuts)
+
+
+def segment_of(points: Column, at: Column, cuts: int) -> Column:
+    """How many of the sorted ``points`` are not above ``at``, by binary search."""
+    steps = []
+    step = cuts // 2
+    while step:
+        steps.append(F.lit(step))
+        step //= 2
+    return F.aggregate(
+        F.array(*steps), F.lit(0), lambda lo, step: lo + F.when(F.get(points, lo + step - 1) <= at, step).otherwise(0)
+    )
+
+
 def position(df: DataFrame, order: str) -> Column | None:
     """A number that never decreases along ``order``; None for types without one (text)."""
     dtype, c = df.schema[order].dataType, F.col(order)
@@ -34,38 +55,40 @@ def position(df: DataFrame, order: str) -> Column | None:
     return None
 
 
-def hot_key_spans(
+def find_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame | None:
-    """Keys with more than ``rows_per_task`` rows: their span of ``order`` and a segment width.
+    """Keys with more than ``rows_per_task`` rows, each with cut points along ``order``.
 
     None if there are none, which is the usual case and leaves the plan free of any skew handling.
-    Runs one job over the key and order columns.  Never more than ``MAX_HOT_KEYS`` rows come back,
-    so they fit on the driver and in a broadcast whatever the data is: the heaviest keys are taken,
-    hence a key left out holds at most 1/``MAX_HOT_KEYS`` of all rows.  This chooses a layout only;
-    no row of the data is dropped.  The spans are fixed from here on, so a task that is run again
-    after a lost executor gets the same segments.
+    Finding out takes one job over the key columns, measuring the hot keys a second one.  Never
+    more than ``MAX_HOT_KEYS`` rows come back, so they fit on the driver and in a broadcast
+    whatever the data is: the heaviest keys are taken, hence a key left out holds at most
+    1/``MAX_HOT_KEYS`` of all rows.  This chooses a layout only; no row of the data is dropped.
+    Keys and cut points are fixed from here on, so a task that is run again after a lost executor
+    gets the same segments.
     """
     at = position(df, order)
     if at is None:
         return None
-    spans = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(at).cast("double").alias("_lo"), F.max(at).cast("double").alias("_hi"))
+    heavy = (
+        df.groupBy(*keys).agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > rows_per_task)
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
+        .select(*keys)
     )
-    found = spans.collect()
+    found = heavy.collect()
     if not found:
         return None
-    segments = F.ceil(F.col("_n") / rows_per_task) * SEGMENTS_PER_TASK
-    return df.sparkSession.createDataFrame(found, spans.schema).select(
-        *keys,
-        "_lo",
-        segments.cast("int").alias("_segments"),
-        ((F.col("_hi") - F.col("_lo")) / segments).alias("_width"),
+    names = df.sparkSession.createDataFrame(found, heavy.schema)
+    measured = (
+        df.select(*keys, at.cast("double").alias("_at"))
+        .join(F.broadcast(names), list(keys))
+        .groupBy(*keys)
+        .agg(cut_points(F.col("_at"), CUTS).alias("_cuts"))
     )
+    return df.sparkSession.createDataFrame(measured.collect(), measured.schema)
 
 
 def without_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,12 +97,11 @@ def without_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> Data
 
 def only_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Rows of the hot keys, with an ordered segment number in ``_segment``."""
-    slot = F.floor((position(df, order).cast("double") - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    bounded = F.greatest(F.lit(0), F.least(F.coalesce(slot, F.lit(0)), F.col("_segments") - 1))
+    at = position(df, order).cast("double")
     return (
         df.join(F.broadcast(hot), list(keys))
-        .withColumn(SEGMENT, bounded.cast("int"))
-        .drop("_lo", "_segments", "_width")
+        .withColumn(SEGMENT, segment_of(F.col("_cuts"), at, CUTS))
+        .drop("_cuts")
     )
 
 
@@ -136,14 +158,13 @@ def with_next_two(df: DataFrame, keys: Sequence[str], order: str, value: Column)
     )
 
 
-def rank_within(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", bins: int = 1024
-) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
     """Competition rank of ``value`` (highest first, NULL last) within ``keys``.
 
     Equal to ``rank() over (partition by keys order by value desc nulls last)`` without sorting a
     key in one task: equal values collapse to a count before the shuffle, distinct values are
-    ranked inside value bins, and bins are offset by the running count of the bins above.
+    ranked inside value bins of about equal size, and bins are offset by the running count of the
+    bins above.  The counts and the bin borders are stored, so that every use sees the same ones.
     """
     ks = [f"_k{i}" for i in range(len(keys))]
 
@@ -151,18 +172,22 @@ def rank_within(
         return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
 
     def renamed(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-        """Own names for the join columns of one side; ``df`` is on both sides of every join."""
+        """Own names for the join columns of one side; one frame is on both sides of every join."""
         return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
 
-    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.col(value).alias("_v")).agg(
-        F.count("*").alias("_n")
+    counts = cut_lineage(
+        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.col(value).alias("_v")).agg(
+            F.count("*").alias("_n")
+        )
+    )
+    borders = cut_lineage(counts.groupBy(*ks).agg(cut_points(F.col("_v"), RANK_CUTS).alias("_cuts")))
+    # bins count down from the top; NULLs sort last, so they take the bin after all others
+    bin_no = F.when(F.col("_v").isNull(), RANK_CUTS).otherwise(
+        RANK_CUTS - 1 - segment_of(F.col("_cuts"), F.col("_v"), RANK_CUTS)
+    )
+    binned = counts.join(renamed(borders, ks, "s"), null_safe(ks, [f"s{k}" for k in ks])).select(
+        *ks, "_v", "_n", bin_no.alias("_bin")
     )
-    spans = renamed(counts.groupBy(*ks).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), ks, "s")
-    wide = F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
-    from_top = F.floor((F.col("_hi") - F.col("_v")).cast("double") / wide * (bins - 1))
-    # NULLs sort last, so they take the bin after all others
-    bin_no = F.when(F.col("_v").isNull(), bins).otherwise(F.coalesce(from_top, F.lit(0))).cast("int")
-    binned = counts.join(spans, null_safe(ks, [f"s{k}" for k in ks])).select(*ks, "_v", "_n", bin_no.alias("_bin"))
     parts = [*ks, "_bin"]
     above = Window.partitionBy(*ks).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = renamed(
