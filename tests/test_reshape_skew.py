@@ -91,21 +91,21 @@ def hot_rows(spark):
 
 def test_only_heavy_keys_are_hot(spark, hot_rows):
     hot = find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=100)
-    assert [r.k for r in hot.collect()] == ["hot"]
+    assert [r.k for r in hot.frame.collect()] == ["hot"]
     assert find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=1000) is None
     assert find_hot_keys(hot_rows.withColumn("seq", F.col("seq").cast("string")), ["k"], "seq", 100) is None
 
 
 def test_segments_are_ordered_and_balanced(spark, hot_rows):
-    hot = find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=100)
+    hot = find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=30)
     rows = only_hot_keys(hot_rows, hot, ["k"], "seq").orderBy("seq").collect()
     segments = [r[SEGMENT] for r in rows]
-    assert len(rows) == 400 and segments == sorted(segments)
-    assert max(Counter(segments).values()) <= 4
+    assert len(rows) == 400 and segments == sorted(segments) and hot.cuts == 16
+    assert max(Counter(segments).values()) <= 30
 
 
 def test_neighbours_cross_segment_borders(spark, hot_rows):
-    hot = find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=100)
+    hot = find_hot_keys(hot_rows, ["k"], "seq", rows_per_task=3)
     rows = only_hot_keys(hot_rows, hot, ["k"], "seq")
     plain = hot_rows.filter("k = 'hot'")
     value = F.struct("seq")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierstone.operators.skew import (
     ROWS_PER_TASK,
     SEGMENT,
+    HotKeys,
     find_hot_keys,
     only_hot_keys,
     with_neighbours,
@@ -81,7 +82,7 @@ def _with_due(df: DataFrame, sequence: str, scope: Sequence[str]) -> DataFrame:
 
 def _build(
     df: DataFrame,
-    hot: DataFrame | None,
+    hot: HotKeys | None,
     keys: Sequence[str],
     sequence: str,
     tracked: Sequence[str] | None,

@@ -8,6 +8,7 @@ segment borders through a summary of one row per segment.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from tierstone.sources.shared import cut_lineage
 
 ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
-# a power of two; CUTS - 1 cut points give CUTS segments of about equal size
-CUTS = 1_024
+# segments per hot key; powers of two, because segments are found by binary search
+MAX_CUTS = 4_096
 RANK_CUTS = 256
 
 SEGMENT = "_segment"
@@ -55,9 +56,17 @@ def position(df: DataFrame, order: str) -> Column | None:
     return None
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """A small local frame of the hot keys; ``_points`` holds ``cuts - 1`` cut points of each."""
+
+    frame: DataFrame
+    cuts: int
+
+
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame | None:
+) -> HotKeys | None:
     """Keys with more than ``rows_per_task`` rows, each with cut points along ``order``.
 
     None if there are none, which is the usual case and leaves the plan free of any skew handling.
@@ -76,32 +85,34 @@ def find_hot_keys(
         .filter(F.col("_n") > rows_per_task)
         .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys)
     )
     found = heavy.collect()
     if not found:
         return None
-    names = df.sparkSession.createDataFrame(found, heavy.schema)
+    cuts = 2
+    while cuts < MAX_CUTS and cuts * rows_per_task < found[0]["_n"]:
+        cuts *= 2
+    names = df.sparkSession.createDataFrame(found, heavy.schema).drop("_n")
     measured = (
         df.select(*keys, at.cast("double").alias("_at"))
         .join(F.broadcast(names), list(keys))
         .groupBy(*keys)
-        .agg(cut_points(F.col("_at"), CUTS).alias("_cuts"))
+        .agg(cut_points(F.col("_at"), cuts).alias("_points"))
     )
-    return df.sparkSession.createDataFrame(measured.collect(), measured.schema)
+    return HotKeys(df.sparkSession.createDataFrame(measured.collect(), measured.schema), cuts)
 
 
-def without_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot.select(*keys)), list(keys), "left_anti")
+def without_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFrame:
+    return df.join(F.broadcast(hot.frame.select(*keys)), list(keys), "left_anti")
 
 
-def only_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def only_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -> DataFrame:
     """Rows of the hot keys, with an ordered segment number in ``_segment``."""
     at = position(df, order).cast("double")
     return (
-        df.join(F.broadcast(hot), list(keys))
-        .withColumn(SEGMENT, segment_of(F.col("_cuts"), at, CUTS))
-        .drop("_cuts")
+        df.join(F.broadcast(hot.frame), list(keys))
+        .withColumn(SEGMENT, segment_of(F.col("_points"), at, hot.cuts))
+        .drop("_points")
     )
 
 
@@ -180,10 +191,10 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str = "ran
             F.count("*").alias("_n")
         )
     )
-    borders = cut_lineage(counts.groupBy(*ks).agg(cut_points(F.col("_v"), RANK_CUTS).alias("_cuts")))
+    borders = cut_lineage(counts.groupBy(*ks).agg(cut_points(F.col("_v"), RANK_CUTS).alias("_points")))
     # bins count down from the top; NULLs sort last, so they take the bin after all others
     bin_no = F.when(F.col("_v").isNull(), RANK_CUTS).otherwise(
-        RANK_CUTS - 1 - segment_of(F.col("_cuts"), F.col("_v"), RANK_CUTS)
+        RANK_CUTS - 1 - segment_of(F.col("_points"), F.col("_v"), RANK_CUTS)
     )
     binned = counts.join(renamed(borders, ks, "s"), null_safe(ks, [f"s{k}" for k in ks])).select(
         *ks, "_v", "_n", bin_no.alias("_bin")
