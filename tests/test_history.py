@@ -107,6 +107,24 @@ def test_merge_in_order_needs_no_history(spark):
     assert rows(merged) == expected(events)
 
 
+@pytest.mark.parametrize("untracked", ["update", "version"])
+def test_merge_of_whole_snapshots_needs_history_only_for_corrections(spark, untracked):
+    """A snapshot that repeats everything seen and adds later days never reads the history."""
+    events = sorted(make_events(9, n=250), key=lambda e: (e[2], e[5]))
+    days = sorted({e[2] for e in events})
+    upto = lambda d: [e for e in events if e[2] <= d]
+    first, last = days[len(days) // 2], days[-1]
+    args = dict(ARGS, untracked=untracked)
+    target = scd2_build(spark.createDataFrame(upto(first), SCHEMA), **args)
+    unread = spark.createDataFrame([], SCHEMA)
+    # copies of one key and day that lost their tie are corrections to the merge, so leave them out
+    winners = list({e[:3]: e for e in upto(last)}.values())
+    merged = scd2_merge(target, spark.createDataFrame(winners, SCHEMA), history=unread, **args)
+    assert rows(merged) == expected(events, untracked)
+    again = scd2_merge(merged, spark.createDataFrame(winners, SCHEMA), history=unread, **args)
+    assert rows(again) == expected(events, untracked)
+
+
 def test_versions_are_contiguous_and_one_is_open(spark):
     got = rows(scd2_build(spark.createDataFrame(make_events(8), SCHEMA), **ARGS))
     by_key = {}

@@ -80,36 +80,49 @@ def _with_due(df: DataFrame, sequence: str, scope: Sequence[str]) -> DataFrame:
     return df.join(nexts, [*scope, sequence])
 
 
-def _build(
+INNER = ("_start", "_due")
+
+
+def _roles(
     df: DataFrame,
-    hot: HotKeys | None,
     keys: Sequence[str],
     sequence: str,
     tracked: Sequence[str] | None,
     drop: Sequence[str],
-    tiebreak: Sequence[str],
     untracked: str,
-) -> DataFrame:
+) -> tuple[list[str], list[str]]:
+    """The columns a version shows, and those of them that open a new one."""
     if sequence in drop:
         raise ValueError("the sequence column marks the last observation and cannot be dropped")
     if untracked not in ("update", "version"):
         raise ValueError(f"untracked must be 'update' or 'version', not {untracked!r}")
-    keys = list(keys)
-    inner = {"_start", "_due"}
-    values = [c for c in df.columns if c not in keys and c not in drop and c not in inner]
+    values = [c for c in df.columns if c not in keys and c not in drop and c not in INNER]
     if untracked == "version":
-        compared = values
-    elif tracked is None:
-        compared = [c for c in values if c != sequence]
-    else:
-        compared = [c for c in tracked if c in values]
+        return values, values
+    if tracked is None:
+        return values, [c for c in values if c != sequence]
+    return values, [c for c in tracked if c in values]
+
+
+def _build(
+    df: DataFrame,
+    hot: HotKeys | None,
+    keys: Sequence[str],
+    sequence: str,
+    tracked: Sequence[str] | None,
+    drop: Sequence[str],
+    tiebreak: Sequence[str],
+    untracked: str,
+) -> DataFrame:
+    keys = list(keys)
+    values, compared = _roles(df, keys, sequence, tracked, drop, untracked)
     kept = [c for c in df.columns if c not in drop]
     # the hash covers what is kept, so dropped columns are not even read unless they break ties
     ranks = {c: c if c in kept else f"_t_{c}" for c in tiebreak}
     df = df.select(
         *kept,
         *[F.col(c).alias(n) for c, n in ranks.items() if n != c],
-        F.xxhash64(*[c for c in kept if c not in inner]).alias("_t_hash"),
+        F.xxhash64(*[c for c in kept if c not in INNER]).alias("_t_hash"),
     )
     newest = [*ranks.values(), "_t_hash"]
 
@@ -195,15 +208,27 @@ def scd2_merge(
 ) -> DataFrame:
     """History after ``new_events``; equal to :func:`scd2_build` over everything seen so far.
 
-    Keys without new events pass through.  Where every new sequence lies after the key's last
-    observation, the open version and the new rows are enough.  Other keys had a late or repeated
-    sequence; collapsed versions cannot absorb it, so those keys, and only those, are rebuilt from
-    ``history``: the retained snapshots, the new ones included.  Which keys those are is settled
-    first and stored, so ``history`` is not read at all when nothing came late.
+    ``new_events`` may be a whole snapshot again: observations the history already holds are
+    recognised and left out first, and what remains is stored, so every later step is as large as
+    the news and not as the snapshot.  Keys without news pass through.  Where every new sequence
+    lies after the key's last observation, the open version and the news are enough.  Other keys
+    had a late or corrected observation; collapsed versions cannot absorb it, so those keys, and
+    only those, are rebuilt from ``history``: the retained snapshots, the new ones included.
+    ``history`` is not read at all when nothing came late.
     """
     keys = list(keys)
     fresh = _keyed(new_events, keys, sequence)
-    first_new = fresh.groupBy(*keys).agg(F.min(sequence).alias("_first_new"))
+    values, compared = _roles(fresh, keys, sequence, tracked, drop, untracked)
+    hot = find_hot_keys(fresh, keys, sequence, rows_per_task)
+    # the covering version is looked up in one window per key; a hot key goes on unchecked
+    if hot is None:
+        news = _unknown(fresh, target, keys, sequence, values, compared)
+    else:
+        checked = _unknown(without_hot_keys(fresh, hot, keys), target, keys, sequence, values, compared)
+        news = checked.unionByName(fresh.join(F.broadcast(hot.frame.select(*keys)), keys))
+    news = cut_lineage(news)
+
+    first_new = news.groupBy(*keys).agg(F.min(sequence).alias("_first_new"))
     last_seen = target.groupBy(*keys).agg(
         F.max(F.greatest(F.col(sequence), F.coalesce(F.col(END_AT), F.col(sequence)))).alias("_last_seen")
     )
@@ -216,10 +241,10 @@ def scd2_merge(
     marked = target.join(marks, keys, "left")
     untouched = marked.filter(F.col("_late").isNull() | (~F.col("_late") & F.col(END_AT).isNotNull()))
     open_rows = marked.filter(~F.col("_late") & F.col(END_AT).isNull())
-    in_order = fresh.join(marks.filter(~F.col("_late")), keys).withColumn("_start", F.col(sequence))
+    in_order = news.join(marks.filter(~F.col("_late")), keys).withColumn("_start", F.col(sequence))
     carried = open_rows.withColumn("_start", F.col(START_AT)).drop(START_AT, END_AT)
     feed = in_order.unionByName(carried, allowMissingColumns=True).drop("_late")
-    grown = build(feed, find_hot_keys(fresh, keys, sequence, rows_per_task))
+    grown = build(feed, hot)
     merged = untouched.drop("_late").unionByName(grown)
     if marks.filter("_late").isEmpty():
         return merged
@@ -228,6 +253,36 @@ def scd2_merge(
     return merged.unionByName(rebuilt)
 
 
+def _unknown(
+    fresh: DataFrame, target: DataFrame, keys: list[str], sequence: str, values: list[str], compared: list[str]
+) -> DataFrame:
+    """The rows of ``fresh`` that the versions in ``target`` do not already account for.
+
+    A row changes nothing if the version that covers its sequence tracks the same values and
+    either was observed later too (only the last observation is shown) or shows the very same row.
+    """
+    def box(columns: list[str]) -> Column:
+        return F.struct(*[F.col(c) for c in columns])
+
+    versions = target.select(
+        *keys,
+        F.col(START_AT).alias("_at"),
+        F.struct(F.col(sequence).alias("last"), box(values).alias("shown")).alias("_version"),
+    )
+    rows = fresh.withColumn("_at", F.col(sequence)).withColumn("_is_row", F.lit(1))
+    both = rows.unionByName(versions, allowMissingColumns=True)
+    # versions have no _is_row and so come before a row of the same sequence
+    so_far = Window.partitionBy(*keys).orderBy("_at", "_is_row").rowsBetween(Window.unboundedPreceding, 0)
+    cover = F.last("_version", ignorenulls=True).over(so_far)
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.col(f"_cover.shown.{c}").eqNullSafe(F.col(c))
+    inside = F.col(sequence) < F.col("_cover.last")
+    repeated = box(values).eqNullSafe(F.col("_cover.shown"))
+    known = F.col("_cover").isNotNull() & same & (inside | repeated)
+    return both.withColumn("_cover", cover).filter(F.col("_is_row").isNotNull() & ~known).select(*fresh.columns)
+
+
 def _column_named(df: DataFrame, name: str) -> Column:
     found = next((c for c in df.columns if c.lower() == name.lower()), None)
     if found is None:

@@ -80,8 +80,7 @@ class RawTable:
         The audit is written last.  A replayed batch with an audit is complete and is left alone;
         one without is written over, so a crash never leaves rows twice.
         """
-        audit = self._stored(spark, "audit")
-        if not paths or (audit is not None and not audit.filter(F.col("batch_id") == batch_id).isEmpty()):
+        if not paths or self._stored(spark, f"audit/batch_id={batch_id}") is not None:
             return
         known = self.columns(spark, before_batch=batch_id)
         groups = files_by_header(spark, paths)
