@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.operators.reshape import rollup_segments, unpivot_positive
-from tierstone.operators.skew import SEGMENT, find_hot_keys, only_hot_keys, rank_within, segment_of, with_neighbours, with_next_two
+from tierstone.operators.skew import SEGMENT, find_hot_keys, only_hot_keys, rank_within, segment_of, top_within, with_neighbours, with_next_two
 
 
 def test_rollup_of_three_segments(spark):
@@ -65,6 +65,15 @@ def test_rank_matches_window(spark):
     assert got.count() == 900
 
 
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_top_matches_window(spark, k):
+    r = random.Random(3)
+    rows = [(i, r.choice(["a", "b", None]), r.choice([None, 9.0, 8.0, 8.0, r.random()])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, t string, v double")
+    want = df.withColumn("rank", F.expr("rank() over (partition by t order by v desc nulls last)")).filter(F.col("rank") <= k)
+    assert {(x.id, x["rank"]) for x in top_within(df, ["t"], "v", k).collect()} == {(x.id, x["rank"]) for x in want.collect()}
+
+
 def test_rank_of_decimals(spark):
     df = spark.sql("SELECT 'a' t, CAST(id % 7 AS DECIMAL(18,2)) v, id FROM range(30)")
     want = df.withColumn("rank", F.expr("rank() over (partition by t order by v desc)"))

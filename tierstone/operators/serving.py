@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierstone.operators.history import filter_current
 from tierstone.operators.reshape import pivot_totals
-from tierstone.operators.skew import rank_within
+from tierstone.operators.skew import rank_within, top_within
 from tierstone.vocab import TECHNOLOGIES
 
 FEEDER_KEY = ["feeder_id", "utility_id"]
@@ -201,14 +201,8 @@ def rank_by_capacity(feeders: DataFrame) -> DataFrame:
 
 
 def top_by_capacity(feeders: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best ranks per tenant, ties included.
-
-    Written as a plain window: the optimizer limits each tenant before the shuffle.
-    """
-    return feeders.withColumn(
-        "capacity_rank",
-        F.expr("rank() OVER (PARTITION BY utility_id ORDER BY available_capacity_mw DESC NULLS LAST)"),
-    ).filter(F.col("capacity_rank") <= k)
+    """The ``k`` best ranks per tenant, ties included; see :func:`skew.top_within`."""
+    return top_within(feeders, ["utility_id"], "available_capacity_mw", k, "capacity_rank")
 
 
 def project_id(der_id: Column) -> Column:

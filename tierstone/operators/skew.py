@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,6 +169,36 @@ def with_next_two(df: DataFrame, keys: Sequence[str], order: str, value: Column)
     )
 
 
+def _null_safe(left: Sequence[str], right: Sequence[str]) -> list[Column]:
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
+
+
+def _value_counts(df: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, list[str]]:
+    """Rows per distinct value, under own names: one frame is on both sides of later joins."""
+    ks = [f"_k{i}" for i in range(len(keys))]
+    grouped = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.col(value).alias("_v"))
+    return grouped.agg(F.count("*").alias("_n")), ks
+
+
+def _running_before(count: str, w: WindowSpec) -> Column:
+    """Sum of ``count`` over the rows before this one."""
+    return F.coalesce(F.sum(count).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def top_within(df: DataFrame, keys: Sequence[str], value: str, k: int, name: str = "rank") -> DataFrame:
+    """Rows whose competition rank by ``value`` (highest first, NULL last) is at most ``k``.
+
+    The ``k`` highest distinct values of a key hold all such rows.  Finding them is a top-k window
+    over value counts, which the optimizer already limits before the shuffle, so neither a big key
+    nor a value shared by very many rows meets in one task.
+    """
+    counts, ks = _value_counts(df, keys, value)
+    w = Window.partitionBy(*ks).orderBy(F.desc_nulls_last("_v"))
+    highest = counts.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= k)
+    ranked = highest.select(*ks, "_v", (_running_before("_n", w) + 1).alias(name)).filter(F.col(name) <= k)
+    return df.join(ranked, _null_safe([*keys, value], [*ks, "_v"])).select(*df.columns, name)
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
     """Competition rank of ``value`` (highest first, NULL last) within ``keys``.
 
@@ -177,38 +207,28 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str = "ran
     ranked inside value bins of about equal size, and bins are offset by the running count of the
     bins above.  The counts and the bin borders are stored, so that every use sees the same ones.
     """
-    ks = [f"_k{i}" for i in range(len(keys))]
-
-    def null_safe(left: Sequence[str], right: Sequence[str]) -> list[Column]:
-        return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
-
     def renamed(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-        """Own names for the join columns of one side; one frame is on both sides of every join."""
         return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
 
-    counts = cut_lineage(
-        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.col(value).alias("_v")).agg(
-            F.count("*").alias("_n")
-        )
-    )
+    counts, ks = _value_counts(df, keys, value)
+    counts = cut_lineage(counts)
     borders = cut_lineage(counts.groupBy(*ks).agg(cut_points(F.col("_v"), RANK_CUTS).alias("_points")))
     # bins count down from the top; NULLs sort last, so they take the bin after all others
     bin_no = F.when(F.col("_v").isNull(), RANK_CUTS).otherwise(
         RANK_CUTS - 1 - segment_of(F.col("_points"), F.col("_v"), RANK_CUTS)
     )
-    binned = counts.join(renamed(borders, ks, "s"), null_safe(ks, [f"s{k}" for k in ks])).select(
+    binned = counts.join(renamed(borders, ks, "s"), _null_safe(ks, [f"s{k}" for k in ks])).select(
         *ks, "_v", "_n", bin_no.alias("_bin")
     )
     parts = [*ks, "_bin"]
-    above = Window.partitionBy(*ks).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = renamed(
         binned.groupBy(*parts).agg(F.sum("_n").alias("_bin_n")).select(
-            *parts, F.coalesce(F.sum("_bin_n").over(above), F.lit(0)).alias("_above")
+            *parts, _running_before("_bin_n", Window.partitionBy(*ks).orderBy("_bin")).alias("_above")
         ), parts, "o",
     )
-    higher = Window.partitionBy(*parts).orderBy(F.desc_nulls_last("_v")).rowsBetween(Window.unboundedPreceding, -1)
-    inside = binned.withColumn("_inside", F.coalesce(F.sum("_n").over(higher), F.lit(0)))
-    ranked = inside.join(offsets, null_safe(parts, [f"o{p}" for p in parts])).select(
+    by_value = Window.partitionBy(*parts).orderBy(F.desc_nulls_last("_v"))
+    inside = binned.withColumn("_inside", _running_before("_n", by_value))
+    ranked = inside.join(offsets, _null_safe(parts, [f"o{p}" for p in parts])).select(
         *ks, "_v", (F.col("_above") + F.col("_inside") + 1).alias(name)
     )
-    return df.join(ranked, null_safe([*keys, value], [*ks, "_v"]), "left").select(*df.columns, name)
+    return df.join(ranked, _null_safe([*keys, value], [*ks, "_v"]), "left").select(*df.columns, name)
