@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.context import RunContext
+from tierstone.operators import observe
 from tierstone.operators.history import filter_current
 from tierstone.plans.refresh import Warehouse
 from tierstone.plans.tenants import example_registry, feeder_tenant
@@ -95,7 +96,7 @@ def test_audit_has_one_row_per_file(refreshed):
 
 def test_standardized_circuits(refreshed):
     house, _ = refreshed
-    got = {r.feeder_id: r for r in house.standardized("circuits").read(house.spark).collect()}
+    got = {r.feeder_id: r for r in house.standardized("circuits").collect()}
     assert set(got) == {"utility1_c1", "utility2_36_13_81756", "utility2_36_13_99"}  # c2 has no date, utility9 no entry
     c1 = got["utility1_c1"]
     assert (c1.max_hosting_capacity_mw, c1.min_hosting_capacity_mw, c1.shape_length, c1.color_name) == (10.5, 8.0, 450.0, "BROWN")
@@ -107,12 +108,12 @@ def test_standardized_circuits(refreshed):
 
 def test_standardized_projects_and_quarantine(refreshed):
     house, _ = refreshed
-    got = {r.der_id: r for r in house.standardized("der_installed").read(house.spark).collect()}
+    got = {r.der_id: r for r in house.standardized("der_installed").collect()}
     assert set(got) == {"utility1_p1_SolarPV", "utility1_p1_EnergyStorageSystem", "utility1_p2_Wind", "d1"}
     assert got["utility1_p2_Wind"].feeder_id is None and got["d1"].der_type == "SolarPV"
-    bad = house.quarantine("der_installed").read(house.spark).collect()
+    bad = house.quarantine("der_installed").collect()
     assert [(b.der_id, b._failed_rules) for b in bad] == [("d2", ["canonical_der_type_only"])]
-    planned = {r.der_id: r for r in house.standardized("der_planned").read(house.spark).collect()}
+    planned = {r.der_id: r for r in house.standardized("der_planned").collect()}
     assert {r.planned_installation_date for r in planned.values()} == {dt.date(2025, 6, 15)}
     assert planned["q1"].interconnection_queue_id == "q1" and planned["q1"].der_type == "EnergyStorageSystem"
 
@@ -151,7 +152,7 @@ def test_second_delivery(refreshed):
     raw = house.raw("circuits")
     assert raw.columns(spark)[-1] == "Owner" and raw.read(spark).count() == 8
     assert raw.read_audit(spark).count() == 4
-    assert house.standardized("circuits").runs(spark) == [RUN1.run_id, RUN2.run_id]
+    assert house.snapshots("circuits").runs(spark) == [RUN1.run_id, RUN2.run_id]
     history = house.history("circuits").read(spark)
     versions = history.filter("feeder_id = 'utility2_36_13_81756'").orderBy("__START_AT").collect()
     day1, day2 = dt.datetime(2022, 10, 1), dt.datetime(2023, 10, 1)
@@ -160,7 +161,7 @@ def test_second_delivery(refreshed):
     rebuilt = Warehouse(spark, house.root, house.registry, RAW_COLUMNS)
     from tierstone.plans.flows import FLOWS
     for dataset, flow in FLOWS.items():
-        whole = flow.build(rebuilt.standardized(dataset).read_all(spark))
+        whole = flow.build(rebuilt.retained(dataset))
         merged = house.history(dataset).read(spark)
         assert sorted(map(str, whole.select(merged.columns).collect())) == sorted(map(str, merged.collect()))
 
@@ -175,6 +176,14 @@ def test_refresh_again_changes_nothing(refreshed):
     assert house.history("circuits").runs(house.spark) == latest
 
 
+def test_run_log_feeds_the_success_rate(refreshed):
+    house, _ = refreshed
+    with pytest.raises(Exception):
+        Warehouse(house.spark, house.root, house.registry, {}).refresh("/nowhere", RunContext("r3", dt.datetime(2024, 2, 15, 10)))
+    got = [tuple(r) for r in observe.run_success(house.run_log(), dt.date(2024, 2, 15)).collect()]
+    assert got[0] == (dt.date(2024, 2, 15), 2, 1, 50.0)
+
+
 def test_replayed_batch_is_written_once(spark, tmp_path):
     landing = tmp_path / "landing"
     drop_file(landing, "t", "d", "a.csv", "A,B", "1,2", "3,4")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierstone.vocab import TECHNOLOGIES
 
 FAILED = "_failed_rules"
+QUARANTINED = "_quarantined"
 
 
 def passes(rule: str) -> Column:
@@ -49,27 +50,30 @@ def quarantined(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.size(FAILED) > 0)
 
 
-def write_with_quarantine(df: DataFrame, rules: Mapping[str, str], path: str) -> None:
-    """Quarantine: compute and write the rows once, split into ``_quarantined=false/true`` folders.
+def tag_for_quarantine(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """Quarantine: tag the rows so that they are computed and written once.
 
-    Read the sides with :func:`read_passed` and :func:`read_quarantined`; partition pruning keeps
-    each from reading the other.
+    Write the result partitioned by ``_quarantined`` and read its sides with :func:`read_passed`
+    and :func:`read_quarantined`; partition pruning keeps each from reading the other.
     """
-    tagged = tag_failures(df, rules).withColumn("_quarantined", F.size(FAILED) > 0)
-    tagged.write.mode("overwrite").partitionBy("_quarantined").parquet(path)
+    return tag_failures(df, rules).withColumn(QUARANTINED, F.size(FAILED) > 0)
+
+
+def write_with_quarantine(df: DataFrame, rules: Mapping[str, str], path: str) -> None:
+    tag_for_quarantine(df, rules).write.mode("overwrite").partitionBy(QUARANTINED).parquet(path)
 
 
 def read_passed(stored: DataFrame) -> DataFrame:
-    return stored.filter(~_in_quarantine()).drop("_quarantined", FAILED)
+    return stored.filter(~_in_quarantine()).drop(QUARANTINED, FAILED)
 
 
 def read_quarantined(stored: DataFrame) -> DataFrame:
-    return stored.filter(_in_quarantine()).drop("_quarantined")
+    return stored.filter(_in_quarantine()).drop(QUARANTINED)
 
 
 def _in_quarantine() -> Column:
     # folder names are text
-    return F.col("_quarantined").cast("boolean")
+    return F.col(QUARANTINED).cast("boolean")
 
 
 def quality_metrics(

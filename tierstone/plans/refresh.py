@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierstone.context import RunContext
 from tierstone.operators import quality, serving
@@ -39,11 +40,24 @@ class Warehouse:
     def raw(self, dataset: str) -> RawTable:
         return RawTable(f"{self.root}/raw/{dataset}", dataset, self.raw_columns[dataset])
 
-    def standardized(self, dataset: str) -> SnapshotTable:
+    def snapshots(self, dataset: str) -> SnapshotTable:
+        """Standardised runs; project rows are tagged and split by quarantine inside each run."""
         return SnapshotTable(f"{self.root}/standardized/{dataset}")
 
-    def quarantine(self, dataset: str) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/quarantine/{dataset}")
+    def standardized(self, dataset: str, run_id: str | None = None) -> DataFrame:
+        """The valid rows of a run, the newest by default."""
+        return self._valid(dataset, self.snapshots(dataset).read(self.spark, run_id))
+
+    def retained(self, dataset: str) -> DataFrame:
+        """The valid rows of all runs."""
+        return self._valid(dataset, self.snapshots(dataset).read_all(self.spark))
+
+    def quarantine(self, dataset: str, run_id: str | None = None) -> DataFrame:
+        return quality.read_quarantined(self.snapshots(dataset).read(self.spark, run_id))
+
+    @staticmethod
+    def _valid(dataset: str, rows: DataFrame) -> DataFrame:
+        return rows if dataset == "circuits" else quality.read_passed(rows)
 
     def history(self, dataset: str) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/history/{dataset}")
@@ -69,26 +83,22 @@ class Warehouse:
     def standardize(self, run: RunContext) -> None:
         """Publish the canonical tables of this run with their quarantine and metrics.
 
-        Project rows are computed and written once, tagged; the published table, the quarantine
-        and the unmapped-type report read that file.
+        Project rows are computed and written once, tagged; the standardised view, the quarantine
+        and the unmapped-type report all read that run.
         """
-        run_id = run.run_id
         for dataset in DATASETS:
             rows = self.registry.standardize(self.raw(dataset).read(self.spark), dataset)
             if dataset == "circuits":
-                self.standardized(dataset).publish(quality.expect_or_drop(rows, CIRCUIT_RULES), run_id)
+                self.snapshots(dataset).publish(quality.expect_or_drop(rows, CIRCUIT_RULES), run.run_id)
             else:
                 valid = quality.expect_or_drop(rows, DER_RULES)
-                tagged = f"{self.root}/tagged/{dataset}/run_id={run_id}"
-                quality.write_with_quarantine(valid, DER_QUARANTINE, tagged)
-                stored = self.spark.read.parquet(tagged)
-                self.standardized(dataset).publish(quality.read_passed(stored), run_id)
-                self.quarantine(dataset).publish(quality.read_quarantined(stored), run_id)
+                tagged = quality.tag_for_quarantine(valid, DER_QUARANTINE)
+                self.snapshots(dataset).publish(tagged, run.run_id, partition_by=[quality.QUARANTINED])
             self._store_metrics(dataset, run)
         self._store_unmapped(run)
 
     def _store_metrics(self, dataset: str, run: RunContext) -> None:
-        rows = self.standardized(dataset).read(self.spark, run.run_id)
+        rows = self.standardized(dataset, run.run_id)
         if dataset == "circuits":
             found = quality.quality_metrics(
                 rows, dataset, "feeder_id", "max_hosting_capacity_mw", refreshed="hca_refresh_date", as_of=run.date()
@@ -100,10 +110,7 @@ class Warehouse:
 
     def _store_unmapped(self, run: RunContext) -> None:
         """On the rows before quarantine, which is where unmapped types still are."""
-        tagged = [
-            self.spark.read.parquet(f"{self.root}/tagged/{d}/run_id={run.run_id}")
-            for d in DATASETS if d != "circuits"
-        ]
+        tagged = [self.snapshots(d).read(self.spark, run.run_id) for d in DATASETS if d != "circuits"]
         found = quality.unmapped_types(
             tagged[0].unionByName(tagged[1], allowMissingColumns=True), self.registry.free_text_tenants()
         )
@@ -112,13 +119,12 @@ class Warehouse:
     def update_history(self) -> None:
         """Take every published run not yet in the history, oldest first."""
         for dataset, flow in FLOWS.items():
-            source, target = self.standardized(dataset), self.history(dataset)
+            target = self.history(dataset)
             done = target.runs(self.spark)
-            for run_id in [r for r in source.runs(self.spark) if r not in done]:
-                new = source.read(self.spark, run_id)
+            for run_id in [r for r in self.snapshots(dataset).runs(self.spark) if r not in done]:
+                new = self.standardized(dataset, run_id)
                 if done:
-                    seen = source.read_all(self.spark)
-                    rows = flow.merge(target.read(self.spark), new, seen)
+                    rows = flow.merge(target.read(self.spark), new, self.retained(dataset))
                 else:
                     rows = flow.build(new)
                 target.publish(rows, run_id, cluster_by=flow.cluster_by)
@@ -135,8 +141,23 @@ class Warehouse:
         self.served("feeder_map_layer").publish(layer, run_id, ["utility_id", "grid_area_code"])
 
     def refresh(self, landing: str, run: RunContext) -> None:
-        self.ingest(landing, run)
-        self.standardize(run)
-        self.update_history()
-        self.serve(run)
+        """All steps in order, with the outcome in the run log.  Each step can be run again after
+        a failure with the same run: what is published stays, the rest is written over."""
+        try:
+            self.ingest(landing, run)
+            self.standardize(run)
+            self.update_history()
+            self.serve(run)
+        except Exception:
+            self._log(run, "FAILED")
+            raise
+        self._log(run, "SUCCESS")
+
+    def _log(self, run: RunContext, status: str) -> None:
+        entry = self.spark.range(1).select(
+            F.lit(run.run_id).alias("run_id"), run.timestamp().alias("start_time"), F.lit(status).alias("status")
+        )
+        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
 
+    def run_log(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/runs")

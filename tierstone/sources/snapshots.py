@@ -41,12 +41,15 @@ class SnapshotTable:
             return []
         return [r.run_id for r in manifest.groupBy("run_id").agg(F.min("version").alias("v")).orderBy("v").collect()]
 
-    def publish(self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = ()) -> None:
+    def publish(
+        self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()
+    ) -> None:
         spark = df.sparkSession
         done = self.runs(spark)
         if run_id in done:
             return
-        (clustered(df, cluster_by) if cluster_by else df).write.mode("overwrite").parquet(self.run_path(run_id))
+        rows = clustered(df, cluster_by) if cluster_by else df
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.run_path(run_id))
         entry = spark.createDataFrame([(run_id, len(done))], MANIFEST_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.manifest_path)
 
@@ -62,4 +65,4 @@ class SnapshotTable:
     def read_all(self, spark: SparkSession) -> DataFrame:
         """The retained rows of every published run; columns a run lacks are NULL."""
         paths = [self.run_path(r) for r in self.runs(spark)]
-        return spark.read.option("mergeSchema", True).parquet(*paths)
+        return spark.read.options(mergeSchema=True, basePath=f"{self.root}/data").parquet(*paths).drop("run_id")
