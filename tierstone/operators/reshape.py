@@ -25,10 +25,11 @@ def rollup_segments(
     Output names map to input expressions.  NULLs are ignored; the mode takes the lowest value on
     ties and "any value" is the lowest one, so a rerun gives the same row.
 
-    Each ``mode`` and ``any_value`` column is one grouping set, which makes value counts part of a
-    single hash aggregate with map-side partial sums.  The second step picks per key among
-    counted values and is partial too, so neither a key with very many rows nor one with very
-    many distinct values lands in one task as raw rows.
+    Rows first collapse to counted combinations of the ``mode`` and ``any_value`` columns, then each
+    of these columns becomes a grouping set over the combinations, and the last step picks per
+    key among counted values.  All three are aggregates with map-side partial sums, the first two
+    hash aggregates, so neither a key with very many rows nor one with very many distinct values
+    lands in one task as raw rows.
     """
     keys = list(keys)
     base = df.select(
@@ -47,9 +48,10 @@ def rollup_segments(
     measures = [agg(n).alias(n) for n, agg in plain.items()]
     if not picked:
         return base.groupBy(*keys).agg(*measures)
+    cells = base.groupBy(*keys, *picked).agg(F.count("*").alias("_n"), *measures)
     sets = [[F.col(c) for c in keys]] + [[F.col(c) for c in [*keys, p]] for p in picked]
-    counted = base.groupingSets(sets, *[F.col(c) for c in [*keys, *picked]]).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("_n"), *measures
+    counted = cells.groupingSets(sets, *[F.col(c) for c in [*keys, *picked]]).agg(
+        F.grouping_id().alias("_set"), F.sum("_n").alias("_n"), *measures
     )
     # grouping_id has one bit per grouping column, set where that column is rolled up
     width = len(picked)
