@@ -229,7 +229,7 @@ def scd2_merge(
     news = cut_lineage(news)
 
     first_new = news.groupBy(*keys).agg(F.min(sequence).alias("_first_new"))
-    last_seen = target.groupBy(*keys).agg(
+    last_seen = target.join(first_new.select(*keys), keys, "left_semi").groupBy(*keys).agg(
         F.max(F.greatest(F.col(sequence), F.coalesce(F.col(END_AT), F.col(sequence)))).alias("_last_seen")
     )
     marks = cut_lineage(first_new.join(last_seen, keys, "left").select(
