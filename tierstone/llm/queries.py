@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstone.llm.licences import licences_in
 from tierstone.llm.packing import pack_documents
+from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import KINDS, secrets_in
+from tierstone.llm.simhash import near_copies
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +60,26 @@ def op1_secret_scan(spark, sf):
 @bound("op4_packing")
 def op4_packing(spark, sf):
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@bound("op6_simhash")
+def op6_simhash(spark, sf):
+    return near_copies(table(spark, sf, "documents"))
+
+
+@bound("op7_licences")
+def op7_licences(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", licences_in(F.col("text")).alias("r"))
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return docs.select("doc_id", *[F.col(f"r.{n}").alias(n) for n in names])
+
+
+@bound("op8_quality_rules")
+def op8_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents")
+    field = fit_line_field(docs, table(spark, sf, "labels"))
+    names = (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share",
+    )
+    judged = docs.select("doc_id", quality_of(F.col("text"), field).alias("r"))
+    return judged.select("doc_id", *[F.col(f"r.{n}").alias(n) for n in names])
