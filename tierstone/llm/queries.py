@@ -13,6 +13,7 @@ from tierstone.llm.packing import pack_documents
 from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
+from tierstone.llm.substring_dedup import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +58,12 @@ def op1_secret_scan(spark, sf):
     )
 
 
+@bound("op3_substring_dedup")
+def op3_substring_dedup(spark, sf):
+    kept = without_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @bound("op4_packing")
 def op4_packing(spark, sf):
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
