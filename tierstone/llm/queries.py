@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm.licences import licences_in
+from tierstone.llm.line_dedup import without_repeated_lines
 from tierstone.llm.packing import pack_documents
 from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
 from tierstone.llm.substring_dedup import without_repeats
+from tierstone.llm.vantage_trees import nearest_neighbours
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +60,12 @@ def op1_secret_scan(spark, sf):
     )
 
 
+@bound("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 @bound("op3_substring_dedup")
 def op3_substring_dedup(spark, sf):
     kept = without_repeats(table(spark, sf, "documents"))
@@ -69,6 +77,13 @@ def op4_packing(spark, sf):
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@bound("op5_line_dedup")
+def op5_line_dedup(spark, sf):
+    kept = without_repeated_lines(table(spark, sf, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_removed", "n_links", digest.alias("kept_sha256"))
+
+
 @bound("op6_simhash")
 def op6_simhash(spark, sf):
     return near_copies(table(spark, sf, "documents"))
