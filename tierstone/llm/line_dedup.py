@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.batches import named_id, slices, texts_by_id, texts_of
+from tierstone.llm.batches import id_column, named_id, slices, texts_by_id, texts_of
 from tierstone.sources.shared import cut_lineage
 
 #: Lines this near to an earlier one go.
@@ -358,3 +358,16 @@ def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     found = texts.join(line_decisions(texts), "doc", "left").select("doc", "text", "gone", "links")
     cleaned = found.mapInArrow(_cleaned, RESULT)
     return cleaned.select(named_id(F.col("doc")).alias("doc_id"), "n_lines", "n_removed", "n_links", "text")
+
+
+def _without_gone(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    pairs = zip(texts.to_pylist(), gone.to_pylist(), strict=True)
+    return pa.array([t if t is None or not g else without_lines(t, g) for t, g in pairs], pa.string())
+
+
+def clean_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the texts of ``without_repeated_lines`` and all other columns as they are."""
+    decided = line_decisions(texts_by_id(docs, id_col, text_col)).select(F.col("doc").alias("_line_doc"), F.col("gone").alias("_line_gone"))
+    found = docs.withColumn("_line_doc", id_column(id_col)).join(decided, "_line_doc", "left")
+    cleaned = F.arrow_udf(_without_gone, "string")(F.col(text_col).cast("string"), F.col("_line_gone"))
+    return found.withColumn(text_col, cleaned).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tierstone.llm.licences import licences_in
 from tierstone.llm.line_dedup import without_repeated_lines
 from tierstone.llm.packing import pack_documents
+from tierstone.llm.page_text import fit_labeller, main_text
+from tierstone.llm.piece_sampling import decoded_text, sampled_ids
 from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
@@ -20,7 +22,7 @@ from tierstone.llm.vantage_trees import nearest_neighbours
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def bound(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -105,3 +107,21 @@ def op8_quality_rules(spark, sf):
     )
     judged = docs.select("doc_id", quality_of(F.col("text"), field).alias("r"))
     return judged.select("doc_id", *[F.col(f"r.{n}").alias(n) for n in names])
+
+
+@bound("op9_page_text")
+def op9_page_text(spark, sf):
+    pages = table(spark, sf, "pages")
+    labeller = fit_labeller(pages)
+    texts = pages.select("page_id", "url", main_text(F.col("html"), labeller).alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@bound("op10_piece_sampling")
+def op10_piece_sampling(spark, sf):
+    path = public_tokenizers.path(PIECES)
+    docs = table(spark, sf, "documents").select("doc_id", sampled_ids(F.col("text"), F.col("doc_id"), path).alias("ids"))
+    return docs.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2(decoded_text(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
