@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from bindings import bound, table
 from tierstone.context import RunContext
 from tierstone.operators import quality
-from tierstone.sources.audit import file_audit
+from tierstone.sources.audit import audit_rows, file_audit
+from tierstone.sources.csv_drops import LONG_ROW
 from tierstone.sources.layout import write_clustered
 from tierstone.sources.shared import shared_folder
 from tierstone.sources.snapshots import SnapshotTable
-from tierstone.streaming.ingest import RawTable, dedupe_files_stream, ingest_new_files
+from tierstone.streaming.ingest import ANY_AGE, RawTable, append_new_files, ingest_new_files
 from tierstone.streaming.relay import append_metrics, follow_runs
 
 RUN = RunContext("run_20240130_000000_00000001", dt.datetime(2024, 1, 30))
@@ -110,21 +111,71 @@ def audit(spark, sf):
 
 
 @bound("file_audit_stream", """
-SELECT c_mktsegment AS utility_id, count(*) AS rows_audited FROM customer GROUP BY 1""")
+SELECT o_orderpriority AS utility_id, count(DISTINCT o_custkey) AS files,
+       min(first_at) AS first_seen
+FROM (SELECT o_orderpriority, o_custkey, min(CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-03-01' END) AS first_at
+      FROM orders GROUP BY 1, 2) GROUP BY 1""")
 def audit_stream(spark, sf):
-    """The audit streamed out and deduplicated by signature, joined back to the stored rows."""
-    base, raw = raw_customers(spark, sf)
-    stored = spark.read.parquet(raw.audit_path)
-    stream = spark.readStream.schema(stored.schema).parquet(raw.audit_path)
-    query = (
-        dedupe_files_stream(stream).writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/audit-checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{base}/audit-out")
+    """Audit rows of orders streamed in three drops: many repeat a signature, the second drop is two months older
+    than the first, the third repeats the first."""
+    base = shared_folder(spark, "audit")
+    path = F.concat(F.lit("/landing/"), F.col("o_orderpriority"), F.lit("/f/"), F.col("o_custkey"), F.lit(".csv"))
+    at = F.when(F.col("o_orderkey") % 2 == 0, F.lit(dt.datetime(2024, 1, 1))).otherwise(F.lit(dt.datetime(2024, 3, 1)))
+    raw = table(spark, sf, "orders").select(
+        path.alias("source_file"), F.sha2(path, 256).alias("file_signature"), F.col("o_orderpriority").alias("utility_id"),
+        at.alias("ingestion_timestamp"), F.lit(RUN.run_id).alias("pipeline_update_id"), F.lit(False).alias("_index_col_dropped"),
+    )
+    rows = audit_rows(raw, "orders")
+    late = F.col("ingestion_timestamp") < F.lit(dt.datetime(2024, 2, 1))
+    for drop in (~late, late, ~late):
+        rows.filter(drop).write.mode("append").parquet(f"{base}/rows")
+        stream = spark.readStream.option("maxFileAge", ANY_AGE).schema(rows.schema).parquet(f"{base}/rows")
+        append_new_files(stream, f"{base}/files", f"{base}/checkpoint")
+    files = spark.read.parquet(f"{base}/files")
+    seen = rows.groupBy("file_signature").agg(F.min("ingestion_timestamp").cast("date").alias("first_seen"))
+    return files.join(seen, "file_signature").groupBy("utility_id").agg(
+        F.count("*").alias("files"), F.min("first_seen").alias("first_seen")
+    )
+
+
+@bound("odd_drops", """
+SELECT c_mktsegment || CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN ' [1] 20%' ELSE '' END AS utility_id,
+       count(CASE WHEN c_mktsegment <> 'MACHINERY' THEN 1 END) AS n,
+       CAST(sum(CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END) AS BIGINT) AS key_sum,
+       CAST(sum(CASE WHEN c_mktsegment = 'FURNITURE' THEN c_nationkey END) AS BIGINT) AS rescued_batch_ids,
+       count(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 END) AS long_rows, true AS audited
+FROM customer GROUP BY c_mktsegment""")
+def odd_drops(spark, sf):
+    """Files that are not perfect: glob characters in the path, columns named like the pipeline's own, rows with more
+    cells than the header, a header without rows."""
+    base = shared_folder(spark, "odd")
+    c = table(spark, sf, "customer")
+    key, name = F.col("c_custkey").alias("Key"), F.col("c_name").alias("Name")
+    clash = [F.col("c_nationkey").alias("batch_id"), F.lit("zz").alias("utility_id")]
+    shapes = {
+        "AUTOMOBILE": ("AUTOMOBILE [1] 20%", [key, name], {}),
+        "BUILDING": ("BUILDING", [key, name], {}),
+        "FURNITURE": ("FURNITURE", [key, *clash, name], {}),
+        "HOUSEHOLD": ("HOUSEHOLD", [key, F.concat("c_name", F.lit(",more,cells")).alias("Name")], {"quote": "\0"}),
+        "MACHINERY": ("MACHINERY", [key, name], {}),
+    }
+    for segment, (folder, columns, options) in shapes.items():
+        rows = c.filter((F.col("c_mktsegment") == segment) & F.lit(segment != "MACHINERY"))
+        rows.select(*columns).write.options(header=True, **options).csv(f"{base}/landing/{folder}/circuits")
+    raw = RawTable(f"{base}/raw", "circuits", ["Key", "Name"])
+    for _ in range(2):
+        ingest_new_files(spark, f"{base}/landing", raw, f"{base}/checkpoint", RUN)
+    rescued = F.from_json("_rescued_data", "map<string,string>")
+    rows = raw.read(spark).groupBy("utility_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("Key").cast("bigint")).alias("key_sum"),
+        F.sum(F.try_element_at(rescued, F.lit("batch_id")).cast("bigint")).alias("rescued_batch_ids"),
+        F.count(F.try_element_at(rescued, F.lit(LONG_ROW))).alias("long_rows"),
+    )
+    audited = raw.read_audit(spark).select("utility_id").distinct()
+    return audited.join(rows, "utility_id", "left").select(
+        "utility_id", F.coalesce("n", F.lit(0)).alias("n"), "key_sum", "rescued_batch_ids",
+        F.coalesce("long_rows", F.lit(0)).alias("long_rows"), F.lit(True).alias("audited"),
     )
-    query.awaitTermination()
-    files = spark.read.schema(stored.schema).parquet(f"{base}/audit-out").select("file_signature")
-    return raw.read(spark).join(files, "file_signature").groupBy("utility_id").agg(F.count("*").alias("rows_audited"))
 
 
 @bound("raw_stream_chain", """

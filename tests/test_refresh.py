@@ -1,6 +1,8 @@
 """Landed files to serving tables: two example tenants, a second delivery, a tenant by config."""
 
 import datetime as dt
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,7 +93,7 @@ def test_audit_has_one_row_per_file(refreshed):
     house, _ = refreshed
     audit = house.raw("circuits").read_audit(house.spark).collect()
     assert len(audit) == 3 and {a.had_index_column_artifact for a in audit} == {0, 1}
-    assert {a.file_name for a in audit} == {"c%201.csv", "feeders.csv", "x.csv"}
+    assert {a.file_name for a in audit} == {"c 1.csv", "feeders.csv", "x.csv"}
 
 
 def test_standardized_circuits(refreshed):
@@ -152,7 +154,7 @@ def test_second_delivery(refreshed):
     raw = house.raw("circuits")
     assert raw.columns(spark)[-1] == "Owner" and raw.read(spark).count() == 8
     assert raw.read_audit(spark).count() == 4
-    assert house.snapshots("circuits").runs(spark) == [RUN1.run_id, RUN2.run_id]
+    assert house.snapshots("circuits").runs(spark) == [RUN1.run_id, f"{RUN1.run_id}~utility9", RUN2.run_id]
     history = house.history("circuits").read(spark)
     versions = history.filter("feeder_id = 'utility2_36_13_81756'").orderBy("__START_AT").collect()
     day1, day2 = dt.datetime(2022, 10, 1), dt.datetime(2023, 10, 1)
@@ -236,3 +238,66 @@ def test_registry_errors(spark):
     assert list(registry.get_registered_utilities()) == ["utility1", "utility2"]
     with pytest.raises(ValueError):
         registry.standardize(spark.range(1), "weather")
+
+
+def test_segments_delivered_again(spark, tmp_path):
+    """The same segments with a later date give a newer row, no doubled sum and no version; metrics stay one row per
+    (run, table, tenant); each run is judged."""
+    landing = tmp_path / "landing"
+    house = Warehouse(spark, str(tmp_path / "tables"), example_registry(), RAW_COLUMNS)
+    first_delivery(landing)
+    house.refresh(str(landing), RUN1)
+    runs = [RUN1]
+    for month in (2, 3):
+        run = RunContext(f"run_2024{month:02}15_090000_cccccccc", dt.datetime(2024, month, 15, 9))
+        drop_file(landing, "utility1", "circuits", f"c{month}.csv", SEGMENTS,
+                  *[f"c1,12.5,10.5,8.0,2022-{6 + month:02}-0{i} 00:00:00+00:00,0.00 TO 0.29 BROWN-953736,{n}"
+                    for i, n in ((1, 100.0), (2, 150.0), (3, 200.0))])
+        house.refresh(str(landing), run)
+        runs.append(run)
+    versions = house.history("circuits").read(spark).filter("feeder_id = 'utility1_c1'").collect()
+    assert [(v.shape_length, v["__END_AT"]) for v in versions] == [(450.0, None)]
+    metrics = house.metrics()
+    keys = ["pipeline_update_id", "table_name", "utility_id"]
+    assert metrics.count() == metrics.select(keys).distinct().count() == 8
+    for run in runs:
+        judged = observe.volume_baseline(metrics, run.as_of)
+        assert judged.filter("table_name = 'circuits' AND utility_id = 'utility1'").count() == 1
+    assert observe.alert_severity(metrics, observe.volume_baseline(metrics)).count() == metrics.count()
+    lost = {(r.of_table, r.utility_id, r.rule_name): r.failed for r in house.losses().filter(f"run_id = '{RUN1.run_id}'").collect()}
+    assert lost["circuits", "utility1", "valid_hca_refresh_date"] == 1 and lost["circuits", "utility9", "registered_utility"] == 1
+    assert lost["der_installed", "utility2", "canonical_der_type_only"] == 2
+
+
+def test_imperfect_files_lose_nothing(spark, tmp_path):
+    landing = tmp_path / "landing"
+    table = RawTable(str(tmp_path / "raw"), "d", ["A", "B"])
+    drop_file(landing, "t", "d", "now.csv", "A,B", "1,2")
+    ingest_new_files(spark, str(landing), table, str(tmp_path / "cp"), RUN1)
+    drop_file(landing, "t", "d", "old.csv", "A,B", "3,4")
+    os.utime(landing / "t" / "d" / "old.csv", (1.6e9, 1.6e9))
+    drop_file(landing, "t", "d", "x[1] {2} 100%25.csv", "", "  ", "A,B", "5,6", '7,8,"EXTRA, 1",MORE')
+    drop_file(landing, "t", "d", "clash.csv", "A,batch_id,Utility_ID,source_file", "9,77,zz,s")
+    drop_file(landing, "t", "d", "head.csv", "A,B")
+    for _ in range(2):
+        ingest_new_files(spark, str(landing), table, str(tmp_path / "cp"), RUN2)
+    got = {r.A: r for r in table.read(spark).collect()}
+    assert set(got) == {"1", "3", "5", "7", "9"} and got["5"].B == "6" and got["5"]._rescued_data is None
+    assert json.loads(got["7"]._rescued_data)["_long_row"] == '7,8,"EXTRA, 1",MORE'
+    rescued = json.loads(got["9"]._rescued_data)
+    assert (rescued["batch_id"], rescued["Utility_ID"], rescued["source_file"]) == ("77", "zz", "s")
+    assert got["9"].utility_id == "t" and got["9"].B is None
+    names = [r.file_name for r in table.read_audit(spark).collect()]
+    assert sorted(names) == sorted(["now.csv", "old.csv", "x[1] {2} 100%25.csv", "clash.csv", "head.csv"])
+    signed = {r.file_signature for r in table.read_audit(spark).collect()}
+    assert {r.file_signature for r in got.values()} <= signed and len(signed) == 5
+
+
+def test_a_file_in_the_audit_is_not_stored_again(spark, tmp_path):
+    landing = tmp_path / "landing"
+    drop_file(landing, "t", "d", "a.csv", "A", "1")
+    table = RawTable(str(tmp_path / "raw"), "d", ["A"])
+    for checkpoint in ("one", "two"):  # a lost checkpoint lists everything anew
+        ingest_new_files(spark, str(landing), table, str(tmp_path / checkpoint), RUN1)
+    table.write_batch(spark, [f"{landing}/t/d/a.csv"], 7, RUN2)
+    assert table.read(spark).count() == 1 and table.read_audit(spark).count() == 1

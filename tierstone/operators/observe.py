@@ -100,11 +100,14 @@ def volume_baseline(
 ) -> DataFrame:
     """Each run judged against its rolling baseline.
 
-    With ``as_of`` only that day's runs come out, and only the days the baseline can reach go in.
+    With ``as_of`` only that day's runs come out; they are judged by the same earlier runs as
+    without it.  Later days never matter; with ``days``, days the baseline cannot reach don't go in.
     The day filter stays above the window: the window needs the earlier runs.
     """
     if as_of is not None:
-        metrics = metrics.filter(F.col(day) >= F.lit(as_of - dt.timedelta(days=BASELINE_ROWS + 1)))
+        metrics = metrics.filter(F.col(day) <= F.lit(as_of))
+        if days is not None:
+            metrics = metrics.filter(F.col(day) >= F.lit(as_of - dt.timedelta(days=days)))
     judged = baseline_stats(metrics, series, day, run, value, rows, days)
     judged = judged.withColumn("status", volume_status(value)).withColumn("explanation", volume_explanation(value))
     if as_of is not None:

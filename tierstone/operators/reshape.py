@@ -75,10 +75,10 @@ def unpivot_positive(
 ) -> DataFrame:
     """Wide capacity columns to one row per (ids, column) with a positive number.
 
-    Measures may be text; what does not parse, is NULL or is not above zero is left out.
+    Measures may be text; what does not parse, is NULL, not finite or not above zero is left out.
     """
     numbers = df.select(*ids, *[to_double(F.col(f"`{m}`")).alias(m) for m in measures])
-    return numbers.unpivot(list(ids), list(measures), name, value).filter(F.col(value) > 0)
+    return numbers.unpivot(list(ids), list(measures), name, value).filter((F.col(value) > 0) & (F.col(value) < float("inf")))
 
 
 def pivot_totals(

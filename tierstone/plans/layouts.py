@@ -29,6 +29,8 @@ FEEDER_FIELDS = (
     "voltage_kv_raw", "max_hosting_capacity_raw", "min_hosting_capacity_raw",
     "hca_refresh_date_raw", "color_code_raw", "shape_length_raw",
 )
+#: Optional: the shape of a feeder as text.
+GEOMETRY = "geom_wkt"
 
 
 def cleaned(df: DataFrame) -> DataFrame:
@@ -36,23 +38,30 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 
 def feeder_rows(native_id: str, fields: Mapping[str, str]) -> Layout:
-    """One raw row per feeder; ``fields`` maps intermediate names to raw columns."""
+    """One raw row per feeder; ``fields`` maps intermediate names, and GEOMETRY, to raw columns."""
     def layout(raw: DataFrame) -> DataFrame:
         df = cleaned(raw)
         return df.select(
             "utility_id",
             tenant_key(F.col("utility_id"), F.col(native_id)).alias("feeder_id"),
             F.col(native_id).alias("native_feeder_id"),
-            *[optional_column(df, fields.get(f)).alias(f) for f in FEEDER_FIELDS],
+            *[optional_column(df, fields.get(f)).alias(f) for f in [*FEEDER_FIELDS, *_geometry(fields)]],
             *LINEAGE_COLUMNS,
         )
 
     return layout
 
 
+def _geometry(fields: Mapping[str, str]) -> list[str]:
+    return [GEOMETRY] if GEOMETRY in fields else []
+
+
 def segment_rows(native_id: str, fields: Mapping[str, str]) -> Layout:
-    """Many raw rows per feeder: capacities by mode, length by sum, refresh date by max, the rest
-    by any value."""
+    """Many raw rows per feeder and delivery: capacities by mode, length by sum, refresh date by max, the rest
+    by any value.
+
+    A delivery is a whole of its own: segments that come again with a later one give a row of their
+    own, and the history orders both."""
     by_mode = ("max_hosting_capacity_raw", "min_hosting_capacity_raw")
     by_any = ("voltage_kv_raw", "color_code_raw")
 
@@ -61,16 +70,17 @@ def segment_rows(native_id: str, fields: Mapping[str, str]) -> Layout:
         col = {f: optional_column(df, fields.get(f)) for f in FEEDER_FIELDS}
         rolled = rollup_segments(
             df.withColumn("native_feeder_id", F.col(native_id)),
-            ["utility_id", "native_feeder_id"],
+            ["utility_id", "native_feeder_id", "pipeline_update_id"],
             mode={f: col[f] for f in by_mode},
-            any_value={f: col[f] for f in by_any} | {"pipeline_update_id": F.col("pipeline_update_id")},
+            any_value={f: col[f] for f in by_any} | {g: optional_column(df, fields[g]) for g in _geometry(fields)},
             total={"shape_length_raw": to_double(col["shape_length_raw"])},
             latest={"hca_refresh_date_raw": col["hca_refresh_date_raw"]},
             earliest={c: F.col(c) for c in ("ingestion_timestamp", "ingestion_date")},
         )
         feeder_id = tenant_key(F.col("utility_id"), F.col("native_feeder_id"))
         return rolled.select(
-            "utility_id", feeder_id.alias("feeder_id"), "native_feeder_id", *FEEDER_FIELDS, *LINEAGE_COLUMNS
+            "utility_id", feeder_id.alias("feeder_id"), "native_feeder_id", *FEEDER_FIELDS, *_geometry(fields),
+            *LINEAGE_COLUMNS,
         )
 
     return layout

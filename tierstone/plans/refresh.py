@@ -25,6 +25,11 @@ DER_RULES = {"valid_utility_id": "utility_id IS NOT NULL", "valid_der_type": "de
 DER_QUARANTINE = {
     "canonical_der_type_only": "der_type IN (" + ", ".join(f"'{t}'" for t in TECHNOLOGIES) + ")"
 }
+#: Rows without these never enter a history.
+HISTORY_RULES = {
+    dataset: {"history_key": " AND ".join(f"{c} IS NOT NULL" for c in [*flow.keys, flow.sequence])}
+    for dataset, flow in FLOWS.items()
+}
 RAW_RULES = {"schema_drift_detected": "_rescued_data IS NULL OR _rescued_data = ''"}
 
 
@@ -69,7 +74,7 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/metrics/quality").drop("run_id", "of_table")
 
     def unmapped(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/metrics/unmapped").drop("run_id")
+        return self.spark.read.parquet(f"{self.root}/metrics/unmapped").drop("run_id", "of_table")
 
     def ingest(self, landing: str, run: RunContext) -> None:
         for dataset in DATASETS:
@@ -81,40 +86,74 @@ class Warehouse:
         return quality.violations(self.raw(dataset).read(self.spark), RAW_RULES, by=["utility_id"])
 
     def standardize(self, run: RunContext) -> None:
-        """Publish the canonical tables of this run with their quarantine and metrics.
+        """Publish the canonical tables of each delivery not yet published, with quarantine and metrics.
 
-        Project rows are computed and written once, tagged; the standardised view, the quarantine
-        and the unmapped-type report all read that run.
+        A delivery is what one ingestion brought; it is standardised, measured and published by itself
+        under its own run id, so a run costs what is new and no row is measured twice.  Project rows are
+        computed and written once, tagged; the standardised view, the quarantine and the unmapped-type
+        report all read that run.
         """
         for dataset in DATASETS:
-            rows = self.registry.standardize(self.raw(dataset).read(self.spark), dataset)
-            if dataset == "circuits":
-                self.snapshots(dataset).publish(quality.expect_or_drop(rows, CIRCUIT_RULES), run.run_id)
-            else:
-                valid = quality.expect_or_drop(rows, DER_RULES)
-                tagged = quality.tag_for_quarantine(valid, DER_QUARANTINE)
-                self.snapshots(dataset).publish(tagged, run.run_id, partition_by=[quality.QUARANTINED])
-            self._store_metrics(dataset, run)
-        self._store_unmapped(run)
-
-    def _store_metrics(self, dataset: str, run: RunContext) -> None:
-        rows = self.standardized(dataset, run.run_id)
+            table = self.snapshots(dataset)
+            for delivery, delivered in self._pending(dataset).items():
+                rows = self.registry.standardize(delivered, dataset)
+                self._store_losses(dataset, delivery, delivered, rows)
+                if dataset == "circuits":
+                    table.publish(quality.expect_or_drop(rows, CIRCUIT_RULES), delivery)
+                else:
+                    valid = quality.expect_or_drop(rows, DER_RULES)
+                    tagged = quality.tag_for_quarantine(valid, DER_QUARANTINE)
+                    table.publish(tagged, delivery, partition_by=[quality.QUARANTINED])
+                self._store_metrics(dataset, delivery, run)
+                if dataset != "circuits":
+                    self._store_unmapped(dataset, delivery)
+
+    def _pending(self, dataset: str) -> dict[str, DataFrame]:
+        """Raw rows to standardise by the run id to publish them under: what a tenant had delivered before it was
+        registered, then the new deliveries."""
+        raw, done = self.raw(dataset), self.snapshots(dataset).runs(self.spark)
+        deliveries = raw.deliveries(self.spark)
+        pending: dict[str, DataFrame] = {}
+        if any(d in done for d in deliveries):
+            known = F.col("utility_id").isin(*self.registry.get_registered_utilities())
+            left = self.losses().filter((F.col("of_table") == dataset) & (F.col("rule_name") == "registered_utility") & known)
+            for row in left.select("run_id", "utility_id").distinct().orderBy("run_id", "utility_id").collect():
+                name = f"{row.run_id}~{row.utility_id}"
+                if row.run_id in done and name not in done:
+                    pending[name] = raw.read_delivery(self.spark, row.run_id).filter(F.col("utility_id") == row.utility_id)
+        return pending | {d: raw.read_delivery(self.spark, d) for d in deliveries if d not in done}
+
+    def _store_metrics(self, dataset: str, delivery: str, run: RunContext) -> None:
+        rows = self.standardized(dataset, delivery)
         if dataset == "circuits":
             found = quality.quality_metrics(
                 rows, dataset, "feeder_id", "max_hosting_capacity_mw", refreshed="hca_refresh_date", as_of=run.date()
             )
         else:
             found = quality.quality_metrics(rows, dataset, "der_id", "nameplate_rating_kw", reference="feeder_id")
-        out = f"{self.root}/metrics/quality/run_id={run.run_id}/of_table={dataset}"
-        found.coalesce(1).write.mode("overwrite").parquet(out)
+        out = f"{self.root}/metrics/quality/run_id={delivery}/of_table={dataset}"
+        found.write.mode("overwrite").parquet(out)
 
-    def _store_unmapped(self, run: RunContext) -> None:
+    def _store_unmapped(self, dataset: str, delivery: str) -> None:
         """On the rows before quarantine, which is where unmapped types still are."""
-        tagged = [self.snapshots(d).read(self.spark, run.run_id) for d in DATASETS if d != "circuits"]
-        found = quality.unmapped_types(
-            tagged[0].unionByName(tagged[1], allowMissingColumns=True), self.registry.free_text_tenants()
-        )
-        found.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/unmapped/run_id={run.run_id}")
+        tagged = self.snapshots(dataset).read(self.spark, delivery)
+        found = quality.unmapped_types(tagged, self.registry.free_text_tenants())
+        found.write.mode("overwrite").parquet(f"{self.root}/metrics/unmapped/run_id={delivery}/of_table={dataset}")
+
+    def _store_losses(self, dataset: str, delivery: str, delivered: DataFrame, rows: DataFrame) -> None:
+        """Rows per tenant that rules drop or quarantine, that no history takes, and that no registry entry picks up."""
+        rules = CIRCUIT_RULES if dataset == "circuits" else DER_RULES | DER_QUARANTINE
+        lost = quality.violations(rows, rules | HISTORY_RULES[dataset], by=["utility_id"])
+        strangers = quality.unregistered_tenants(delivered, self.registry.get_registered_utilities())
+        count = F.col("record_count")
+        lost = lost.unionByName(strangers.select(
+            "utility_id", F.lit("registered_utility").alias("rule_name"), count.alias("checked"), count.alias("failed")
+        ))
+        lost.write.mode("overwrite").parquet(f"{self.root}/metrics/losses/run_id={delivery}/of_table={dataset}")
+
+    def losses(self) -> DataFrame:
+        """(run_id, of_table, utility_id, rule_name, checked, failed) of all deliveries."""
+        return self.spark.read.parquet(f"{self.root}/metrics/losses")
 
     def update_history(self) -> None:
         """Take every published run not yet in the history, oldest first."""

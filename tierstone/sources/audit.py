@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.functions.lineage import file_name
+from tierstone.context import RunContext
+from tierstone.functions.lineage import file_name, file_signature, tenant_from_path
+from tierstone.sources.csv_drops import plain_path
 
 # Columns of the audit table.
 AUDIT_COLUMNS = (
@@ -33,6 +35,22 @@ def audit_rows(raw: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def listed_files(files: DataFrame, dataset: str, run: RunContext) -> DataFrame:
+    """Audit columns of listed files (``path``, ``length``, ``modificationTime``), whether they have rows or not."""
+    path = plain_path(F.replace("path", F.lit("%"), F.lit("%25")))
+    return files.select(
+        path.alias("file_path"),
+        file_name(path).alias("file_name"),
+        file_signature(path, F.col("length"), F.col("modificationTime")).alias("file_signature"),
+        tenant_from_path(path).alias("utility_id"),
+        F.lit(dataset).alias("dataset_type"),
+        run.timestamp().alias("ingestion_timestamp"),
+        F.lit(run.run_id).alias("pipeline_update_id"),
+        F.lit("SUCCEEDED").alias("status"),
+        F.lit(0).alias("had_index_column_artifact"),
+    )
+
+
 def one_row_per_file(rows: DataFrame) -> DataFrame:
     """First delivery of each signature; a file counts as having had the artifact if any row did.
 

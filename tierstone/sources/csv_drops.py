@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,21 +20,39 @@ from tierstone.vocab import CASE_VARIANTS
 # The delivered CSV dialect.
 DIALECT = {"header": True, "quote": '"', "escape": '"', "multiLine": False}
 RESCUED = "_rescued_data"
+#: Columns the pipeline adds itself; a delivered column of such a name goes to the rescued data.
+RESERVED = (
+    RESCUED, "_index_col_dropped", "ingestion_timestamp", "ingestion_date", "pipeline_update_id", "source_file",
+    "file_signature", "batch_id", "utility_id",
+)
+#: Key in the rescued data for the text of a row with more cells than the header.
+LONG_ROW = "_long_row"
 
 
 def tenant_glob(landing: str, dataset: str) -> str:
     return f"{landing.rstrip('/')}/*/{dataset}"
 
 
+def literal(path: str) -> str:
+    """A path that a reader takes as it is, whatever glob characters its name has."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def plain_path(path: Column) -> Column:
+    """A file's name as it was given: metadata columns show it URL-encoded, with three slashes if it is local."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:///")
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file_path, header): the first line of each file.
+    """(file_path, header): the first line of each file that is not blank; none for a file without one.
 
     One CSV scan over files with different headers would map them by position, so headers come
     first.  Only the first block of each file can hold it.
     """
-    lines = spark.read.text(list(paths)).select(
+    lines = spark.read.text([literal(p) for p in paths]).where(F.col("value").rlike(r"[^\x00-\x20]")).select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
+        plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line"),
     )
@@ -47,7 +65,7 @@ def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list
     driver anyway."""
     groups: dict[str, list[str]] = {}
     for row in file_headers(spark, paths).collect():
-        groups.setdefault(row.header, []).append(unquote(row.file_path))
+        groups.setdefault(row.header, []).append(row.file_path)
     return groups
 
 
@@ -63,8 +81,8 @@ def header_cells(header: str) -> list[str]:
 
 
 def new_column_names(headers: Iterable[str], known: Sequence[str]) -> list[str]:
-    """Named columns no known column equals in any casing, in order of appearance."""
-    taken = {k.lower() for k in known}
+    """Named columns no known or reserved column equals in any casing, in order of appearance."""
+    taken = {k.lower() for k in [*known, *RESERVED]}
     added = []
     for header in sorted(headers):
         for i, name in enumerate(header_cells(header)):
@@ -77,17 +95,20 @@ def new_column_names(headers: Iterable[str], known: Sequence[str]) -> list[str]:
 def _read_group(spark: SparkSession, header: str, paths: list[str], known: Sequence[str]) -> DataFrame:
     names = header_cells(header)
     positional = [f"_p{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in positional])
-    rows = spark.read.options(**DIALECT).schema(schema).csv(paths)
+    text = T.StringType()
+    schema = T.StructType([T.StructField(p, text) for p in [*positional, "_line"]])
+    rows = spark.read.options(**DIALECT, columnNameOfCorruptRecord="_line").schema(schema).csv([literal(p) for p in paths])
     at = dict(zip(names, positional))
-    path = F.col("_metadata.file_path")
+    path = plain_path(F.col("_metadata.file_path"))
     strays = [F.struct(F.lit(n).alias("key"), F.col(p).alias("value")) for n, p in at.items() if n not in known]
-    if strays:
-        present = F.filter(F.array(*strays), lambda s: s["value"].isNotNull())
-        with_path = F.concat(present, F.array(F.struct(F.lit("_file_path").alias("key"), path.alias("value"))))
-        rescued = F.when(F.size(present) > 0, object_or_null(F.map_from_entries(with_path)))
-    else:
-        rescued = F.lit(None).cast("string")
+    # a row of another length comes with its text; it is longer if it has a cell behind the last column
+    wider = ", ".join(f"{p} string" for p in [*positional, "_behind", "_line"])
+    behind = F.from_csv("_line", F.lit(wider), {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_line"})
+    longer = F.when(F.col("_line").isNotNull() & behind["_behind"].isNotNull(), F.col("_line"))
+    strays.append(F.struct(F.lit(LONG_ROW).alias("key"), longer.alias("value")))
+    present = F.filter(F.array(*strays), lambda s: s["value"].isNotNull())
+    with_path = F.concat(present, F.array(F.struct(F.lit("_file_path").alias("key"), path.alias("value"))))
+    rescued = F.when(F.size(present) > 0, object_or_null(F.map_from_entries(with_path)))
     return rows.select(
         *[(F.col(at[k]) if k in at else F.lit(None).cast("string")).alias(k) for k in known],
         rescued.alias(RESCUED),
@@ -106,7 +127,8 @@ def read_drops(
 ) -> DataFrame:
     """Rows of all files as text columns ``known``, with lineage and rescued data.
 
-    Columns outside ``known`` (matched case-exactly) go to ``_rescued_data``; casing variants come
+    Columns outside ``known`` (matched case-exactly) go to ``_rescued_data``, and so do reserved
+    names and, under LONG_ROW, rows with more cells than the header; casing variants come
     back into their column and pure artifacts are cleared.  To let new columns in, pass ``known``
     extended by :func:`new_column_names`.
     """

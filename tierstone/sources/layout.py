@@ -6,6 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _hashable(kind: T.DataType) -> bool:
+    """Maps cannot be hashed, nor anything that holds one."""
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
 
 
 def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -14,7 +20,7 @@ def clustered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     A hash of the row is the last range column: a value with very many rows is cut over several
     partitions instead of filling one.
     """
-    spread = F.xxhash64(*df.columns)
+    spread = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if _hashable(f.dataType)])
     return df.repartitionByRange(*[F.col(c) for c in by], spread).sortWithinPartitions(*by)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierstone.sources.snapshots import MANIFEST_SCHEMA, SnapshotTable
+from tierstone.streaming.ingest import ANY_AGE
 
 
 def follow_runs(
@@ -23,7 +24,7 @@ def follow_runs(
             handle(session.read.parquet(table.run_path(row.run_id)), row.run_id)
 
     query = (
-        spark.readStream.schema(MANIFEST_SCHEMA).parquet(table.manifest_path)
+        spark.readStream.option("maxFileAge", ANY_AGE).schema(MANIFEST_SCHEMA).parquet(table.manifest_path)
         .writeStream.foreachBatch(relay)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -41,6 +42,6 @@ def append_metrics(
     here a run arrives as a whole.
     """
     def store(rows: DataFrame, run_id: str) -> None:
-        metrics(rows).coalesce(1).write.mode("overwrite").parquet(f"{out}/run_id={run_id}")
+        metrics(rows).write.mode("overwrite").parquet(f"{out}/run_id={run_id}")
 
     follow_runs(spark, table, checkpoint, store)
