@@ -89,7 +89,10 @@ def _cells(fp: Column) -> Column:
 
 
 def _forest(prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links (positions) that connect all that small distances connect, without listing all pairs."""
+    """Pairs (member, root) of positions that connect all that small distances connect, without listing all pairs.
+
+    The search goes breadth first from a root; each member found is tied to the root, which keeps the graph shallow.
+    """
     links, left = [], np.arange(1, len(prints))
     heads = [0]
     root = 0
@@ -145,11 +148,11 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between the ``first`` of distinct fingerprints, enough to connect all that differ by 4 bits or fewer.
+    """Pairs (a, b) of the ``first`` of distinct fingerprints that connect all that differ by 4 bits or fewer.
 
     ``prints`` has one row per distinct fingerprint: ``fp`` and an id ``first``. Cells are dealt by number; within a
-    cell, fingerprints are joined breadth first, so a cell full of near copies gives links in proportion to its
-    size. Every link is a true one.
+    cell, fingerprints are joined breadth first, so a cell full of near copies gives pairs in proportion to its
+    size. Two of a pair differ by 4 bits or fewer, or a chain of others that do lies between them.
     """
     cells = prints.select(F.explode(_cells(F.col("fp"))).alias("cell"), "fp", "first")
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_linked, "a long, b long").distinct()
