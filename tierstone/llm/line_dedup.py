@@ -29,7 +29,7 @@ EDITS = 2
 #: Lines of fewer characters (without blanks at the ends) stay and are compared with none.
 LEAST_CHARS = 20
 #: Lines whose places a task compares with each other before the shuffle.
-BLOCK_LINES = 400_000
+BLOCK_LINES = 150_000
 
 ENTERED, ASKED = 0, 1
 
