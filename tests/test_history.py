@@ -6,7 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierstone.operators.history import as_of, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows
+from tierstone.operators.history import (
+    as_of, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows, unseen_events,
+)
+from tierstone.sources.buckets import BucketTable
 
 DAY = dt.date(2024, 1, 1)
 SCHEMA = "tenant string, id string, day date, kw double, note string, loaded int"
@@ -107,14 +110,14 @@ def test_merge_in_order_needs_no_history(spark):
     assert rows(merged) == expected(events)
 
 
-@pytest.mark.parametrize("untracked", ["update", "version"])
-def test_merge_of_whole_snapshots_needs_history_only_for_corrections(spark, untracked):
+@pytest.mark.parametrize("untracked, rows_per_task", [("update", 2_000_000), ("version", 2_000_000), ("update", 5), ("version", 5)])
+def test_merge_of_whole_snapshots_needs_history_only_for_corrections(spark, untracked, rows_per_task):
     """A snapshot that repeats everything seen and adds later days never reads the history."""
     events = sorted(make_events(9, n=250), key=lambda e: (e[2], e[5]))
     days = sorted({e[2] for e in events})
     upto = lambda d: [e for e in events if e[2] <= d]
     first, last = days[len(days) // 2], days[-1]
-    args = dict(ARGS, untracked=untracked)
+    args = dict(ARGS, untracked=untracked, rows_per_task=rows_per_task)
     target = scd2_build(spark.createDataFrame(upto(first), SCHEMA), **args)
     unread = spark.createDataFrame([], SCHEMA)
     # copies of one key and day that lost their tie are corrections to the merge, so leave them out
@@ -125,6 +128,48 @@ def test_merge_of_whole_snapshots_needs_history_only_for_corrections(spark, untr
     assert rows(again) == expected(events, untracked)
 
 
+def test_repeated_snapshot_of_a_hot_key_is_no_news(spark):
+    events = sorted(make_events(11, n=200), key=lambda e: (e[2], e[5]))
+    winners = spark.createDataFrame(list({e[:3]: e for e in events}.values()), SCHEMA)
+    target = scd2_build(winners, **ARGS)
+    for rows_per_task in (2_000_000, 3):
+        news = unseen_events(target, winners, ARGS["keys"], "day", ARGS.get("tracked"), ARGS.get("drop", ()), rows_per_task=rows_per_task)
+        assert news.count() == 0
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_merge_that_closes_missing_keys_equals_rebuild(spark, seed):
+    events = sorted(make_events(seed, n=120), key=lambda e: (e[2], e[5]))
+    cut = len(events) // 2
+    args = dict(ARGS, close_missing=["tenant"])
+    whole = spark.createDataFrame(events, SCHEMA)
+    target = scd2_build(spark.createDataFrame(events[:cut], SCHEMA), **args)
+    merged = scd2_merge(target, spark.createDataFrame(events[cut:], SCHEMA), history=whole, **args)
+    assert rows(merged) == rows(scd2_build(whole, **args))
+
+
+def test_bucket_table_replaces_touched_buckets_only(spark, tmp_path):
+    table = BucketTable(str(tmp_path / "t"), ["k"], 8)
+    assert table.runs(spark) == []
+    with pytest.raises(ValueError):
+        table.read(spark)
+    table.publish(spark.range(40).selectExpr("id AS k", "1 AS v"), "r1", range(8), ["k"])
+    one = spark.createDataFrame([(3, 9)], "k long, v int")
+    (b,) = table.touched(one)
+    near = table.read(spark, [b])
+    changed = near.withColumn("v", F.when(F.col("k") == 3, 9).otherwise(F.col("v"))).withColumn("w", F.lit("new"))
+    table.publish(changed, "r2", [b])
+    table.publish(one.limit(0), "r2", [b])  # published already
+    table.publish(one, "r3", [])
+    assert table.runs(spark) == ["r1", "r2", "r3"]
+    got = {r.k: r.v for r in table.read(spark).collect()}
+    assert got == {k: 9 if k == 3 else 1 for k in range(40)}
+    assert len(list((tmp_path / "t" / "data").glob("run_id=r2/_bucket=*"))) == 1
+    assert not (tmp_path / "t" / "data" / "run_id=r3").exists()
+    table.publish(one.limit(0), "r4", [b])
+    assert 3 not in {r.k for r in table.read(spark).collect()}
+
+
 def test_versions_are_contiguous_and_one_is_open(spark):
     got = rows(scd2_build(spark.createDataFrame(make_events(8), SCHEMA), **ARGS))
     by_key = {}

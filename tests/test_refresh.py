@@ -72,7 +72,7 @@ def refreshed(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("warehouse")
     landing = base / "landing"
     first_delivery(landing)
-    house = Warehouse(spark, str(base / "tables"), example_registry(), RAW_COLUMNS)
+    house = Warehouse(spark, str(base / "tables"), example_registry(), RAW_COLUMNS, history_buckets=4)
     house.refresh(str(landing), RUN1)
     return house, landing
 
@@ -160,7 +160,7 @@ def test_second_delivery(refreshed):
     day1, day2 = dt.datetime(2022, 10, 1), dt.datetime(2023, 10, 1)
     assert [(v.max_hosting_capacity_mw, v["__START_AT"], v["__END_AT"]) for v in versions] == [(5.5, day1, day2), (7.5, day2, None)]
     assert filter_current(history).filter("utility_id = 'utility9'").count() == 1
-    rebuilt = Warehouse(spark, house.root, house.registry, RAW_COLUMNS)
+    rebuilt = Warehouse(spark, house.root, house.registry, RAW_COLUMNS, history_buckets=4)
     from tierstone.plans.flows import FLOWS
     for dataset, flow in FLOWS.items():
         whole = flow.build(rebuilt.retained(dataset))
@@ -244,7 +244,7 @@ def test_segments_delivered_again(spark, tmp_path):
     """The same segments with a later date give a newer row, no doubled sum and no version; metrics stay one row per
     (run, table, tenant); each run is judged."""
     landing = tmp_path / "landing"
-    house = Warehouse(spark, str(tmp_path / "tables"), example_registry(), RAW_COLUMNS)
+    house = Warehouse(spark, str(tmp_path / "tables"), example_registry(), RAW_COLUMNS, history_buckets=4)
     first_delivery(landing)
     house.refresh(str(landing), RUN1)
     runs = [RUN1]
@@ -264,6 +264,11 @@ def test_segments_delivered_again(spark, tmp_path):
         judged = observe.volume_baseline(metrics, run.as_of)
         assert judged.filter("table_name = 'circuits' AND utility_id = 'utility1'").count() == 1
     assert observe.alert_severity(metrics, observe.volume_baseline(metrics)).count() == metrics.count()
+    files = lambda: sorted(str(p) for p in (tmp_path / "tables" / "history").rglob("data/**/*.parquet"))
+    before = files()
+    drop_file(landing, "utility2", "circuits", "same.csv", FEEDERS, '0,36_13_81756,13.2,5.5,1.0,2022/10/01 00:00:00+00,blue,1.27')
+    house.refresh(str(landing), RunContext("run_20240415_090000_dddddddd", dt.datetime(2024, 4, 15, 9)))
+    assert files() == before and house.history("circuits").runs(spark)[-1] == "run_20240415_090000_dddddddd"
     lost = {(r.of_table, r.utility_id, r.rule_name): r.failed for r in house.losses().filter(f"run_id = '{RUN1.run_id}'").collect()}
     assert lost["circuits", "utility1", "valid_hca_refresh_date"] == 1 and lost["circuits", "utility9", "registered_utility"] == 1
     assert lost["der_installed", "utility2", "canonical_der_type_only"] == 2

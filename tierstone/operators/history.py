@@ -204,30 +204,69 @@ def scd2_merge(
     drop: Sequence[str] = (),
     tiebreak: Sequence[str] = (),
     untracked: str = "update",
+    close_missing: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """History after ``new_events``; equal to :func:`scd2_build` over everything seen so far.
 
-    ``new_events`` may be a whole snapshot again: observations the history already holds are
-    recognised and left out first, and what remains is stored, so every later step is as large as
-    the news and not as the snapshot.  Keys without news pass through.  Where every new sequence
-    lies after the key's last observation, the open version and the news are enough.  Other keys
-    had a late or corrected observation; collapsed versions cannot absorb it, so those keys, and
-    only those, are rebuilt from ``history``: the retained snapshots, the new ones included.
-    ``history`` is not read at all when nothing came late.
+    :func:`unseen_events` followed by :func:`merge_unseen`, which see.
+    """
+    news = unseen_events(target, new_events, keys, sequence, tracked, drop, untracked, rows_per_task)
+    return merge_unseen(target, news, keys, sequence, history, tracked, drop, tiebreak, untracked, close_missing, rows_per_task)
+
+
+def unseen_events(
+    target: DataFrame,
+    new_events: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    tracked: Sequence[str] | None = None,
+    drop: Sequence[str] = (),
+    untracked: str = "update",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The keyed rows of ``new_events`` that ``target`` does not account for, stored in the shared folder.
+
+    Keys with many rows, new ones and stored versions together, are cut into segments like in the build.
     """
     keys = list(keys)
     fresh = _keyed(new_events, keys, sequence)
     values, compared = _roles(fresh, keys, sequence, tracked, drop, untracked)
-    hot = find_hot_keys(fresh, keys, sequence, rows_per_task)
-    # the covering version is looked up in one window per key; a hot key goes on unchecked
-    if hot is None:
-        news = _unknown(fresh, target, keys, sequence, values, compared)
-    else:
-        checked = _unknown(without_hot_keys(fresh, hot, keys), target, keys, sequence, values, compared)
-        news = checked.unionByName(fresh.join(F.broadcast(hot.frame.select(*keys)), keys))
-    news = cut_lineage(news)
+    places = fresh.select(*keys, F.col(sequence).alias("_at")).unionAll(target.select(*keys, F.col(START_AT).alias("_at")))
+    hot = find_hot_keys(places, keys, "_at", rows_per_task)
+    return cut_lineage(_unknown(fresh, target, hot, keys, sequence, values, compared))
 
+
+def merge_unseen(
+    target: DataFrame,
+    news: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    history: DataFrame,
+    tracked: Sequence[str] | None = None,
+    drop: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+    untracked: str = "update",
+    close_missing: Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``target`` with the rows that :func:`unseen_events` has found.
+
+    Every step is as large as the news and not as the snapshot they came in.  Keys without news pass through.  Where every new sequence
+    lies after the key's last observation, the open version and the news are enough.  Other keys
+    had a late or corrected observation; collapsed versions cannot absorb it, so those keys, and
+    only those, are rebuilt from ``history``: the retained snapshots, the new ones included.
+    ``history`` is not read at all when nothing came late.  With ``close_missing`` a snapshot also says what is
+    no longer there, so each scope with news is rebuilt from ``history`` as a whole.
+    """
+    keys = list(keys)
+    if close_missing is not None:
+        scope = list(close_missing)
+        scopes = news.select(*scope).distinct()
+        again = cut_lineage(_keyed(history, keys, sequence).join(scopes, scope, "left_semi"))
+        rebuilt = scd2_build(again, keys, sequence, tracked, drop, tiebreak, untracked, close_missing, rows_per_task)
+        return target.join(scopes, scope, "left_anti").unionByName(rebuilt, allowMissingColumns=True)
+    hot = find_hot_keys(news, keys, sequence, rows_per_task)
     first_new = news.groupBy(*keys).agg(F.min(sequence).alias("_first_new"))
     last_seen = target.join(first_new.select(*keys), keys, "left_semi").groupBy(*keys).agg(
         F.max(F.greatest(F.col(sequence), F.coalesce(F.col(END_AT), F.col(sequence)))).alias("_last_seen")
@@ -254,7 +293,8 @@ def scd2_merge(
 
 
 def _unknown(
-    fresh: DataFrame, target: DataFrame, keys: list[str], sequence: str, values: list[str], compared: list[str]
+    fresh: DataFrame, target: DataFrame, hot: HotKeys | None, keys: list[str], sequence: str, values: list[str],
+    compared: list[str],
 ) -> DataFrame:
     """The rows of ``fresh`` that the versions in ``target`` do not already account for.
 
@@ -272,15 +312,30 @@ def _unknown(
     rows = fresh.withColumn("_at", F.col(sequence)).withColumn("_is_row", F.lit(1))
     both = rows.unionByName(versions, allowMissingColumns=True)
     # versions have no _is_row and so come before a row of the same sequence
-    so_far = Window.partitionBy(*keys).orderBy("_at", "_is_row").rowsBetween(Window.unboundedPreceding, 0)
-    cover = F.last("_version", ignorenulls=True).over(so_far)
+    covered = _covered(both if hot is None else without_hot_keys(both, hot, keys), keys)
+    if hot is not None:
+        heavy = only_hot_keys(both, hot, keys, "_at")
+        along = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+        last = heavy.groupBy(*keys, SEGMENT).agg(
+            F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_at"))).alias("_last")
+        )
+        before = last.select(*keys, SEGMENT, F.last("_last", ignorenulls=True).over(along).alias("_before"))
+        inner = _covered(heavy, [*keys, SEGMENT]).join(before, [*keys, SEGMENT])
+        inner = inner.withColumn("_cover", F.coalesce("_cover", "_before"))
+        covered = covered.unionByName(inner.select(*covered.columns))
     same = F.lit(True)
     for c in compared:
         same = same & F.col(f"_cover.shown.{c}").eqNullSafe(F.col(c))
     inside = F.col(sequence) < F.col("_cover.last")
     repeated = box(values).eqNullSafe(F.col("_cover.shown"))
     known = F.col("_cover").isNotNull() & same & (inside | repeated)
-    return both.withColumn("_cover", cover).filter(F.col("_is_row").isNotNull() & ~known).select(*fresh.columns)
+    return covered.filter(F.col("_is_row").isNotNull() & ~known).select(*fresh.columns)
+
+
+def _covered(both: DataFrame, parts: list[str]) -> DataFrame:
+    """Add ``_cover``: the version before or at each row of its part."""
+    so_far = Window.partitionBy(*parts).orderBy("_at", "_is_row").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("_cover", F.last("_version", ignorenulls=True).over(so_far))
 
 
 def _column_named(df: DataFrame, name: str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tierstone.operators.history import scd2_build, scd2_merge
+from tierstone.operators.history import merge_unseen, scd2_build, scd2_merge, unseen_events
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,26 @@ class HistoryFlow:
     drop: Sequence[str]
     cluster_by: Sequence[str] = ("utility_id", "feeder_id")
     tiebreak: Sequence[str] = ("ingestion_timestamp",)
+    close_missing: Sequence[str] | None = None
 
     def build(self, events: DataFrame) -> DataFrame:
-        return scd2_build(events, self.keys, self.sequence, self.tracked, self.drop, self.tiebreak)
+        return scd2_build(
+            events, self.keys, self.sequence, self.tracked, self.drop, self.tiebreak, close_missing=self.close_missing
+        )
 
     def merge(self, target: DataFrame, new_events: DataFrame, history: DataFrame) -> DataFrame:
         return scd2_merge(
-            target, new_events, self.keys, self.sequence, history, self.tracked, self.drop, self.tiebreak
+            target, new_events, self.keys, self.sequence, history, self.tracked, self.drop, self.tiebreak,
+            close_missing=self.close_missing,
+        )
+
+    def unseen(self, target: DataFrame, new_events: DataFrame) -> DataFrame:
+        return unseen_events(target, new_events, self.keys, self.sequence, self.tracked, self.drop)
+
+    def merge_unseen(self, target: DataFrame, news: DataFrame, history: DataFrame) -> DataFrame:
+        return merge_unseen(
+            target, news, self.keys, self.sequence, history, self.tracked, self.drop, self.tiebreak,
+            close_missing=self.close_missing,
         )
 
 

@@ -11,6 +11,7 @@ from tierstone.context import RunContext
 from tierstone.operators import quality, serving
 from tierstone.plans.flows import FLOWS
 from tierstone.plans.registry import DATASETS, TenantRegistry
+from tierstone.sources.buckets import BucketTable
 from tierstone.sources.snapshots import SnapshotTable
 from tierstone.streaming.ingest import RawTable, ingest_new_files
 from tierstone.vocab import TECHNOLOGIES
@@ -41,6 +42,7 @@ class Warehouse:
     root: str
     registry: TenantRegistry
     raw_columns: dict[str, list[str]] = field(default_factory=dict)
+    history_buckets: int = 256
 
     def raw(self, dataset: str) -> RawTable:
         return RawTable(f"{self.root}/raw/{dataset}", dataset, self.raw_columns[dataset])
@@ -64,8 +66,8 @@ class Warehouse:
     def _valid(dataset: str, rows: DataFrame) -> DataFrame:
         return rows if dataset == "circuits" else quality.read_passed(rows)
 
-    def history(self, dataset: str) -> SnapshotTable:
-        return SnapshotTable(f"{self.root}/history/{dataset}")
+    def history(self, dataset: str) -> BucketTable:
+        return BucketTable(f"{self.root}/history/{dataset}", FLOWS[dataset].keys, self.history_buckets)
 
     def served(self, view: str) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/serving/{view}")
@@ -156,17 +158,25 @@ class Warehouse:
         return self.spark.read.parquet(f"{self.root}/metrics/losses")
 
     def update_history(self) -> None:
-        """Take every published run not yet in the history, oldest first."""
+        """Take every published run not yet in the history, oldest first.
+
+        A run reads the buckets that hold its keys and writes those that hold news; a delivery that
+        repeats what is known writes none.
+        """
         for dataset, flow in FLOWS.items():
             target = self.history(dataset)
             done = target.runs(self.spark)
             for run_id in [r for r in self.snapshots(dataset).runs(self.spark) if r not in done]:
                 new = self.standardized(dataset, run_id)
-                if done:
-                    rows = flow.merge(target.read(self.spark), new, self.retained(dataset))
-                else:
+                if not done:
                     rows = flow.build(new)
-                target.publish(rows, run_id, cluster_by=flow.cluster_by)
+                    target.publish(rows, run_id, range(target.buckets), flow.cluster_by)
+                else:
+                    near = target.read(self.spark, target.touched(new))
+                    news = flow.unseen(near, new)
+                    changed = target.touched(news)
+                    rows = flow.merge_unseen(target.read(self.spark, changed), news, self.retained(dataset)) if changed else near
+                    target.publish(rows, run_id, changed, flow.cluster_by)
                 done = [*done, run_id]
 
     def serve(self, run: RunContext) -> None:

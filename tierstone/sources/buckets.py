@@ -1,0 +1,100 @@
+"""Tables that change key by key: rows lie in buckets of a key hash, and a run replaces only the buckets it touches."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tierstone.sources.layout import clustered
+
+BUCKET = "_bucket"
+#: In the manifest, the entry of the run itself.
+WHOLE_RUN = -1
+MANIFEST = "run_id string, version long, bucket int, filled boolean"
+
+
+@dataclass(frozen=True)
+class BucketTable:
+    """``data/run_id=.../_bucket=n`` holds the bucket as that run left it; a manifest says which run a bucket is of.
+
+    A run writes the buckets it changes and is then named in the manifest, in one append with the numbers of these
+    buckets; all others stay where earlier runs put them.  A reader resolves the manifest, so it never sees half a
+    run, and nothing that is read is written over.  Publishing a run again changes nothing.  One writer at a time.
+    """
+
+    root: str
+    keys: Sequence[str]
+    buckets: int = 256
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _manifest(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def runs(self, spark: SparkSession) -> list[str]:
+        """Published runs, oldest first."""
+        manifest = self._manifest(spark)
+        if manifest is None:
+            return []
+        own = manifest.filter(F.col("bucket") == WHOLE_RUN).groupBy("run_id").agg(F.min("version").alias("v"))
+        return [r.run_id for r in own.orderBy("v").collect()]
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Numbers of the buckets that hold a key of ``rows``; at most ``buckets`` of them."""
+        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
+
+    def _paths(self, spark: SparkSession, only: Iterable[int] | None) -> list[str]:
+        manifest = self._manifest(spark)
+        if manifest is None:
+            raise ValueError(f"no published run in {self.root}")
+        newest = manifest.filter(F.col("bucket") != WHOLE_RUN).groupBy("bucket").agg(
+            F.max_by(F.struct("run_id", "filled"), "version").alias("e")
+        )
+        wanted = None if only is None else set(only)
+        return [
+            f"{self.root}/data/run_id={r.e.run_id}/{BUCKET}={r.bucket}"
+            for r in newest.orderBy("bucket").collect() if r.e.filled and (wanted is None or r.bucket in wanted)
+        ]
+
+    def read(self, spark: SparkSession, only: Iterable[int] | None = None) -> DataFrame:
+        """The rows of all buckets, or of some; columns that a bucket lacks are NULL."""
+        paths = self._paths(spark, only)
+        empty = f"{self.root}/columns"
+        return spark.read.option("mergeSchema", True).parquet(empty, *paths)
+
+    def publish(self, df: DataFrame, run_id: str, touched: Iterable[int], cluster_by: Sequence[str] = ()) -> None:
+        """Make ``df``, all rows of the ``touched`` buckets, their new content; with none of them only the run is named."""
+        spark = df.sparkSession
+        done = self.runs(spark)
+        if run_id in done:
+            return
+        touched, filled = list(touched), set()
+        if touched:
+            path = f"{self.root}/data/run_id={run_id}"
+            rows = clustered(df.withColumn(BUCKET, self.bucket()), [BUCKET, *cluster_by])
+            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+            filled = self._filled(spark, path)
+        if not done:
+            df.limit(0).write.mode("overwrite").parquet(f"{self.root}/columns")
+        entries = [(run_id, len(done), b, b in filled) for b in [*touched, WHOLE_RUN]]
+        spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+
+    @staticmethod
+    def _filled(spark: SparkSession, path: str) -> set[int]:
+        """The buckets that a run has written files for."""
+        try:
+            return {r[0] for r in spark.read.parquet(path).select(BUCKET).distinct().collect()}
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return set()
