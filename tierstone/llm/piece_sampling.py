@@ -49,17 +49,23 @@ class PieceTable:
         self.weight = np.zeros(size)
         self.weight[usable] = scores
         self.longest = max(len(self.pieces[i]) for i in usable)
-        hashes = [self.hash_of(self.pieces[i]) for i in usable]
-        self.ids = HashTable(np.array(hashes, np.uint64), np.array(usable, np.int32))
-        heads = np.array(list({self.hash_of(self.pieces[i][:k]) for i in usable for k in range(1, len(self.pieces[i]))}), np.uint64)
-        self.heads = HashTable(heads, np.ones(len(heads), np.int32))
+        # value: twice the id plus one (0 if the characters only begin a piece), odd if a longer piece begins so
+        values: dict[int, int] = {}
+        for i in usable:
+            h = 0
+            for k, c in enumerate(self.pieces[i], 1):
+                h = self.extended(h, c)
+                values[h] = values.get(h, 0) | (k < len(self.pieces[i]))
+            values[h] += 2 * (i + 1)
+        self.known = HashTable(np.array(list(values), np.uint64), np.array(list(values.values()), np.int32))
+        texts = [bytes([i - self.first_byte]) if model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
+        self.text_size = np.array([len(x) for x in texts], np.int64)
+        self.text_start = np.cumsum(self.text_size) - self.text_size
+        self.text = np.frombuffer(b"".join(texts), np.uint8)
 
     @staticmethod
-    def hash_of(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = ((h * int(MULTIPLIER)) + ord(c) + 1) % 2**64
-        return h
+    def extended(h: int, c: str) -> int:
+        return (h * int(MULTIPLIER) + ord(c) + 1) % 2**64
 
 
 class HashTable:
@@ -96,91 +102,99 @@ class HashTable:
 
 
 class Lattice:
-    """The lattices of distinct words, laid end to end: word w has nodes first[w] .. last[w].
+    """The lattices of distinct words, laid side by side.
 
-    Edges are ordered by the node they end at; ``draw`` holds, for each, its end node plus the chance of it and of the
-    edges before it at that node, so one search in it draws an edge.
+    Words are ordered by length, longest first, so the words that reach a place are the first few, and characters
+    and nodes are numbered place by place: first the starts of all words, then the nodes behind their first
+    characters, and so on. Edges are ordered by the node they end at, which is then the order of the forward pass.
+    ``draw`` holds, for each edge, its end node plus the chance of it and of the edges before it at that node, so one
+    search in it draws an edge.
     """
 
     def __init__(self, table: PieceTable, words: list[str], sharpness: float):
-        lengths = np.array([len(w) for w in words], np.int64)
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        n = len(codes)
-        word = np.repeat(np.arange(len(words)), lengths)
-        begin = np.cumsum(lengths) - lengths
-        self.first = begin + np.arange(len(words))
-        self.last = self.first + lengths
-        room = (begin + lengths)[word] - np.arange(n)
-        node = np.arange(n) + word
-        place = np.arange(n) - begin[word]
-        at = np.flatnonzero((codes != np.uint64(ord(MARK))) | (place == 0))
-        hashes = np.zeros(len(at), np.uint64)
-        src, end, piece, depth = [], [], [], []
+        sizes = np.array([len(w) for w in words], np.int64)
+        by_size = np.argsort(-sizes, kind="stable")
+        sizes = sizes[by_size]
+        n_words, n = len(words), int(sizes.sum())
+        reach = np.searchsorted(-sizes, -np.arange(int(sizes[0]) + 1), side="left") if n_words else np.zeros(1, np.int64)
+        base = np.append(0, np.cumsum(reach))[: len(reach)]  # reach[p]: words longer than p characters
+        typed = np.frombuffer("".join(words[i] for i in by_size).encode("utf-32-le"), np.uint32)
+        word = np.repeat(np.arange(n_words), sizes)
+        place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        codes = np.empty(n, np.uint64)
+        codes[base[place] + word] = typed
+        place = np.repeat(np.arange(len(reach)), reach)
+        word = np.arange(n) - base[place]
+        src = np.where(place > 0, n_words + base[np.maximum(place - 1, 0)] + word, word).astype(np.int32)
+        room = sizes[word] - place
+        usable = np.flatnonzero((codes != np.uint64(ord(MARK))) | (place == 0))
+        place, word, room, own = place[usable], word[usable], room[usable], src[usable]
+        hashes = np.zeros(len(usable), np.uint64)
         single = np.zeros(n, bool)
-        for k in range(1, table.longest + 1):
-            hashes = hashes * MULTIPLIER + codes[at + (k - 1)] + np.uint64(1)
-            found = table.ids.look(hashes)
-            if k == 1:
-                single[at[found >= 0]] = True
-            hit = found >= 0
-            src.append(node[at[hit]])
-            end.append(node[at[hit]] + k)
-            piece.append(found[hit].astype(np.int64))
-            depth.append(place[at[hit]] + k)
-            more = (table.heads.look(hashes) >= 0) & (room[at] > k)
-            at, hashes = at[more], hashes[more]
-            if not len(at):
+        parts = []
+        for k in range(table.longest):
+            char = base[place + k] + word
+            hashes = hashes * MULTIPLIER + codes[char] + np.uint64(1)
+            value = table.known.look(hashes)
+            hit = np.flatnonzero(value > 1)
+            if k == 0:
+                single[char[hit]] = True
+            parts.append((own[hit], char[hit].astype(np.int32), (value[hit] >> 1) - 1))
+            more = np.flatnonzero((value & 1).astype(bool) & (value >= 0) & (room > k + 1))
+            if not len(more):
                 break
-        odd = np.flatnonzero(~single)
-        src.append(node[odd])
-        end.append(node[odd] + 1)
-        piece.append(-codes[odd].astype(np.int64) - 1)
-        depth.append(place[odd] + 1)
-        self.src, self.end = np.concatenate(src), np.concatenate(end)
-        self.piece, depth_ = np.concatenate(piece), np.concatenate(depth)
-        odd_bytes = 1 + (codes[odd] > 0x7F).astype(int) + (codes[odd] > 0x7FF) + (codes[odd] > 0xFFFF)
-        self.size = np.ones(len(self.piece), np.int64)
-        self.size[len(self.size) - len(odd) :] = odd_bytes
+            place, word, room, own, hashes = place[more], word[more], room[more], own[more], hashes[more]
+        odd = np.flatnonzero(~single).astype(np.int32)
+        parts.append((src[odd], odd, -codes[odd].astype(np.int32) - 1))
+        degree = np.zeros(n + 1, np.int64)
+        for _, char, _ in parts:
+            degree[char + 1] += 1  # a node has one edge of each length at most
+        self.edges = np.cumsum(degree)
+        total = int(self.edges[-1])
+        self.src, self.piece, end = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
+        fill = self.edges[:-1].copy()
+        for source, char, piece in parts:
+            at = fill[char]
+            self.src[at], self.piece[at], end[at] = source, piece, char
+            fill[char] += 1
+        code = -self.piece - 1
+        self.size = np.where(self.piece >= 0, 1, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)).astype(np.int8)
         weight = np.where(self.piece >= 0, table.weight[np.maximum(self.piece, 0)], BYTE_WEIGHT * self.size) * sharpness
-        order = np.lexsort((self.src, self.end, depth_))
-        ways = np.zeros(n + len(words))
-        chance = np.zeros(len(order))
-        bounds = np.append(np.flatnonzero(np.diff(depth_[order], prepend=-1)), len(order))
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            e = order[a:b]
-            total = ways[self.src[e]] + weight[e]
-            new = np.flatnonzero(np.diff(self.end[e], prepend=-1))
-            top = np.maximum.reduceat(total, new)
-            sizes = np.diff(np.append(new, len(e)))
-            part = np.exp(total - np.repeat(top, sizes))
-            whole = np.add.reduceat(part, new)
-            ways[self.end[e][new]] = top + np.log(whole)
+        self.ways = np.zeros(n_words + n)
+        chance = np.empty(total)
+        bounds = np.append(base, n)
+        for p in range(len(reach) - 1):
+            new = self.edges[bounds[p] : bounds[p + 1]]
+            a, b = int(new[0]), int(self.edges[bounds[p + 1]])
+            heads = new - a
+            score = self.ways[self.src[a:b]] + weight[a:b]
+            degrees = np.diff(np.append(heads, b - a))
+            top = np.maximum.reduceat(score, heads)
+            part = np.exp(score - np.repeat(top, degrees))
+            whole = np.add.reduceat(part, heads)
+            self.ways[n_words + bounds[p] : n_words + bounds[p + 1]] = top + np.log(whole)
             run = np.cumsum(part)
-            before = np.repeat(run[new] - part[new], sizes)
-            chance[a:b] = (run - before) / np.repeat(whole, sizes)
-        final = np.lexsort((np.arange(len(order)), self.end[order]))
-        by_end = order[final]
-        self.src, self.end, self.piece, self.size = self.src[by_end], self.end[by_end], self.piece[by_end], self.size[by_end]
-        self.draw = self.end + np.minimum(chance[final], 1.0)
-        self.edges = np.searchsorted(self.end, np.arange(n + len(words) + 1))
-        self.ways = ways
+            chance[a:b] = (run - np.repeat(run[heads] - part[heads], degrees)) / np.repeat(whole, degrees)
+        self.draw = end + np.minimum(chance, 1.0)
+        self.n_words = n_words
+        self.last = np.empty(n_words, np.int64)
+        self.last[by_size] = n_words + base[sizes - 1] + np.arange(n_words)
 
     def sample(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of one segmentation of each word, in order, word after word; and how many each has."""
-        node, who = self.last[word], np.arange(len(word))
-        start = self.first[word]
+        node, who = self.last[word] - self.n_words, np.arange(len(word))
         count = np.zeros(len(word), np.int64)
         taken = []
         step = 0
         while len(who):
-            u = (mix(key[who] + np.uint64(step)) >> np.uint64(11)) * 2.0**-53
+            u = (mix(key + np.uint64(step)) >> np.uint64(11)) * 2.0**-53
             edge = np.searchsorted(self.draw, node + u, side="right")
             edge = np.clip(edge, self.edges[node], self.edges[node + 1] - 1)
             taken.append((who, edge))
             count[who] += 1
-            node = self.src[edge]
-            more = node > start[who]
-            who, node = who[more], node[more]
+            node = self.src[edge].astype(np.int64) - self.n_words
+            more = np.flatnonzero(node >= 0)
+            who, node, key = who[more], node[more], key[more]
             step += 1
         ends = np.cumsum(count)
         out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
@@ -199,7 +213,7 @@ def encode_sampled(table: PieceTable, texts: list[str], keys: np.ndarray, sharpn
     place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     key = mix(np.repeat(keys, sizes) + place.astype(np.uint64) * MULTIPLIER)
     edges, count = lattice.sample(word, key)
-    size = lattice.size[edges]
+    size = lattice.size[edges].astype(np.int64)
     ids = np.repeat(lattice.piece[edges], size)
     starts = np.cumsum(size) - size
     for at in np.flatnonzero(lattice.piece[edges] < 0).tolist():
@@ -212,11 +226,9 @@ def encode_sampled(table: PieceTable, texts: list[str], keys: np.ndarray, sharpn
 
 def decode(table: PieceTable, ids: np.ndarray) -> str:
     """The text of ids; word marks are blanks, the first of them is no part of the text."""
-    out: list[bytes] = []
-    first, pieces = table.first_byte, table.pieces
-    for i in ids.tolist():
-        out.append(bytes([i - first]) if first <= i < first + 256 else pieces[i].replace(MARK, " ").encode())
-    return b"".join(out).decode("utf-8", "replace")[1:]
+    size = table.text_size[ids]
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return table.text[np.repeat(table.text_start[ids], size) + within].tobytes().decode("utf-8", "replace")[1:]
 
 
 @cache
@@ -254,6 +266,7 @@ def decoded_text(ids: Column, model_path: str) -> Column:
     """The text that the ids stand for; null for null."""
     def join(column: pa.Array) -> pa.Array:
         table = _table(model_path)
-        return pa.array([None if x is None else decode(table, np.array(x, np.int64)) for x in column.to_pylist()], pa.string())
+        ids, ends, null = column.values.to_numpy(), column.offsets.to_pylist(), column.is_null().to_pylist()
+        return pa.array([None if n else decode(table, ids[a:b]) for n, a, b in zip(null, ends, ends[1:])], pa.string())
 
     return F.arrow_udf(join, "string")(ids)
