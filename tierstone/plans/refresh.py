@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tierstone.context import RunContext
 from tierstone.operators import quality, serving
-from tierstone.plans.flows import FLOWS
+from tierstone.plans.flows import FLOWS, HistoryFlow
 from tierstone.plans.registry import DATASETS, TenantRegistry
 from tierstone.sources.buckets import BucketTable
+from tierstone.sources.shared import steps_dropped
 from tierstone.sources.snapshots import SnapshotTable
 from tierstone.streaming.ingest import RawTable, ingest_new_files
 from tierstone.vocab import TECHNOLOGIES
@@ -167,18 +168,21 @@ class Warehouse:
             target = self.history(dataset)
             done = target.runs(self.spark)
             for run_id in [r for r in self.snapshots(dataset).runs(self.spark) if r not in done]:
-                new = self.standardized(dataset, run_id)
-                if not done:
-                    rows = flow.build(new)
-                    target.publish(rows, run_id, range(target.buckets), flow.cluster_by)
-                else:
-                    near = target.read(self.spark, target.touched(new))
-                    news = flow.unseen(near, new)
-                    changed = target.touched(news)
-                    rows = flow.merge_unseen(target.read(self.spark, changed), news, self.retained(dataset)) if changed else near
-                    target.publish(rows, run_id, changed, flow.cluster_by)
+                with steps_dropped(self.spark):
+                    self._take(dataset, flow, target, run_id, first=not done)
                 done = [*done, run_id]
 
+    def _take(self, dataset: str, flow: HistoryFlow, target: BucketTable, run_id: str, first: bool) -> None:
+        new = self.standardized(dataset, run_id)
+        if first:
+            target.publish(flow.build(new), run_id, range(target.buckets), flow.cluster_by)
+            return
+        near = target.read(self.spark, target.touched(new))
+        news = flow.unseen(near, new)
+        changed = target.touched(news)
+        rows = flow.merge_unseen(target.read(self.spark, changed), news, self.retained(dataset)) if changed else near
+        target.publish(rows, run_id, changed, flow.cluster_by)
+
     def serve(self, run: RunContext) -> None:
         circuits, installed, planned = (self.history(d).read(self.spark) for d in DATASETS)
         run_id = run.run_id

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +36,35 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{_base_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+_steps: list[list[str]] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame, computed once and stored where a lost executor cannot take it away."""
     path = shared_folder(df.sparkSession, "step")
     df.write.parquet(path)
+    for made in _steps:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; nothing happens if it is gone already."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def steps_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, what :func:`cut_lineage` has stored in it.
+
+    For blocks that write their result: what they return must not hang on a step any more.
+    """
+    made: list[str] = []
+    _steps.append(made)
+    try:
+        yield
+    finally:
+        _steps[:] = [x for x in _steps if x is not made]
+        for path in made:
+            drop_folder(spark, path)
