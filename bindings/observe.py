@@ -13,10 +13,10 @@ from tierstone.operators import observe
 AS_OF = dt.date(2024, 1, 30)
 
 
-def baseline_sql(frame: str) -> str:
+def baseline_sql(frame: str, source: str = METRICS_SQL, table_name: str = "der_installed") -> str:
     """The judged runs; ``frame`` is the window frame of the baseline."""
-    return METRICS_SQL + f"""
-, m AS (SELECT * FROM metrics WHERE table_name = 'der_installed'),
+    return source + f"""
+, m AS (SELECT * FROM metrics WHERE table_name = '{table_name}'),
 s AS (
   SELECT *, avg(total_records) OVER w AS a, stddev_samp(total_records) OVER w AS sd, count(*) OVER w AS n
   FROM m WINDOW w AS (PARTITION BY utility_id, table_name ORDER BY ingestion_date {frame})),
@@ -66,6 +66,47 @@ def volume_baseline_today(spark, sf):
     return judged(spark, sf, as_of=AS_OF).orderBy(observe.status_order(), *observe.SERIES)
 
 
+def order_runs(spark, sf, step):
+    """Years of runs: orders per priority and day, week or month."""
+    o = table(spark, sf, "orders").withColumn("day", F.date_trunc(step, "o_orderdate").cast("date"))
+    return o.groupBy(
+        F.col("o_orderpriority").alias("utility_id"), F.lit("orders").alias("table_name"), F.col("day").alias("ingestion_date"),
+        F.col("day").cast("string").alias("pipeline_update_id"),
+    ).agg(F.count("*").alias("total_records"))
+
+
+def order_runs_sql(step, frame, day=None):
+    source = f"""
+WITH metrics AS (
+  SELECT o_orderpriority AS utility_id, 'orders' AS table_name, CAST(date_trunc('{step}', o_orderdate) AS DATE) AS ingestion_date,
+         CAST(CAST(date_trunc('{step}', o_orderdate) AS DATE) AS VARCHAR) AS pipeline_update_id, count(*) AS total_records
+  FROM orders GROUP BY 1, 2, 3, 4)"""
+    only = f" WHERE ingestion_date = DATE '{day}'" if day else ""
+    return baseline_sql(frame, source, "orders") + "SELECT * FROM judged" + only
+
+
+#: Name, step of the runs, reach of the baseline, its window frame, a day to judge.
+REACHES = (
+    ("60_rows", "day", {"rows": 60}, "ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING", "1998-06-02"),
+    ("60_days", "day", {"days": 60}, "RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING", "1998-06-02"),
+    ("weekly", "week", {}, "ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING", "1998-06-01"),
+)
+
+
+def _bind_reach(name, step, reach, frame, day):
+    @bound(f"volume_baseline_{name}", order_runs_sql(step, frame))
+    def whole(spark, sf):
+        return observe.volume_baseline(order_runs(spark, sf, step), **reach)
+
+    @bound(f"volume_baseline_{name}_of_a_day", order_runs_sql(step, frame, day))
+    def of_a_day(spark, sf):
+        return observe.volume_baseline(order_runs(spark, sf, step), dt.date.fromisoformat(day), **reach)
+
+
+for _reach in REACHES:
+    _bind_reach(*_reach)
+
+
 @bound("volume_alerts", BASELINE_SQL + """
 SELECT * FROM judged WHERE status IN ('ANOMALY_LOW', 'ANOMALY_HIGH') AND baseline_run_count >= 3
 ORDER BY CASE status WHEN 'ANOMALY_LOW' THEN 1 ELSE 2 END, utility_id""")
