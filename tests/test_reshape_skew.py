@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 from collections import Counter
 
@@ -5,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.operators.reshape import rollup_segments, unpivot_positive
+from tierstone.plans.canonical import canonical_circuits
+from tierstone.plans.layouts import feeder_rows, segment_rows
+from tierstone.sources.layout import clustered
 from tierstone.operators.skew import SEGMENT, find_hot_keys, only_hot_keys, rank_within, segment_of, top_within, with_neighbours, with_next_two
 
 
@@ -124,3 +128,22 @@ def test_neighbours_cross_segment_borders(spark, hot_rows):
 
     assert found(with_neighbours(rows, ["k"], "seq", value)) == found(with_neighbours(plain, ["k"], "seq", value))
     assert found(with_next_two(rows, ["k"], "seq", value)) == found(with_next_two(plain, ["k"], "seq", value))
+
+
+def test_unpivot_leaves_out_what_is_no_finite_number(spark):
+    df = spark.createDataFrame([(1, "NaN", "Infinity", "2.5", "-1", None, "x")], "id int, a string, b string, c string, d string, e string, f string")
+    assert [tuple(r) for r in unpivot_positive(df, ["id"], list("abcdef"), "m", "v").collect()] == [(1, "c", 2.5)]
+
+
+def test_clustered_takes_any_schema(spark):
+    df = spark.range(20).selectExpr("id AS k", "map('a', id) AS m", "array(map('b', id)) AS am", "struct(id AS `x.y`) AS s", "id AS `a.b`")
+    assert clustered(df, ["k"]).count() == 20
+
+
+def test_geometry_comes_through_the_layouts(spark):
+    raw = spark.createDataFrame(
+        [("u", "f1", "POINT (1 2)", "r1"), ("u", "f1", "POINT (1 2)", "r2")], "utility_id string, feeder string, shape string, pipeline_update_id string"
+    ).withColumns({"ingestion_timestamp": F.lit(dt.datetime(2024, 1, 1)), "ingestion_date": F.lit(dt.date(2024, 1, 1))})
+    for layout in (feeder_rows("feeder", {"geom_wkt": "shape"}), segment_rows("feeder", {"geom_wkt": "shape"})):
+        rows = canonical_circuits(layout(raw), {}).collect()
+        assert [(r.feeder_id, r.geom_wkt) for r in rows] == [("u_f1", "POINT (1 2)")] * 2
