@@ -128,6 +128,12 @@ def test_merge_of_whole_snapshots_needs_history_only_for_corrections(spark, untr
     assert rows(again) == expected(events, untracked)
 
 
+def test_more_hot_keys_than_fit_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("tierstone.operators.skew.MAX_HOT_KEYS", 2)
+    events = make_events(21, n=300)
+    assert rows(scd2_build(spark.createDataFrame(events, SCHEMA), **ARGS, rows_per_task=10)) == expected(events)
+
+
 def test_repeated_snapshot_of_a_hot_key_is_no_news(spark):
     events = sorted(make_events(11, n=200), key=lambda e: (e[2], e[5]))
     winners = spark.createDataFrame(list({e[:3]: e for e in events}.values()), SCHEMA)

@@ -58,10 +58,19 @@ def position(df: DataFrame, order: str) -> Column | None:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """A small local frame of the hot keys; ``_points`` holds ``cuts - 1`` cut points of each."""
+    """A frame of the hot keys; ``_points`` holds ``cuts - 1`` cut points of each.
+
+    Up to MAX_HOT_KEYS of them are a ``small`` local frame that is broadcast; more are stored and joined.
+    """
 
     frame: DataFrame
     cuts: int
+    small: bool = True
+
+    def side(self, *columns: str) -> DataFrame:
+        """The frame, or some of its columns, as the right side of a join."""
+        frame = self.frame.select(*columns) if columns else self.frame
+        return F.broadcast(frame) if self.small else frame
 
 
 def find_hot_keys(
@@ -70,10 +79,9 @@ def find_hot_keys(
     """Keys with more than ``rows_per_task`` rows, each with cut points along ``order``.
 
     None if there are none, which is the usual case and leaves the plan free of any skew handling.
-    Finding out takes one job over the key columns, measuring the hot keys a second one.  Never
-    more than ``MAX_HOT_KEYS`` rows come back, so they fit on the driver and in a broadcast
-    whatever the data is: the heaviest keys are taken, hence a key left out holds at most
-    1/``MAX_HOT_KEYS`` of all rows.  This chooses a layout only; no row of the data is dropped.
+    Finding out takes one job over the key columns, measuring the hot keys a second one.  Up to
+    ``MAX_HOT_KEYS`` rows come to the driver and are broadcast; if there are more, the hot keys stay a
+    stored frame and are joined, with their large sides left, which adaptive execution can split.
     Keys and cut points are fixed from here on, so a task that is run again after a lost executor
     gets the same segments.
     """
@@ -83,34 +91,35 @@ def find_hot_keys(
     heavy = (
         df.groupBy(*keys).agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > rows_per_task)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
     )
-    found = heavy.collect()
+    found = heavy.orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS + 1).collect()
     if not found:
         return None
+    small = len(found) <= MAX_HOT_KEYS
     cuts = 2
     while cuts < MAX_CUTS and cuts * rows_per_task < found[0]["_n"]:
         cuts *= 2
-    names = df.sparkSession.createDataFrame(found, heavy.schema).drop("_n")
+    names = F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema)) if small else cut_lineage(heavy)
     measured = (
         df.select(*keys, at.cast("double").alias("_at"))
-        .join(F.broadcast(names), list(keys))
+        .join(names.drop("_n"), list(keys))
         .groupBy(*keys)
         .agg(cut_points(F.col("_at"), cuts).alias("_points"))
     )
+    if not small:
+        return HotKeys(cut_lineage(measured), cuts, small=False)
     return HotKeys(df.sparkSession.createDataFrame(measured.collect(), measured.schema), cuts)
 
 
 def without_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(hot.frame.select(*keys)), list(keys), "left_anti")
+    return df.join(hot.side(*keys), list(keys), "left_anti")
 
 
 def only_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -> DataFrame:
     """Rows of the hot keys, with an ordered segment number in ``_segment``."""
     at = position(df, order).cast("double")
     return (
-        df.join(F.broadcast(hot.frame), list(keys))
+        df.join(hot.side(), list(keys))
         .withColumn(SEGMENT, segment_of(F.col("_points"), at, hot.cuts))
         .drop("_points")
     )
