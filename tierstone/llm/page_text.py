@@ -359,11 +359,17 @@ def altered(blocks: list[Block], random: np.random.Generator) -> list[tuple[Bloc
 
 
 def fit_labeller(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> BlockLabeller:
-    """The network trained on at most ``sample`` pages with landmarks, and on two altered copies of each."""
-    rows = pages.where(F.col(html_col).isNotNull()).orderBy(F.xxhash64(F.col(id_col)), F.col(id_col), F.col(html_col))
+    """The network trained on at most ``sample`` pages with landmarks, and on two altered copies of each.
+
+    The pages are those whose ids have the least hashes; ids are chosen first, so that only chosen pages travel.
+    Pages without an id or html play no part.
+    """
+    own = pages.where(F.col(html_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
+    chosen = own.select("_id").where("_id IS NOT NULL").orderBy(F.xxhash64("_id"), "_id").limit(sample).distinct()
+    rows = own.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id", "_html").select("_html")
     random, describer = np.random.default_rng(11), Describer()
     examples = []
-    for row in rows.select(html_col).limit(sample).collect():
+    for row in rows.limit(sample).collect():
         blocks = blocks_of(row[0])
         if not any(map(by_landmarks, blocks)):
             continue

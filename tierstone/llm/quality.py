@@ -160,7 +160,7 @@ def fit_line_field(
     rows = _sampled(docs, labels, id_col, text_col, label_col, sample).select(
         "_id", "good", F.arrow_udf(features, "array<double>")(F.col("text")).alias("x")
     )
-    found = sorted(rows.collect(), key=lambda r: (r["_id"], r["good"], r["x"]))
+    found = rows.orderBy(F.xxhash64("_id"), "_id", "good", "x").limit(sample).collect()
     return fit_field([(np.array(r["x"]).reshape(-1, len(FEATURES)), CONTENT if r["good"] else BOILERPLATE) for r in found])
 
 
