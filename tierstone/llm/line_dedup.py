@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,16 @@ def compared_lines(text: str) -> list[tuple[int, str]]:
     return [(i, y) for i, x in enumerate(text.split("\n")) if len(y := x.strip()) >= LEAST_CHARS]
 
 
+@lru_cache(20_000)
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
     """(first character, characters) of each of edits + 1 segments of nearly one size."""
     size, longer = divmod(length, edits + 1)
     sizes = [size] * (edits + 1 - longer) + [size + 1] * longer
-    firsts = np.cumsum([0, *sizes[:-1]]).tolist()
+    firsts = [sum(sizes[:i]) for i in range(edits + 1)]
     return list(zip(firsts, sizes, strict=True))
 
 
+@lru_cache(60_000)
 def looked_up(length: int, other: int, edits: int) -> list[tuple[int, int, int]]:
     """(segment, first character, characters) of the substrings of a line that can be a segment of a shorter one."""
     out = []
@@ -65,13 +68,19 @@ def cell(length: int, segment: int, piece: str) -> int:
 def cells(line: str, edits: int) -> tuple[list[int], list[int]]:
     """Hashes of the cells in which a line is entered, and of those in which it looks."""
     n = len(line)
-    own = [cell(n, i, line[a : a + k]) for i, (a, k) in enumerate(segments(n, edits))]
-    looks = {
-        cell(m, i, line[a : a + k]) for m in range(max(n - edits, edits + 1), n + 1) for i, a, k in looked_up(n, m, edits)
-    }
+    digest = xxhash.xxh64_intdigest
+    own = [digest(line[a : a + k].encode(), n * 16 + i) for i, (a, k) in enumerate(segments(n, edits))]
+    looks = {digest(line[a : a + k].encode(), seed) for seed, a, k in _looks(n, edits)}
     return own, list(looks)
 
 
+@lru_cache(20_000)
+def _looks(length: int, edits: int) -> list[tuple[int, int, int]]:
+    """(seed of the cell, first character, characters) of all that a line of this length looks for."""
+    lengths = range(max(length - edits, edits + 1), length + 1)
+    return [(m * 16 + i, a, k) for m in lengths for i, a, k in looked_up(length, m, edits)]
+
+
 def within(a: str, b: str, edits: int) -> bool:
     """Whether two texts are within so many edits: common ends are cut off, the rest goes through a banded bit vector.
 
