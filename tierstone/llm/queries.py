@@ -68,7 +68,25 @@ def op2_nearest_neighbours(spark, sf):
     return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
-@bound("op3_substring_dedup")
+@bound("op3_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i, len(ws) AS n FROM w),
+s AS (
+  SELECT doc_id, i, n, string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS words FROM p),
+r AS (
+  SELECT doc_id, i FROM s WHERE i <= n - 19
+  QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1),
+c AS (
+  SELECT p.doc_id, p.i, word, max(r.i) OVER (
+    PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM p LEFT JOIN r ON p.doc_id = r.doc_id AND p.i = r.i),
+k AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM c GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id""")
 def op3_substring_dedup(spark, sf):
     kept = without_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
