@@ -259,7 +259,8 @@ def sampled_ids(text: Column, key: Column, model_path: str, *, sharpness: float
         flat = pa.array(np.concatenate([*out, np.empty(0, np.int32)]).astype(np.int32))
         return pa.ListArray.from_arrays(offsets, flat, mask=texts.is_null() if texts.null_count else None)
 
-    return F.arrow_udf(encode, "array<int>")(text, key.cast("long"))
+    # Spark would run a deterministic function once more inside each function of Python that takes its result.
+    return F.arrow_udf(encode, "array<int>").asNondeterministic()(text, key.cast("long"))
 
 
 def decoded_text(ids: Column, model_path: str) -> Column:
