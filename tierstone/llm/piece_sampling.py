@@ -25,7 +25,7 @@ MARK = "▁"
 #: Powers the pieces' probabilities: near 0 all segmentations are alike, above 1 the likely ones come more often.
 SHARPNESS = 1.0
 #: Characters of the texts that go through the lattice together.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 1_000_000
 #: Log probability of each byte of a character that no piece has.
 BYTE_WEIGHT = -12.0
 
