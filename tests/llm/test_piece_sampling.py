@@ -74,3 +74,7 @@ def test_columns(spark):
     many = {(r.doc_id, r.text): r.x for r in df.repartition(5).select("doc_id", "text", ids.alias("x")).collect()}
     assert many == {(r.doc_id, r.text): r.x for r in one}
     assert df.limit(0).select(ids).collect() == []
+    whole = s.sampled_documents(df, PATH).collect()
+    assert [(r.doc_id, r.text) for r in whole] == [(r.doc_id, r.text) for r in one]
+    assert [r.ids for r in whole if r.doc_id is not None] == [r.x for r in one if r.doc_id is not None]
+    assert s.sampled_documents(df.limit(0), PATH).collect() == []

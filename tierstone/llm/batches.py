@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +26,9 @@ def texts_of(column: pa.Array) -> list[str]:
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what a task holds at once does not depend on text lengths."""
     for batch in batches:
-        lengths = batch.column(batch.schema.get_field_index(text)).to_pylist()
+        lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_pylist()
         first, size = 0, 0
-        for i, x in enumerate(lengths):
-            n = len(x) if x is not None else 0
+        for i, n in enumerate(lengths):
             if size and size + n > most:
                 yield batch.slice(first, i - first)
                 first, size = i, 0

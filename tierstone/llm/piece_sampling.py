@@ -11,15 +11,16 @@ Both passes run over all distinct parts of a slice of texts at once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.batches import MULTIPLIER, mix, texts_of
+from tierstone.llm.batches import MULTIPLIER, mix, named_id, slices, texts_by_id, texts_of
 
 MARK = "▁"
 #: Powers the pieces' probabilities: near 0 all segmentations are alike, above 1 the likely ones come more often.
@@ -263,6 +264,31 @@ def sampled_ids(text: Column, key: Column, model_path: str, *, sharpness: float
     return F.arrow_udf(encode, "array<int>").asNondeterministic()(text, key.cast("long"))
 
 
+_RESULT = pa.schema([("doc", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
+
+
+def sampled_documents(
+    docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", sharpness: float = SHARPNESS, seed: int = 0
+) -> DataFrame:
+    """``doc_id``, the ``ids`` drawn for its text with the id as key, and the ``text`` that these ids decode to.
+
+    Like ``sampled_ids``, but a task holds one slice of texts at a time and returns it before the next. A null text
+    has null ids and text; a null id draws as the least long and stays null. An empty table gives no rows.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(model_path)
+        for part in slices(batches, "text", SLICE_CHARS):
+            texts = part.column(1).to_pylist()
+            keys = mix(part.column(0).to_numpy().view(np.uint64) + np.uint64(seed) * MULTIPLIER)
+            ids = encode_sampled(table, [x or "" for x in texts], keys, sharpness)
+            back = [None if x is None else decode(table, i) for x, i in zip(texts, ids, strict=True)]
+            ids = [None if x is None else i for x, i in zip(texts, ids, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, _RESULT.field("ids").type), pa.array(back, pa.string())], schema=_RESULT)
+
+    found = texts_by_id(docs, id_col, text_col).mapInArrow(run, "doc long, ids array<int>, text string")
+    return found.select(named_id(F.col("doc")).alias("doc_id"), "ids", "text")
+
+
 def decoded_text(ids: Column, model_path: str) -> Column:
     """The text that the ids stand for; null for null."""
     def join(column: pa.Array) -> pa.Array:

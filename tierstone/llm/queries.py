@@ -12,7 +12,7 @@ from tierstone.llm.licences import licences_in
 from tierstone.llm.line_dedup import without_repeated_lines
 from tierstone.llm.packing import pack_documents
 from tierstone.llm.page_text import fit_labeller, main_text
-from tierstone.llm.piece_sampling import decoded_text, sampled_ids
+from tierstone.llm.piece_sampling import sampled_documents
 from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
@@ -137,9 +137,8 @@ def op9_page_text(spark, sf):
 
 @bound("op10_piece_sampling")
 def op10_piece_sampling(spark, sf):
-    path = public_tokenizers.path(PIECES)
-    docs = table(spark, sf, "documents").select("doc_id", sampled_ids(F.col("text"), F.col("doc_id"), path).alias("ids"))
+    docs = sampled_documents(table(spark, sf, "documents"), public_tokenizers.path(PIECES))
     return docs.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2(decoded_text(F.col("ids"), path), 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
     )
