@@ -1,0 +1,71 @@
+"""Near copies by similarity of five-word runs, against brute force."""
+
+import random
+
+from tierstone.llm import similar_sets as s
+
+
+def sets(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept(docs):
+    left, out = dict(docs), set()
+    while left:
+        first = min(left)
+        todo = group = {first}
+        while todo:
+            near = set()
+            for i in left:
+                a = sets(left[i])
+                if i not in group and any(5 * len(a & sets(left[j])) >= 4 * len(a | sets(left[j])) for j in todo):
+                    near.add(i)
+            group, todo = group | near, near
+        out.add(first)
+        left = {i: t for i, t in left.items() if i not in group}
+    return out
+
+
+def test_equals_brute_force(spark):
+    r = random.Random(3)
+    docs = {}
+    for g in range(25):
+        words = [f"w{r.randrange(5000)}" for _ in range(r.randrange(1, 300))]
+        for _ in range(r.randrange(1, 7)):
+            docs[len(docs)] = " ".join(words)
+            words = list(words)
+            for _ in range(r.randrange(0, 1 + len(words) // 40)):
+                words[r.randrange(len(words))] = "other" + str(r.randrange(99))
+    docs |= {900: "", 901: None, 902: " \n", 903: docs[0].upper(), 904: "a b", 905: "a  b"}
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs.items()], "doc_id long, text string, cell string").repartition(4)
+    got = s.without_similar(df)
+    assert got.columns == df.columns
+    assert {x.doc_id for x in got.collect()} == kept(docs)
+    assert s.without_similar(df.limit(0)).collect() == []
+
+
+def test_stage_drops_copies_that_fingerprints_miss(spark):
+    from corpus_pipeline import near_dedup
+    from tierstone.llm.simhash import near_copies
+
+    r = random.Random(5)
+    rows = []
+    for i in range(40):
+        words = [f"v{r.randrange(4000)}" for _ in range(200)]
+        rows.append((2 * i, " ".join(words)))
+        for at in (20, 70, 120):
+            words[at] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert near_copies(df).where("doc_id <> component_id").count() < 40
+    assert {x.doc_id for x in near_dedup(spark, df, "").collect()} == set(range(0, 80, 2))
+
+
+def test_no_pair_of_the_least_similarity_is_missed_in_its_cells():
+    r = random.Random(8)
+    words = s.WordHashes()
+    for _ in range(300):
+        common = [f"c{r.randrange(10**9)}" for _ in range(80)]
+        a, b = (s.shingles(" ".join(common + [f"{x}{r.randrange(10**9)}" for _ in range(8)]), words, 1) for x in "ab")
+        assert s.similar(a, b, 80) and set(s.band_cells(a).tolist()) & set(s.band_cells(b).tolist())
