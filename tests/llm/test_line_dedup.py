@@ -96,3 +96,13 @@ def test_repeated_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(1, line), (1, line), (2, line + "\n" + line)], "doc_id long, text string")
     assert sorted((r.doc_id, r.n_removed) for r in d.without_repeated_lines(df).collect()) == [(1, 0), (1, 0), (2, 2)]
     assert d.without_repeated_lines(df.limit(0)).collect() == [] and d.clean_lines(df.limit(0)).collect() == []
+
+
+def test_short_lines_go_if_they_are_equal(spark):
+    rows = [(1, "Menu\nHome\n\n  Menu \n漢字"), (2, "home\nHome\n\n漢字\r\nHomes"), (3, "x" * 19), (4, "x" * 18 + "y\n" + "x" * 19 + "\n" + "x" * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_links, r.text) for r in d.without_repeated_lines(df).collect()}
+    assert got == {
+        1: (4, 1, 0, "Menu\nHome\n\n漢字"), 2: (4, 2, 0, "home\n\nHomes"), 3: (1, 0, 0, "x" * 19),
+        4: (3, 1, 0, "x" * 18 + "y\n" + "x" * 20),
+    }

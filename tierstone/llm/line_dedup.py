@@ -1,6 +1,6 @@
 """Remove lines that equal, or nearly equal, an earlier line of the corpus: a segment-partition edit join.
 
-Two lines within EDITS edits, of which one is cut into EDITS + 1 segments, share one of these segments: that many
+Equal lines of any length are found by their hashes. Two lines within EDITS edits, of which one is cut into EDITS + 1 segments, share one of these segments: that many
 edits cannot touch them all. So each distinct line is entered under its own segments (with its length and the number
 of the segment), and looks up, for its own length and the EDITS lengths below it, those of its substrings that can
 be the segment if the edits left and right of it are to add up. What meets under a segment is compared with a banded
@@ -27,7 +27,8 @@ from tierstone.sources.shared import cut_lineage
 
 #: Lines this near to an earlier one go.
 EDITS = 2
-#: Lines of fewer characters (without blanks at the ends) stay and are compared with none.
+#: Lines of fewer characters (without blanks at the ends) are compared for equality only: two edits make another line of
+#: a short one. Empty lines stay.
 LEAST_CHARS = 20
 #: Lines whose places a task compares with each other before the shuffle.
 BLOCK_LINES = 150_000
@@ -36,8 +37,8 @@ ENTERED, ASKED = 0, 1
 
 
 def compared_lines(text: str) -> list[tuple[int, str]]:
-    """(number, line without blanks at its ends) of the lines that are compared."""
-    return [(i, y) for i, x in enumerate(text.split("\n")) if len(y := x.strip()) >= LEAST_CHARS]
+    """(number, line without blanks at its ends) of the lines that are compared: all but empty ones."""
+    return [(i, y) for i, x in enumerate(text.split("\n")) if (y := x.strip())]
 
 
 @lru_cache(20_000)
@@ -206,6 +207,8 @@ def _line_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, keys, sizes = [], [], []
         for text in texts_of(part.column(1)):
             for _, line in compared_lines(text):
+                if len(line) < LEAST_CHARS:
+                    continue
                 key = xxhash.xxh64_intdigest(line.encode())
                 if key in seen:
                     continue
@@ -357,8 +360,8 @@ def line_decisions(texts: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_lines`` compared, ``n_removed``, ``n_links``, ``text`` without them.
 
-    A line of at least LEAST_CHARS characters goes if a line within EDITS edits, equal ones included, stands earlier:
-    in a document with a smaller id or further up in the same one. ``n_links`` counts, for the distinct lines that
+    A line that is not empty goes if an equal one stands earlier, and one of at least LEAST_CHARS characters also if
+    another of that length within EDITS edits does: in a document with a smaller id or further up in the same one. ``n_links`` counts, for the distinct lines that
     first stand in the document, the other distinct lines they are linked to. A null text stays null, an empty one
     empty. Rows that share an id are one document for this and lose the same lines. A null id is smaller than any
     other and stays null. An empty table gives no rows. Extra columns play no part.
