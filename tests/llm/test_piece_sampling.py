@@ -78,3 +78,39 @@ def test_columns(spark):
     assert [(r.doc_id, r.text) for r in whole] == [(r.doc_id, r.text) for r in one]
     assert [r.ids for r in whole if r.doc_id is not None] == [r.x for r in one if r.doc_id is not None]
     assert s.sampled_documents(df.limit(0), PATH).collect() == []
+
+
+@pytest.mark.parametrize("text", ["if  x", "   a", "a    ", " ▁ ", "▁▁  b"])
+def test_runs_of_blanks_come_as_all_pieces_give_them(table, text):
+    ids = {table.pieces[i]: i for i in np.flatnonzero(table.weight < 0).tolist()}
+    assert "▁▁" in ids
+    mark = [table.first_byte + b for b in "▁".encode()]
+
+    def ways(rest):
+        if not rest:
+            yield (), 0.0
+        elif rest[0] == "#":  # a mark of the text itself
+            for more, w in ways(rest[1:]):
+                yield (*mark, *more), w + 3 * s.BYTE_WEIGHT
+        for k in range(1, len(rest) + 1):
+            if rest[:k] in ids:
+                for more, w in ways(rest[k:]):
+                    yield (ids[rest[:k]], *more), w + table.weight[ids[rest[:k]]]
+
+    sharpness, n = 0.3, 20_000
+    chance = Counter()
+    for way, w in ways("▁" + text.replace("▁", "#").replace(" ", "▁")):
+        if "#" not in "".join(table.pieces[i] for i in way):
+            chance[way] += math.exp(sharpness * w)
+    total = sum(chance.values())
+    got = Counter(tuple(x.tolist()) for x in s.encode_sampled(table, [text] * n, np.arange(n).astype(np.uint64), sharpness))
+    assert set(got) <= set(chance)
+    for way, c in chance.items():
+        p = c / total
+        assert abs(got[way] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 2e-4
+
+
+def test_a_vocabulary_that_crosses_blanks_splits_nowhere(table, monkeypatch):
+    assert table.parts("a  b ▁") == ["▁a", "▁▁b", "▁" + s.OWN_MARK]
+    monkeypatch.setattr(table, "crossed", True)
+    assert table.parts("a  b ") == ["▁a▁▁b▁"]

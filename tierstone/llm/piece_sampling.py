@@ -1,16 +1,18 @@
 """Sampled segmentations over a piece lattice: filter forwards, sample backwards; decoding gives the text back.
 
-A text is split at blanks; each part with its word mark in front is a lattice of its own, as no piece of the vocabulary
-reaches over a word mark. The forward pass sums the weights of all ways to each place; the backward pass starts at the
-end and draws, again and again, the last piece in proportion to the ways that end with it, so each segmentation comes
-with its exact probability. Draws are a function of the row's key, the part's place in the text and the step, so a
-row's segmentation is the same in every run, on any machine and in any batch.
+A text is split before each run of blanks; a part, a run of word marks and what follows it, is a lattice of its own if
+no piece of the vocabulary has a word mark behind another character (else the text is one part). The forward pass sums
+the weights of all ways to each place; the backward pass starts at the end and draws, again and again, the last piece in
+proportion to the ways that end with it, so each segmentation comes with its exact probability. Draws are a function of
+the row's key, the part's place in the text and the step, so a row's segmentation is the same in every run, on any
+machine and in any batch.
 
 Both passes run over all distinct parts of a slice of texts at once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,6 +25,10 @@ from pyspark.sql import functions as F
 from tierstone.llm.batches import MULTIPLIER, mix, named_id, slices, texts_by_id, texts_of
 
 MARK = "▁"
+#: Stands for a word mark that the text itself holds, which is no blank; no text holds this.
+OWN_MARK = "\ud800"
+#: A run of blanks and what stands up to the next.
+_PARTS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Powers the pieces' probabilities: near 0 all segmentations are alike, above 1 the likely ones come more often.
 SHARPNESS = 1.0
 #: Characters of the texts that go through the lattice together.
@@ -40,12 +46,14 @@ class PieceTable:
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)}
         self.first_byte = next(i for i in range(size) if model.is_byte(i))
-        usable = [i for i in range(size) if i not in special and MARK not in self.pieces[i][1:]]
-        self.mark = self.pieces.index(MARK)
+        usable = [i for i in range(size) if i not in special]
+        self.crossed = any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in usable)
         scores = np.array([model.get_score(i) for i in usable])
-        if len(set(scores.tolist())) == len(usable) and np.all(scores == np.round(scores)):
-            # A merge list has ranks in place of probabilities; by Zipf's law they fall as one over the rank.
-            scores = -np.log(2.0 + np.argsort(np.argsort(-scores)))
+        ranked = scores[scores > scores.min()]
+        if len(set(ranked.tolist())) == len(ranked) and np.all(scores == np.round(scores)):
+            # A merge list has ranks in place of probabilities; by Zipf's law they fall as one over the rank. Pieces that
+            # share the least score, as runs of marks may, share the last rank.
+            scores = -np.log(2.0 + np.searchsorted(np.sort(-scores), -scores))
             scores -= np.log(np.exp(scores).sum())
         self.weight = np.zeros(size)
         self.weight[usable] = scores
@@ -64,6 +72,11 @@ class PieceTable:
         self.text_start = np.cumsum(self.text_size) - self.text_size
         self.text = np.frombuffer(b"".join(texts), np.uint8)
 
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text, each a lattice of its own, with marks for blanks."""
+        marked = MARK + text.replace(MARK, OWN_MARK).replace(" ", MARK)
+        return [marked] if self.crossed else _PARTS.findall(marked)
+
     @staticmethod
     def extended(h: int, c: str) -> int:
         return (h * int(MULTIPLIER) + ord(c) + 1) % 2**64
@@ -119,7 +132,7 @@ class Lattice:
         n_words, n = len(words), int(sizes.sum())
         reach = np.searchsorted(-sizes, -np.arange(int(sizes[0]) + 1), side="left") if n_words else np.zeros(1, np.int64)
         base = np.append(0, np.cumsum(reach))[: len(reach)]  # reach[p]: words longer than p characters
-        typed = np.frombuffer("".join(words[i] for i in by_size).encode("utf-32-le"), np.uint32)
+        typed = np.frombuffer("".join(words[i] for i in by_size).encode("utf-32-le", "surrogatepass"), np.uint32)
         word = np.repeat(np.arange(n_words), sizes)
         place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         codes = np.empty(n, np.uint64)
@@ -128,9 +141,8 @@ class Lattice:
         word = np.arange(n) - base[place]
         src = np.where(place > 0, n_words + base[np.maximum(place - 1, 0)] + word, word).astype(np.int32)
         room = sizes[word] - place
-        usable = np.flatnonzero((codes != np.uint64(ord(MARK))) | (place == 0))
-        place, word, room, own = place[usable], word[usable], room[usable], src[usable]
-        hashes = np.zeros(len(usable), np.uint64)
+        own = src
+        hashes = np.zeros(n, np.uint64)
         single = np.zeros(n, bool)
         parts = []
         for k in range(table.longest):
@@ -146,6 +158,7 @@ class Lattice:
                 break
             place, word, room, own, hashes = place[more], word[more], room[more], own[more], hashes[more]
         odd = np.flatnonzero(~single).astype(np.int32)
+        codes[codes == np.uint64(ord(OWN_MARK))] = ord(MARK)
         parts.append((src[odd], odd, -codes[odd].astype(np.int32) - 1))
         degree = np.zeros(n + 1, np.int64)
         for _, char, _ in parts:
@@ -206,11 +219,11 @@ class Lattice:
 
 def encode_sampled(table: PieceTable, texts: list[str], keys: np.ndarray, sharpness: float = SHARPNESS) -> list[np.ndarray]:
     """A sampled segmentation of each text, as ids."""
-    parts = [x.split(" ") for x in texts]
+    parts = [table.parts(x) for x in texts]
     sizes = np.array([len(p) for p in parts], np.int64)
     number: dict[str, int] = {}
     word = np.fromiter((number.setdefault(w, len(number)) for p in parts for w in p), np.int64, int(sizes.sum()))
-    lattice = Lattice(table, [MARK + w for w in number], sharpness)
+    lattice = Lattice(table, list(number), sharpness)
     place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     key = mix(np.repeat(keys, sizes) + place.astype(np.uint64) * MULTIPLIER)
     edges, count = lattice.sample(word, key)
