@@ -73,3 +73,15 @@ def test_odd_rows(spark, labeller):
     assert df.limit(0).select(p.main_text(F.col("html"), labeller)).collect() == []
     untrained = p.fit_labeller(df.limit(0))
     assert isinstance(untrained, p.BlockLabeller)
+
+
+def test_all_words_of_a_block_count():
+    low = 2 * p.PATH_SIZE
+    words = [f"word{i % 7}" for i in range(300)]
+    (row,) = p.Describer().rows([p.Block(" ".join(words), (), 0)])
+    want = np.zeros(p.WORD_SIZE)
+    for w in words:
+        want[p._slot(w, p.WORD_SIZE)] += 1 / 300**0.5
+    assert row[low : low + p.WORD_SIZE] == pytest.approx(want)
+    (other,) = p.Describer().rows([p.Block(" ".join([*words[:200], *["advert"] * 100]), (), 0)])
+    assert (row[low : low + p.WORD_SIZE] != other[low : low + p.WORD_SIZE]).any()

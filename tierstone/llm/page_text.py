@@ -1,7 +1,7 @@
 """Main text of web pages: every leaf block is classified by a bidirectional LSTM over the page's blocks.
 
 A page is cut into blocks, runs of text that no block-level tag interrupts. A block is described by hashed vectors of
-its tag path (tags, classes, ids) and of its words and by a few sizes. One LSTM reads the blocks forwards, one
+its tag path (tags, classes, ids) and of all its words and by a few sizes. One LSTM reads the blocks forwards, one
 backwards, and a logistic layer over both states says for each block whether it belongs to the article. The network is
 trained here, on a bounded sample of pages: their own landmarks (article, nav, footer, ...) give the labels, and
 copies with other layouts and with planted boilerplate (sidebars, notices, forms, reader comments, ...) teach what the
@@ -146,10 +146,9 @@ class Describer:
         for i, b in enumerate(blocks):
             words = b.text.split()
             out[i, :low] = self._path(b.path)
-            for w in words[:40]:
-                out[i, low + _slot(w.lower(), WORD_SIZE)] += 1
             n = len(words)
-            out[i, low : low + WORD_SIZE] /= max(1, min(n, 40)) ** 0.5
+            slots = [_slot(w.lower(), WORD_SIZE) for w in words]
+            out[i, low : low + WORD_SIZE] = np.bincount(slots, minlength=WORD_SIZE) / max(1, n) ** 0.5
             out[i, low + WORD_SIZE :] = (
                 min(n, 200) / 50, n < 4, min(b.linked / max(1, len(b.text)), 1), b.text[-1] in ".!?…",
                 i < 3, i >= len(blocks) - 2, b.text[:1].isupper(), 1,
