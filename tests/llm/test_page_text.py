@@ -85,3 +85,30 @@ def test_all_words_of_a_block_count():
     assert row[low : low + p.WORD_SIZE] == pytest.approx(want)
     (other,) = p.Describer().rows([p.Block(" ".join([*words[:200], *["advert"] * 100]), (), 0)])
     assert (row[low : low + p.WORD_SIZE] != other[low : low + p.WORD_SIZE]).any()
+
+
+def test_what_is_no_drawing_stays():
+    def texts(page):
+        return [b.text for b in p.blocks_of(page)]
+
+    assert texts("<p>a<svg viewBox='0 0 1 1'/>b</p><p>c</p>") == ["a b", "c"]
+    assert texts("<p>a<svg-icon name=x></svg-icon>b</p><p>c</p>") == ["a", "b", "c"]
+    assert texts("<template-x>a</template-x><p>b</p>") == ["a", "b"]
+    assert texts("<p>a<svg><title>t</title><svg><text>x</text></svg><text>y</text></svg>b</p>") == ["a b"]
+    assert texts("<p>a<svg><path d='M0'><text>x</text><p>b</p><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a<svg><foreignObject><div>x</div></foreignObject><text>y</text></svg>b</p>") == ["a b"]
+    assert texts("<p>a</p><svg><path d='a>b'/></svg><p>b</p>") == ["a", "b"]
+
+
+def test_formulas_are_inline_text():
+    page = "<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, <math/>so.</p><p>End.</p>"
+    assert [b.text for b in p.blocks_of(page)] == ["As x=2 holds, so.", "End."]
+    page = "<p><math><semantics><mi>y</mi><annotation encoding='TeX'>y_{1}</annotation></semantics></math></p>"
+    assert [b.text for b in p.blocks_of(page)] == ["y"]
+
+
+def test_head_without_its_tags():
+    head = "<head><meta charset=utf-8><title>T</title><link rel=x href=y><style>p{}</style><script>s</script>\n"
+    for rest in ("<p>a</p><p>b</p>", "<article><p>a</p><p>b</p></article>", "</head><p>a</p><p>b</p>", "<body><p>a</p><p>b</p>", "a<p>b</p>"):
+        assert [b.text for b in p.blocks_of("<html>" + head + rest)] == ["a", "b"]
+    assert p.blocks_of(head) == []

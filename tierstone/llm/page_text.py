@@ -30,7 +30,16 @@ GROUP = 128
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+#: What may stand in a head; any other opening tag, or text, ends it.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes".split())
+#: Opening tags that end an svg left open, as browsers do; not inside foreignObject.
+_ENDS_SVG = frozenset(
+    "article aside blockquote body center dd div dl dt embed footer form h1 h2 h3 h4 h5 h6 head header hr li main menu nav ol p "
+    "pre section table ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag of the key ends an open element of these names.
@@ -43,7 +52,7 @@ _ENDS = {
 )
 _SCOPES = frozenset("article aside body button div fieldset footer form header html main nav section table td th ul ol dl".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|annotation|annotation-xml)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
     re.S | re.I,
 )
@@ -59,7 +68,10 @@ class Block:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order, without empty ones; scripts, styles and the like are none."""
+    """The blocks of a page in order, without empty ones; scripts, styles, drawings and the like are none.
+
+    Formulas are inline text. A head may lack its tags: it ends where something stands that may not stand in it.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     buffer: list[str] = []
@@ -82,10 +94,12 @@ def blocks_of(page: str) -> list[Block]:
             if stack[i][0] in stop:
                 return
 
-    at, in_head = 0, False
+    at, in_head, svg, foreign = 0, False, 0, 0
     for m in [*_TOKEN.finditer(page), None]:
         piece = page[at : m.start() if m else len(page)]
-        if piece and not in_head:
+        if in_head and piece.strip():
+            in_head = False
+        if piece and not in_head and not svg:
             buffer.append(piece)
             if any(t == "a" for t, _ in stack):
                 linked += len(piece)
@@ -97,9 +111,22 @@ def blocks_of(page: str) -> list[Block]:
             if m["raw"]:
                 buffer.append(" ")
             continue
+        if svg and not m["end"] and not foreign and tag in _ENDS_SVG:
+            svg = 0
+        if svg or tag == "svg":
+            closed = m["rest"].rstrip().endswith("/")
+            step = 0 if closed and not m["end"] else -1 if m["end"] else 1
+            if tag == "svg":
+                svg = max(0, svg + step)
+                buffer.append(" ")
+            elif tag == "foreignobject":
+                foreign = max(0, foreign + step)
+            foreign = foreign if svg else 0
+            in_head = False
+            continue
         if tag == "head":
             in_head = not m["end"]
-        if tag == "body":
+        elif not m["end"] and tag not in _IN_HEAD:
             in_head = False
         if tag == "br":
             buffer.append(" ")
