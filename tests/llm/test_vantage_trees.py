@@ -63,3 +63,22 @@ def test_search_over_shards(spark, clustered):
     few = spark.createDataFrame(rows[:3], df.schema)
     assert v.nearest_neighbours(few, few.where("vec_id = 0"), 5).count() == 2
     assert v.nearest_neighbours(df.limit(0), queries.limit(0), 5).collect() == []
+
+
+def test_ties_of_any_number_go_to_the_smaller_id(monkeypatch):
+    random = np.random.default_rng(5)
+    x = random.normal(size=(400, 8))
+    line = np.round(random.normal(size=8), 2)
+    scaled = line * 2.0 ** (np.arange(120) % 60)[:, None]  # one direction, 60 lengths
+    corners = np.array([[1.0 if i >> b & 1 else -1.0 for b in range(8)] for i in range(256)])  # equal cosines to an axis
+    axis = np.zeros((1, 8))
+    axis[0, 0] = 1
+    vectors = np.concatenate([x, scaled, corners, axis])
+    ids = random.permutation(len(vectors)) * 7
+    asked = np.r_[0:30, 400:440, len(vectors) - 1]
+    for held in (v.HELD, 50):
+        monkeypatch.setattr(v, "HELD", held)
+        who, near, score = v.search_shard(ids, vectors, ids[asked], vectors[asked], 5, 1.0)
+        for i in asked:
+            want = brute(ids, vectors, vectors[i], ids[i], 5)
+            assert near[who == ids[i]].tolist() == [w for w, _ in want]

@@ -9,6 +9,7 @@ the tree together, so each visit is one matrix product.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,10 @@ LEAF = 48
 FACTOR = 1.2
 #: Angles are compared with so much slack, for their rounding.
 SLACK = 1e-6
-#: More neighbours are kept during the search, for neighbours whose order only exact scores settle.
+#: More neighbours are kept during the search, so that it opens more leaves.
 SPARE = 3
+#: Candidates whose exact scores are computed together, and that are held before each query keeps its k best of them.
+AT_ONCE, HELD = 50_000, 500_000
 
 
 @dataclass
@@ -74,20 +77,17 @@ class VantageTree:
         node.outside = float(far[half]), float(far[-1]), outer
         return [inner, outer]
 
-    def nearest(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of up to k near vectors for each unit query, and their cosines; -1 where there are fewer."""
+    def nearest(self, queries: np.ndarray, k: int, factor: float) -> tuple[list[tuple[Node, np.ndarray]], np.ndarray]:
+        """Leaves opened, each with the unit queries that opened it, and the k best cosines of each query, best first."""
         n = len(queries)
         best = np.full((n, k), -np.inf)
-        found = np.full((n, k), -1)
+        opened: list[tuple[Node, np.ndarray]] = []
         home = np.full(n, -1)
 
         def look(node: Node, who: np.ndarray) -> None:
             cosines = np.concatenate([best[who], queries[who] @ self.sorted[node.first : node.end].T], axis=1)
-            places = np.broadcast_to(self.order[node.first : node.end], (len(who), node.end - node.first))
-            places = np.concatenate([found[who], places], axis=1)
-            top = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            best[who] = np.take_along_axis(cosines, top, axis=1)
-            found[who] = np.take_along_axis(places, top, axis=1)
+            best[who] = -np.partition(-cosines, k - 1, axis=1)[:, :k]
+            opened.append((node, who))
 
         todo = [(self.root, np.arange(n))]
         while todo:
@@ -113,7 +113,16 @@ class VantageTree:
                 open_ = who[gap * factor <= worst + SLACK]
                 if len(open_):
                     todo.append((child, open_))
-        return found, best
+        return opened, -np.sort(-best, axis=1)
+
+    def reached(
+        self, queries: np.ndarray, opened: list[tuple[Node, np.ndarray]], least: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, position) of all vectors of the opened leaves whose cosine is the query's ``least`` or more."""
+        for node, who in opened:
+            cosines = queries[who] @ self.sorted[node.first : node.end].T
+            row, place = np.nonzero(cosines >= least[who, None])
+            yield who[row], self.order[node.first + place]
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -134,7 +143,8 @@ def search_shard(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, cosine): for each query the k nearest rows found in one shard, or all if there are fewer.
 
-    Equal vectors are one point of the tree; their rows are listed by id, and all with the same cosine.
+    Equal vectors are one point of the tree; their rows are listed by id, and all with the same cosine. Points whose
+    cosine reaches that of the k-th are all candidates, however many share it, so that exact scores and ids settle ties.
     """
     order = np.lexsort((ids, *vectors.T[::-1]))
     ids, vectors = ids[order], vectors[order]
@@ -148,20 +158,34 @@ def search_shard(
     points = vectors[firsts]
     tree = VantageTree(points / np.linalg.norm(points, axis=1)[:, None])
     unit = queries / np.linalg.norm(queries, axis=1)[:, None]
-    places, _ = tree.nearest(unit, min(k + SPARE, len(points)), factor)
-    who, rank = np.nonzero(places >= 0)
-    place = places[who, rank]
-    score = _exact(queries[who], points[place])
-    sizes = np.minimum(ends[place] - firsts[place], k + 1)
-    row = np.repeat(firsts[place], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    who, score, near = np.repeat(who, sizes), np.repeat(score, sizes), ids[row]
-    other = query_ids[who] != near
-    who, score, near = who[other], score[other], near[other]
-    order = np.lexsort((near, -score, who))
-    who, score, near = who[order], score[order], near[order]
-    start = np.searchsorted(who, who)
-    keep = np.arange(len(who)) - start < k
-    return query_ids[who[keep]], near[keep], score[keep]
+    # one of the points may hold the query's own row only
+    opened, best = tree.nearest(unit, min(k + SPARE, len(points)), factor)
+    least = best[:, min(k, best.shape[1] - 1)] - SLACK
+
+    def first(who: np.ndarray, near: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((near, -score, who))
+        who, near, score = who[order], near[order], score[order]
+        keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+        return who[keep], near[keep], score[keep]
+
+    def rows(who: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        score = _exact(queries[who], points[place])
+        sizes = np.minimum(ends[place] - firsts[place], k + 1)
+        row = np.repeat(firsts[place], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        who, score, near = np.repeat(who, sizes), np.repeat(score, sizes), ids[row]
+        other = query_ids[who] != near
+        return who[other], near[other], score[other]
+
+    held = [(np.empty(0, np.int64), ids[:0], np.empty(0))]
+    size = 0
+    for who, place in tree.reached(unit, opened, least):
+        for at in range(0, len(who), AT_ONCE):
+            held.append(rows(who[at : at + AT_ONCE], place[at : at + AT_ONCE]))
+            size += len(held[-1][0])
+            if size > HELD:
+                held, size = [first(*map(np.concatenate, zip(*held, strict=True)))], 0
+    who, near, score = first(*map(np.concatenate, zip(*held, strict=True)))
+    return query_ids[who], near, score
 
 
 def _usable(vector: Column) -> Column:
