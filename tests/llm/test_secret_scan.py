@@ -91,3 +91,42 @@ def test_columns(spark):
     assert [len(r.r.findings) for r in got] == [1, 0, 0, 1, 1, 1]
     assert [r.t for r in got[:3]] == ["[SECRET] x", None, ""] and got[3].t.endswith("x [SECRET] x")
     assert docs.limit(0).select(s.secrets_in(F.col("text"))).collect() == []
+
+
+def test_joined_members_are_all_read():
+    pad = b"nothing here " * 9
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for joined in (pack(pad) + pack(PLAIN.encode()), pack(pad) + pack(pad) + pack(PLAIN.encode()), pack(pad) + PLAIN.encode()):
+            token = b64(joined)
+            assert spans(f"é {token} z") == [("assign", 2, 2 + len(token))]
+    twice = b64(gzip.compress(bz2.compress(pad) + bz2.compress(PLAIN.encode())))
+    assert [k for k, _, _ in spans(twice)] == ["assign"]
+
+
+def test_what_lies_behind_the_bound_is_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(s, "INFLATED", 1000)
+    for before in (b" " * 100_000, "é".encode() * 5001, b"x" + "漢".encode() * 5000, b" " * 990):
+        found, _, cut = s.scan_text(b64(gzip.compress(before + b" " + PLAIN.encode())))
+        assert cut == 1 and len(found) == 1
+    found, _, cut = s.scan_text(b64(gzip.compress(zstandard.compress(bytes(range(256)) * 40 + PLAIN.encode()))))
+    assert cut == 1 and len(found) == 1
+
+
+def test_data_that_is_no_utf8_is_read():
+    for raw in (PLAIN.encode("utf-16"), PLAIN.encode("utf-16-le"), PLAIN.encode("utf-16-be"), b"\xff\xfe\x80\x01 " + PLAIN.encode() + b" \x9f\x00\x01"):
+        token = b64(raw)
+        ((kind, a, b),) = spans(f"<{token}>")
+        assert kind == "assign" and 1 <= a < b <= 1 + len(token)
+        assert spans(b64(gzip.compress(raw))) == [("assign", 0, len(b64(gzip.compress(raw))))]
+    late = b"\x01" * 5000 + PLAIN.encode()
+    assert [k for k, _, _ in spans(b64(late))] == ["assign"]
+
+
+def test_lines_of_base64_that_do_not_join():
+    line = base64.b64encode(PLAIN.encode() + b"x" * (48 - len(PLAIN))).decode()
+    assert len(line) == 64
+    for text in (line + "\nHello", line + "\nHello there", line + "\n" + "A" * 13):
+        assert [k for k, _, _ in spans(text)] == ["assign"]
+    odd = b64(PLAIN.encode() + b"x" * (47 - len(PLAIN))).rstrip("=")
+    other = b64(b"token=ghijkl999 " + b"y" * 31).rstrip("=")
+    assert len({a for _, a, _ in spans(odd + "\n" + other)}) == 2
