@@ -14,6 +14,7 @@ from tierstone.llm.packing import pack_documents
 from tierstone.llm.page_text import fit_labeller, main_text
 from tierstone.llm.piece_sampling import sampled_documents
 from tierstone.llm.quality import fit_line_field, quality_of
+from tierstone.llm.run_index import without_passages
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
 from tierstone.llm.substring_dedup import without_repeats
@@ -142,3 +143,10 @@ def op10_piece_sampling(spark, sf):
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@bound("op13_run_index")
+def op13_run_index(spark, sf):
+    kept = without_passages(table(spark, sf, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
