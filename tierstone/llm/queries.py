@@ -17,6 +17,7 @@ from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.run_index import without_passages
 from tierstone.llm.secret_scan import KINDS, secrets_in
 from tierstone.llm.simhash import near_copies
+from tierstone.llm.spelling import spelling_groups
 from tierstone.llm.substring_dedup import without_repeats
 from tierstone.llm.vantage_trees import nearest_neighbours
 
@@ -145,6 +146,11 @@ def op10_piece_sampling(spark, sf):
     )
 
 
+@bound("op12_spelling")
+def op12_spelling(spark, sf):
+    return spelling_groups(table(spark, sf, "documents"))
+
+
 @bound("op13_run_index")
 def op13_run_index(spark, sf):
     kept = without_passages(table(spark, sf, "documents"))
