@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstone.llm.burst_trie import conversation_trie
 from tierstone.llm.licences import licences_in
 from tierstone.llm.line_dedup import without_repeated_lines
 from tierstone.llm.packing import pack_documents
@@ -146,6 +147,11 @@ def op10_piece_sampling(spark, sf):
     )
 
 
+@bound("op11_burst_trie")
+def op11_burst_trie(spark, sf):
+    return conversation_trie(table(spark, sf, "conversations"))
+
+
 @bound("op12_spelling")
 def op12_spelling(spark, sf):
     return spelling_groups(table(spark, sf, "documents"))
