@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierstone.llm.burst_trie import conversation_trie
 from tierstone.llm.licences import licences_in
 from tierstone.llm.line_dedup import without_repeated_lines
+from tierstone.llm.oracles import CONVERSATION_TRIE, REPEATED_BYTES, SPELLING
 from tierstone.llm.packing import pack_documents
 from tierstone.llm.page_text import fit_labeller, main_text
 from tierstone.llm.piece_sampling import sampled_documents
@@ -147,17 +148,17 @@ def op10_piece_sampling(spark, sf):
     )
 
 
-@bound("op11_burst_trie")
+@bound("op11_burst_trie", CONVERSATION_TRIE)
 def op11_burst_trie(spark, sf):
     return conversation_trie(table(spark, sf, "conversations"))
 
 
-@bound("op12_spelling")
+@bound("op12_spelling", SPELLING)
 def op12_spelling(spark, sf):
     return spelling_groups(table(spark, sf, "documents"))
 
 
-@bound("op13_run_index")
+@bound("op13_run_index", REPEATED_BYTES)
 def op13_run_index(spark, sf):
     kept = without_passages(table(spark, sf, "documents"))
     n_spans = F.size("spans").cast("long").alias("n_spans")
