@@ -68,10 +68,13 @@ def test_equals_brute_force(spark, seed, most, partitions):
 
 
 def test_repeated_rows_null_ids_and_empty_tables(spark):
-    text = "".join(random.Random(4).choice("abc") for _ in range(300))
-    docs = [(1, text), (1, text), (None, "z" + text[:250]), (2, "other")]
+    rd = random.Random(4)
+    text = "".join(rd.choice("abc") for _ in range(300))
+    other = text[::-1]
+    docs = [(1, text), (1, text), (None, "z" + text[:250]), (2, "other"), (3, other[:220]), (3, "q" * 10 + other)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert found(df) == sorted([(1, 300, 300, 1, b"")] * 2 + [(None, 251, 250, 1, b"z"), (2, 5, 0, 0, b"other")], key=str)
+    assert found(df) == sorted([(1, 300, 300, 1, b"")] * 2 + [(None, 251, 250, 1, b"z"), (2, 5, 0, 0, b"other"), (3, 220, 220, 1, b""),
+                              (3, 310, 220, 1, b"q" * 10 + other[220:].encode())], key=str)
     assert found(df.limit(0)) == []
 
 
@@ -79,7 +82,7 @@ def test_long_texts_are_read_in_pieces():
     """A window over the border of two pieces belongs to one of them."""
     rd = random.Random(5)
     data = bytes(rd.randrange(256) for _ in range(r.PIECE + 1000))
-    pieces = list(r._cut(1, 0, 0, 1, data))
+    pieces = list(r._cut(1, 0, data))
     rows = r.strings_of(pieces, 0)
     starts = np.concatenate([np.arange(a, a + n) for a, n in zip(rows[r.START], rows[r.N])])
     assert len(pieces) == 2 and np.array_equal(np.sort(starts), np.arange(len(data) - r.LENGTH + 1))
@@ -90,7 +93,7 @@ def test_settling_in_blocks_loses_no_repeat(monkeypatch, here):
     """However rows are dealt before the shuffle, the same windows repeat or are compared."""
     monkeypatch.setattr(r, "MIXED_HERE", here)
     docs = [(d, (t or "").encode()) for d, t in corpus(6)]
-    strings = [r.strings_of([(d, 0, 0, 1, t)], 0) for d, t in docs]
+    strings = [r.strings_of([(d, 0, 0, 0, 1, t)], 0) for d, t in docs]
 
     def cover(rows, kinds):
         return {(int(d), i) for d, a, n, k in zip(rows[r.DOC], rows[r.START], rows[r.N], rows[r.KIND]) if k in kinds for i in range(a, a + n)}

@@ -48,16 +48,18 @@ MOST_STRINGS, LEVELS = 5_000, 8
 
 #: What a row says: these windows repeat; this string has to be compared; undecided; its anchor has several strings.
 REPEATED, COMPARED, STRING, MIXED = 0, 1, 2, 3
-ROWS = "deal long, key long, check long, doc long, start long, n int, weight byte, kind byte"
+ROWS = "deal long, key long, check long, doc long, mark int, start long, n long, source long, weight byte, kind byte"
 _SCHEMA = pa.schema([
-    ("deal", pa.int64()), ("key", pa.int64()), ("check", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()),
-    ("n", pa.int32()), ("weight", pa.int8()), ("kind", pa.int8()),
+    ("deal", pa.int64()), ("key", pa.int64()), ("check", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()),
+    ("start", pa.int64()), ("n", pa.int64()), ("source", pa.int64()), ("weight", pa.int8()), ("kind", pa.int8()),
 ])
 _KINDS = tuple(f.type.to_pandas_dtype() for f in _SCHEMA)
 Rows = tuple[np.ndarray, ...]
-DEAL, KEY, CHECK, DOC, START, N, WEIGHT, KIND = range(8)
-#: (document, place of the first byte in it, key of the level before, weight, bytes)
-Piece = tuple[int, int, int, int, bytes]
+DEAL, KEY, CHECK, DOC, MARK, START, N, SOURCE, WEIGHT, KIND = range(10)
+#: What tells documents apart: the id and a hash of the text.
+OWN = ["doc", "mark"]
+#: (document, its mark, place of the first byte in it, key of the level before, weight, bytes)
+Piece = tuple[int, int, int, int, int, bytes]
 
 
 def byte_grams(data: np.ndarray) -> np.ndarray:
@@ -87,8 +89,8 @@ def window_anchors(grams: np.ndarray) -> np.ndarray:
 
 def strings_of(pieces: list[Piece], level: int) -> Rows:
     """One row per string of the pieces."""
-    lengths = np.array([len(p[4]) for p in pieces], np.int64)
-    joined = b"".join(p[4] for p in pieces)
+    lengths = np.array([len(p[5]) for p in pieces], np.int64)
+    joined = b"".join(p[5] for p in pieces)
     if len(joined) < LENGTH:
         return _rows([])
     first = np.cumsum(lengths) - lengths
@@ -105,13 +107,13 @@ def strings_of(pieces: list[Piece], level: int) -> Rows:
     new[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])
     n = np.diff(np.append(np.flatnonzero(new), len(starts)))
     at, own = starts[new], owner[new]
-    docs, places, keys, weights = (np.array(c) for c in zip(*[p[:4] for p in pieces], strict=True))
+    docs, marks, places, keys, weights = (np.array(c) for c in zip(*[p[:5] for p in pieces], strict=True))
     key = mix(grams[anchors[new]] + keys[own].astype(np.int64).view(np.uint64) * MULTIPLIER).view(np.int64)
     view = memoryview(joined)
     ends = at + n + LENGTH - 1
     check = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(at.tolist(), ends.tolist(), strict=True)], np.uint64)
     return (
-        key, key, check.view(np.int64), docs[own], places[own] + at - first[own], n.astype(np.int32),
+        key, key, check.view(np.int64), docs[own], marks[own].astype(np.int32), places[own] + at - first[own], n, places[own],
         weights[own].astype(np.int8), np.full(len(at), STRING, np.int8),
     )
 
@@ -134,6 +136,18 @@ def _with(rows: Rows, **columns: object) -> Rows:
     return tuple(out)
 
 
+def merged(rows: Rows) -> Rows:
+    """Spans of windows that follow each other in a document as one, dealt by document."""
+    rows = _pick(rows, np.lexsort((rows[START], rows[MARK], rows[DOC])))
+    end = rows[START] + rows[N]
+    new = np.ones(len(end), bool)
+    new[1:] = (rows[DOC][1:] != rows[DOC][:-1]) | (rows[MARK][1:] != rows[MARK][:-1]) | (rows[START][1:] != end[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(end))[: len(first)] - 1
+    rows, end = _pick(rows, first), end[last]
+    return _with(rows, deal=mix(rows[DOC].view(np.uint64)).view(np.int64), key=0, check=0, n=end - rows[START], source=0, kind=REPEATED)
+
+
 def settle(rows: Rows, before_shuffle: bool) -> Rows:
     """What is decided about rows that share a key, and what goes on.
 
@@ -155,7 +169,7 @@ def settle(rows: Rows, before_shuffle: bool) -> Rows:
     group = np.cumsum(new) - 1
     weight = np.bincount(group, np.where(string, rows[WEIGHT], 0))[group]
     # a row of weight two has been told already that it repeats
-    out.append(_with(_pick(rows, string & (weight > 1) & (rows[WEIGHT] == 1)), kind=REPEATED))
+    out.append(merged(_pick(rows, string & (weight > 1) & (rows[WEIGHT] == 1))))
     first = new & string
     left = _with(_pick(rows, first), weight=np.minimum(weight[first], 2))
     own = np.cumsum(new_key) - 1
@@ -180,22 +194,20 @@ def _batches(rows: Rows) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in rows], schema=_SCHEMA)
 
 
-def _cut(doc: int, place: int, key: int, weight: int, data: bytes) -> Iterator[Piece]:
+def _cut(doc: int, mark: int, data: bytes) -> Iterator[Piece]:
     for i in range(0, max(1, len(data) - LENGTH + 1), PIECE):
-        yield doc, place + i, key, weight, data[i : i + PIECE + LENGTH - 1]
+        yield doc, mark, i, 0, 1, data[i : i + PIECE + LENGTH - 1]
 
 
 def _strings(level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
-        """Of whole texts, or (with a column of spans) of the strings that a key has had too many of."""
-        for part in slices(batches, "text", SLICE):
-            spans = part.column(2).to_pylist() if level else [None] * part.num_rows
-            for doc, text, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), spans, strict=True):
-                data = (text or "").encode()
-                if not level:
-                    yield from _cut(doc, 0, 0, 1, data)
-                for s in own or ():
-                    yield from _cut(doc, s["start"], s["key"], s["weight"], data[s["start"] : s["start"] + s["n"] + LENGTH - 1])
+        """Of whole texts, or the strings that a key has had too many of."""
+        for part in batches if level else slices(batches, "text", SLICE):
+            for row in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                if level:
+                    yield row
+                else:
+                    yield from _cut(row[0], row[1], (row[2] or "").encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[Piece] = []
@@ -204,7 +216,7 @@ def _strings(level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         rows = 0
         for piece in pieces(batches):
             waiting.append(piece)
-            size += len(piece[4])
+            size += len(piece[5])
             if size >= SLICE:
                 held.append(strings_of(waiting, level))
                 rows += len(held[-1][0])
@@ -341,21 +353,23 @@ class RunIndex:
         return string, at - self.starts[string], windows
 
 
+FETCHED = "doc long, mark int, start long, key long, weight byte, string binary"
 _FETCHED = pa.schema([
-    ("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("string", pa.binary()),
+    ("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int64()), ("key", pa.int64()), ("weight", pa.int8()), ("string", pa.binary()),
 ])
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the spans of each document."""
+    """The bytes of the strings of each document; rows of one string are in a batch."""
     for part in slices(batches, "text", SLICE):
-        out = []
-        for doc, text, spans in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-            data = text.encode()
-            out += [(s["key"], doc, s["start"], data[s["start"] : s["start"] + s["n"] + LENGTH - 1]) for s in spans]
-            if len(out) > 4_000:
-                yield _table(out)
-                out = []
+        out: list[tuple] = []
+        for doc, mark, text, spans in zip(*[c.to_pylist() for c in part.columns], strict=True):
+            data = (text or "").encode()
+            for s in spans:
+                out.append((doc, mark, s["start"], s["key"], s["weight"], data[s["start"] : s["start"] + s["n"] + LENGTH - 1]))
+                if len(out) >= 4_000:
+                    yield _table(out)
+                    out = []
         if out:
             yield _table(out)
 
@@ -371,13 +385,12 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def decided() -> Iterator[pa.RecordBatch]:
-        string, start, n = RunIndex([h[3] for h in held]).repeated()
-        docs, starts = np.array([h[1] for h in held], np.int64), np.array([h[2] for h in held], np.int64)
-        doc, place = docs[string], starts[string] + start
+        string, start, n = RunIndex([h[4] for h in held]).repeated()
+        docs, marks, starts = (np.array([h[i] for h in held], np.int64) for i in (1, 2, 3))
         # a span is found from both of its ends, and copies of it from each of them
-        spans = np.unique(np.stack([doc, place, n]), axis=1) if len(n) else np.empty((3, 0), np.int64)
+        spans = np.unique(np.stack([docs[string], marks[string], starts[string] + start, n]), axis=1)
         zero = np.zeros(spans.shape[1], np.int64)
-        yield from _batches(_rows([(zero, zero, zero, spans[0], spans[1], spans[2], zero, zero + REPEATED)]))
+        yield from _batches(_rows([(zero, zero, zero, *spans, zero, zero, zero + REPEATED)]))
 
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -385,38 +398,48 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from decided()
                 held, size = [], 0
             held.append(row)
-            size += len(row[3]) + 1
+            size += len(row[4]) + 1
     if held:
         yield from decided()
 
 
 def _spans(rows: DataFrame, *columns: str) -> DataFrame:
-    return rows.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+    return rows.groupBy(*OWN).agg(F.collect_list(F.struct(*columns)).alias("spans"))
+
+
+def _found(strings: DataFrame) -> DataFrame:
+    """Spans of windows that stand twice among the strings, by an index of each block of them."""
+    by_key = strings.select("key", *OWN, "start", "string").repartition("key").sortWithinPartitions("key")
+    return by_key.mapInArrow(_indexed, ROWS).select(*OWN, "start", "n")
 
 
 def repeated_spans(texts: DataFrame, most_strings: int = MOST_STRINGS, levels: int = LEVELS) -> DataFrame:
-    """(doc, start, n): spans of windows that stand elsewhere too, maybe overlapping; ``texts`` has doc and text.
+    """(doc, mark, start, n): spans of windows that stand elsewhere too, maybe overlapping.
 
-    Each level is stored in the shared folder, as several steps read it.
+    ``texts`` has doc, mark and text. What several steps read is stored in the shared folder: the rows of each level,
+    and the bytes of its strings if some anchor has too many, so that texts are fetched once however often it is refined.
     """
     found = []
-    source, columns = texts, ()
+    source = texts
     for level in range(levels + 1):
         own = source.mapInArrow(_strings(level), ROWS).repartition("deal").sortWithinPartitions("deal")
         rows = cut_lineage(own.mapInArrow(_whole_keys, ROWS))
-        found.append(rows.where(F.col("kind") == REPEATED).select("doc", "start", "n"))
+        found.append(rows.where(F.col("kind") == REPEATED).select(*OWN, "start", "n"))
         compared = rows.where(F.col("kind") == COMPARED)
+        if level:
+            parents = source.select(*OWN, F.col("start").alias("source"), F.col("string").alias("whole"))
+            part = F.expr(f"substring(whole, cast(start - source + 1 as int), cast(n + {LENGTH - 1} as int))").alias("string")
+            strings = compared.join(parents, [*OWN, "source"]).select(*OWN, "start", "key", "weight", part)
+        else:
+            with_spans = texts.join(_spans(compared, "start", "n", "key", "weight"), OWN).select(*OWN, "text", "spans")
+            strings = with_spans.mapInArrow(_fetched, FETCHED)
         hot = cut_lineage(compared.groupBy("key").agg(F.count("*").alias("strings")).where(F.col("strings") > most_strings))
-        last = level == levels or hot.isEmpty()
-        fits = compared if last else compared.join(hot, "key", "left_anti")
-        fetched = texts.join(_spans(fits, "key", "start", "n"), "doc").select("doc", "text", "spans")
-        strings = fetched.mapInArrow(_fetched, "key long, doc long, start long, string binary")
-        by_key = strings.repartition("key").sortWithinPartitions("key")
-        found.append(by_key.mapInArrow(_indexed, ROWS).select("doc", "start", "n"))
-        if last:
+        if level == levels or hot.isEmpty():
+            found.append(_found(strings))
             break
-        columns = ("key", "start", "n", "weight")
-        source = texts.join(_spans(compared.join(hot, "key", "left_semi"), *columns), "doc").select("doc", "text", "spans")
+        strings = cut_lineage(strings)
+        found.append(_found(strings.join(hot, "key", "left_anti")))
+        source = strings.join(hot, "key", "left_semi").select(*OWN, "start", "key", "weight", "string")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -430,14 +453,11 @@ _RESULT = pa.schema([
 RESULT = "doc long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary"
 
 
-def removed_spans(size: int, spans: list[dict] | None) -> list[tuple[int, int]]:
+def removed_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
     """The maximal runs of bytes that windows of the spans cover."""
     out: list[list[int]] = []
     for start, n in sorted((s["start"], s["n"]) for s in spans or ()):
-        # rows that share an id may be shorter than the one that the span is of
-        stop = min(start + n + LENGTH - 1, size)
-        if start >= stop:
-            continue
+        stop = start + n + LENGTH - 1
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], stop)
         else:
@@ -448,9 +468,9 @@ def removed_spans(size: int, spans: list[dict] | None) -> list[tuple[int, int]]:
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         out = []
-        for doc, text, spans in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+        for doc, text, spans in zip(*[c.to_pylist() for c in part.columns], strict=True):
             data = (text or "").encode()
-            gone = removed_spans(len(data), spans)
+            gone = removed_spans(spans)
             ends = [0, *[x for span in gone for x in span], len(data)]
             kept = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
             out.append((doc, len(data), len(data) - len(kept), [{"start": a, "stop": b} for a, b in gone], kept))
@@ -466,12 +486,12 @@ def without_passages(
 
     A byte of the UTF-8 text goes if a window of LENGTH bytes covers it that also starts at any other place, of the
     same document or another; all its copies go, the first one too. What is kept need not be valid UTF-8. Windows are
-    judged on the input. A null or empty text has no bytes. Rows that repeat are copies of each other; rows that
-    share an id but not the text each lose the places that any of them loses. A null id stays null. An empty table
-    gives no rows. Texts of any length are read in pieces; other columns of ``docs`` are not read.
+    judged on the input. A null or empty text has no bytes. Rows that repeat are copies of each other, and rows that
+    share only an id are documents of their own. A null id stays null. An empty table gives no rows. Texts of any
+    length are read in pieces; other columns of ``docs`` are not read.
     """
-    texts = texts_by_id(docs, id_col, text_col)
+    texts = texts_by_id(docs, id_col, text_col).withColumn("mark", F.hash("text")).select(*OWN, "text")
     spans = _spans(repeated_spans(texts, most_strings), "start", "n")
-    found = texts.join(spans, "doc", "left").select("doc", "text", "spans")
+    found = texts.join(spans, OWN, "left").select("doc", "text", "spans")
     cleaned = found.mapInArrow(_cleaned, RESULT)
     return cleaned.select(named_id(F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")
