@@ -416,8 +416,8 @@ def _found(strings: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame, most_strings: int = MOST_STRINGS, levels: int = LEVELS) -> DataFrame:
     """(doc, mark, start, n): spans of windows that stand elsewhere too, maybe overlapping.
 
-    ``texts`` has doc, mark and text. What several steps read is stored in the shared folder: the rows of each level,
-    and the bytes of its strings if some anchor has too many, so that texts are fetched once however often it is refined.
+    ``texts`` has doc, mark and text. What several steps read is stored in the shared folder: the rows of each level
+    and the bytes of its strings, so that texts are fetched once however often an anchor is refined.
     """
     found = []
     source = texts
@@ -433,11 +433,11 @@ def repeated_spans(texts: DataFrame, most_strings: int = MOST_STRINGS, levels: i
         else:
             with_spans = texts.join(_spans(compared, "start", "n", "key", "weight"), OWN).select(*OWN, "text", "spans")
             strings = with_spans.mapInArrow(_fetched, FETCHED)
+        strings = cut_lineage(strings)
         hot = cut_lineage(compared.groupBy("key").agg(F.count("*").alias("strings")).where(F.col("strings") > most_strings))
         if level == levels or hot.isEmpty():
             found.append(_found(strings))
             break
-        strings = cut_lineage(strings)
         found.append(_found(strings.join(hot, "key", "left_anti")))
         source = strings.join(hot, "key", "left_semi").select(*OWN, "start", "key", "weight", "string")
     out = found[0]
