@@ -67,6 +67,12 @@ CONTRACT = {
     },
     "op9_page_text": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op10_piece_sampling": {"doc_id": "bigint", "n_pieces": "bigint"},
+    "op11_burst_trie": {
+        "conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint", "n_leaves": "bigint",
+        "saved_tokens": "bigint", "ends_sha256": "string",
+    },
+    "op12_spelling": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op13_run_index": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
 }
 
 
@@ -76,12 +82,16 @@ def test_query_keeps_its_contract(spark, name):
     df = queries.QUERIES[name](spark, SF)
     types = dict(df.dtypes)
     assert {c: types[c] for c in CONTRACT[name]} == CONTRACT[name]
-    table = "embeddings" if name.startswith("op2") else "pages" if name.startswith("op9") else "documents"
+    table = {"op2": "embeddings", "op9": "pages", "op11": "conversations"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{SF}/{table}.parquet")
     n = df.count()
     if name.startswith("op2"):
         assert n == 5 * rows.where("vec_id % 50 = 0").count()
     elif name.startswith("op4"):
         assert df.select("doc_id").distinct().count() == rows.count()
+    elif name.startswith("op11"):
+        assert df.where("depth = 0").collect()[0].n_convs == rows.select("conv_id").distinct().count()
+    elif name.startswith("op12"):
+        assert n == df.select("word").distinct().count()
     else:
         assert n == rows.count()
