@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm.line_dedup import clean_lines
+from tierstone.llm.near_dedup import without_near_copies
 from tierstone.llm.packing import pack_documents
 from tierstone.llm.quality import fit_line_field, quality_of
 from tierstone.llm.secret_scan import without_secrets
-from tierstone.llm.similar_sets import without_similar
 from tierstone.sources.shared import cut_lineage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -43,7 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group of near copies: five-word runs, similarity 0.8 or more."""
-    return without_similar(docs).select(*COLUMNS)
+    return without_near_copies(docs).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
