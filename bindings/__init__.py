@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from bindings import cleaning, files, history, observe, quality, reshape, serving  # noqa: E402,F401
+from bindings import cleaning, files, history, observe, quality, reshape, serving, stored  # noqa: E402,F401

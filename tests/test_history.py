@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tierstone.operators.history import (
     as_of, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows, unseen_events,
 )
-from tierstone.sources.buckets import BucketTable
 from tierstone.sources.shared import cut_lineage
 
 DAY = dt.date(2024, 1, 1)
@@ -155,28 +154,6 @@ def test_merge_that_closes_missing_keys_equals_rebuild(spark, seed):
     assert rows(merged) == rows(scd2_build(whole, **args))
 
 
-def test_bucket_table_replaces_touched_buckets_only(spark, tmp_path):
-    table = BucketTable(str(tmp_path / "t"), ["k"], 8)
-    assert table.runs(spark) == []
-    with pytest.raises(ValueError):
-        table.read(spark)
-    table.publish(spark.range(40).selectExpr("id AS k", "1 AS v"), "r1", range(8), ["k"])
-    one = spark.createDataFrame([(3, 9)], "k long, v int")
-    (b,) = table.touched(one)
-    near = table.read(spark, [b])
-    changed = near.withColumn("v", F.when(F.col("k") == 3, 9).otherwise(F.col("v"))).withColumn("w", F.lit("new"))
-    table.publish(changed, "r2", [b])
-    table.publish(one.limit(0), "r2", [b])  # published already
-    table.publish(one, "r3", [])
-    assert table.runs(spark) == ["r1", "r2", "r3"]
-    got = {r.k: r.v for r in table.read(spark).collect()}
-    assert got == {k: 9 if k == 3 else 1 for k in range(40)}
-    assert len(list((tmp_path / "t" / "data").glob("run_id=r2/_bucket=*"))) == 1
-    assert not (tmp_path / "t" / "data" / "run_id=r3").exists()
-    table.publish(one.limit(0), "r4", [b])
-    assert 3 not in {r.k for r in table.read(spark).collect()}
-
-
 def test_versions_are_contiguous_and_one_is_open(spark):
     got = rows(scd2_build(spark.createDataFrame(make_events(8), SCHEMA), **ARGS))
     by_key = {}

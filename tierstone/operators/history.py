@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
@@ -292,6 +293,173 @@ def merge_unseen(
     return merged.unionByName(rebuilt)
 
 
+@dataclass(frozen=True)
+class VersionDelta:
+    """What a merge adds to a stored history.
+
+    ``opened``: the open version of each touched key, with ``_live`` (false: it has none any more); ``closed``: closed
+    versions to add; ``resets``: keys whose earlier closed versions are void; ``changes``: open versions before and
+    after; ``scopes``: the last snapshot of each scope (with ``close_missing`` only).
+    """
+
+    opened: DataFrame
+    closed: DataFrame
+    resets: DataFrame | None
+    changes: DataFrame
+    scopes: DataFrame | None = None
+
+    def parts(self) -> dict[str, DataFrame | None]:
+        """By the kinds of a version table."""
+        return {"open": self.opened, "closed": self.closed, "resets": self.resets, "changes": self.changes, "scopes": self.scopes}
+
+
+#: From a frame of keys to rows of these keys: their closed versions (None: there are none), or all their observations.
+Lookup = Callable[[DataFrame], DataFrame | None]
+
+
+def _delta(
+    out: DataFrame, open_rows: DataFrame | None, touched: DataFrame, keys: list[str], resets: DataFrame | None,
+    scopes: DataFrame | None = None,
+) -> VersionDelta:
+    """The delta of the touched keys, whose versions (but for closed ones of earlier runs) are ``out``."""
+    out = cut_lineage(out)
+    shown = [c for c in out.columns if c not in keys and c != END_AT]
+    after = out.filter(F.col(END_AT).isNull()).select(*keys, F.struct(*shown).alias("_after"))
+    if open_rows is None:
+        pairs = after.withColumn("_before", F.lit(None).cast(after.schema["_after"].dataType))
+    else:
+        # a column that the stored rows lack is NULL there
+        image = F.struct(*[(F.col(c) if c in open_rows.columns else F.lit(None).cast(out.schema[c].dataType)).alias(c) for c in shown])
+        before = open_rows.join(touched, keys, "left_semi").select(*keys, image.alias("_before"))
+        pairs = before.join(after, keys, "full")
+    pairs = cut_lineage(pairs.select(*keys, "_before", "_after").filter(~F.col("_before").eqNullSafe(F.col("_after"))))
+    live = F.col("_after").isNotNull()
+    # a key without an open version shows its last one, which nobody reads
+    row = F.coalesce("_after", "_before")
+    opened = pairs.withColumn("_row", row).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in shown], live.alias("_live"))
+    return VersionDelta(opened, out.filter(F.col(END_AT).isNotNull()), resets, pairs, scopes)
+
+
+def delta_of_build(history: DataFrame, keys: Sequence[str], scopes: DataFrame | None = None) -> VersionDelta:
+    """A whole history as the first delta of a stored one."""
+    return _delta(history, None, history.select(*keys), list(keys), None, scopes)
+
+
+def merge_delta(
+    open_rows: DataFrame,
+    new_events: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    closed_of: Lookup,
+    history_of: Lookup,
+    tracked: Sequence[str] | None = None,
+    drop: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+    untracked: str = "update",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> VersionDelta:
+    """What ``new_events`` change in a history of which only the open versions are at hand.
+
+    An observation at or behind the start of its key's open version needs no other row to be judged. Only for keys
+    with an earlier one ``closed_of`` is asked, as it may repeat a closed version; and only keys for which it is news
+    (or for which it corrects something before their last observation) are rebuilt from ``history_of``: all their
+    observations, the new ones included. The delta is as large as the news and the rebuilt keys.
+    """
+    keys = list(keys)
+    unseen = partial(
+        unseen_events, keys=keys, sequence=sequence, tracked=tracked, drop=drop, untracked=untracked, rows_per_task=rows_per_task
+    )
+    news = unseen(open_rows, new_events)
+    columns = news.columns
+    starts = open_rows.select(*keys, F.col(START_AT).alias("_open_start"), F.col(sequence).alias("_last_seen"))
+    placed = cut_lineage(news.join(starts, keys, "left"))
+    is_early = F.coalesce(F.col(sequence) < F.col("_open_start"), F.lit(False))
+    early = placed.filter(is_early)
+    early_keys = early.select(*keys).distinct()
+    if not early.isEmpty():
+        early_keys = cut_lineage(early_keys)
+        closed = closed_of(early_keys)
+        own = open_rows.join(early_keys, keys, "left_semi")
+        versions = own if closed is None else closed.unionByName(own, allowMissingColumns=True).select(*own.columns)
+        news = cut_lineage(placed.filter(~is_early).select(*columns).unionByName(unseen(cut_lineage(versions), early.select(*columns))))
+    first_new = news.groupBy(*keys).agg(F.min(sequence).alias("_first_new"))
+    marks = cut_lineage(first_new.join(starts, keys, "left").select(
+        *keys, F.coalesce(F.col("_first_new") <= F.col("_last_seen"), F.lit(False)).alias("_late")
+    ))
+    build = partial(_build, keys=keys, sequence=sequence, tracked=tracked, drop=drop, tiebreak=tiebreak, untracked=untracked)
+    in_order = news.join(marks.filter(~F.col("_late")), keys).withColumn("_start", F.col(sequence))
+    carried = open_rows.join(marks.filter(~F.col("_late")), keys).withColumn("_start", F.col(START_AT)).drop(START_AT, END_AT)
+    out = build(in_order.unionByName(carried, allowMissingColumns=True).drop("_late"), find_hot_keys(news, keys, sequence, rows_per_task))
+    late_keys = marks.filter("_late").select(*keys)
+    if late_keys.isEmpty():
+        return _delta(out, open_rows, marks, keys, None)
+    again = cut_lineage(_keyed(history_of(late_keys), keys, sequence))
+    rebuilt = build(again, find_hot_keys(again, keys, sequence, rows_per_task))
+    return _delta(out.unionByName(rebuilt, allowMissingColumns=True), open_rows, marks, keys, late_keys)
+
+
+def snapshot_delta(
+    open_rows: DataFrame,
+    last: DataFrame,
+    new_events: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    scope: Sequence[str],
+    history_of: Lookup,
+    tracked: Sequence[str] | None = None,
+    drop: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+    untracked: str = "update",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> VersionDelta:
+    """What snapshots change in a history that closes the keys they miss.
+
+    ``open_rows`` are the keys that were in the last snapshot of their scope, ``last`` (scope..., ``_last``) says which
+    one that was. The new snapshots of a scope are compared with its open keys by one join; only keys that change,
+    vanish or come (back) go on. A scope with a snapshot that is not behind its last one is rebuilt from
+    ``history_of`` (asked with a frame of scopes), as that snapshot may close any of its keys.
+    """
+    keys, scope = list(keys), list(scope)
+    fresh = _keyed(new_events, keys, sequence)
+    columns = fresh.columns
+    dates = cut_lineage(fresh.select(*scope, sequence).distinct())
+    named = dates.groupBy(*scope).agg(F.min(sequence).alias("_first"), F.max(sequence).alias("_newest"), F.count("*").alias("_dates"))
+    named = cut_lineage(named.join(last, scope, "left").withColumn("_late", F.coalesce(F.col("_first") <= F.col("_last"), F.lit(False))))
+    ahead = named.filter(~F.col("_late"))
+    scopes = named.select(*scope, F.greatest("_newest", "_last").alias("_last"))
+
+    # what the one new snapshot of a scope repeats of the open versions needs no further look
+    values, _ = _roles(fresh, keys, sequence, tracked, drop, untracked)
+    compared = [c for c in values if c != sequence]
+    fingerprint = F.xxhash64(*[F.col(c) for c in compared]) if compared else F.lit(0).cast("long")
+    stored = open_rows
+    for f in fresh.schema:
+        if f.name in compared and f.name not in stored.columns:
+            stored = stored.withColumn(f.name, F.lit(None).cast(f.dataType))
+    live = stored.join(ahead.select(*scope, "_dates"), scope).withColumn("_shown", fingerprint)
+    rows = fresh.join(ahead.select(*scope, "_dates"), scope).withColumn("_shown", fingerprint)
+    seen = rows.groupBy(*keys).agg(F.min("_shown").alias("_low"), F.max("_shown").alias("_high"))
+    goes_on = live.join(seen, keys).filter((F.col("_dates") == 1) & (F.col("_low") == F.col("_shown")) & (F.col("_high") == F.col("_shown")))
+    goes_on = cut_lineage(goes_on.select(*keys))
+    moved = rows.select(*columns).join(goes_on, keys, "left_anti").withColumn("_start", F.col(sequence))
+    stayed = stored.join(ahead.select(*scope), scope, "left_semi").join(goes_on, keys, "left_anti")
+    stayed = stayed.withColumn("_start", F.col(START_AT)).drop(START_AT, END_AT)
+    feed = cut_lineage(moved.unionByName(stayed, allowMissingColumns=True))
+    along = Window.partitionBy(*scope).orderBy(sequence)
+    known = dates.unionByName(ahead.filter(F.col("_last").isNotNull()).select(*scope, F.col("_last").alias(sequence))).distinct()
+    feed = feed.join(known.withColumn("_due", F.lead(sequence).over(along)), [*scope, sequence])
+    build = partial(_build, keys=keys, sequence=sequence, tracked=tracked, drop=drop, tiebreak=tiebreak, untracked=untracked)
+    touched = feed.select(*keys).distinct()
+    out = build(feed, find_hot_keys(feed, keys, sequence, rows_per_task))
+    late = named.filter("_late").select(*scope)
+    if late.isEmpty():
+        return _delta(out, stored, touched, keys, None, scopes)
+    again = cut_lineage(_keyed(history_of(late), keys, sequence))
+    rebuilt = scd2_build(again, keys, sequence, tracked, drop, tiebreak, untracked, scope, rows_per_task)
+    resets = again.select(*keys).distinct()
+    return _delta(out.unionByName(rebuilt, allowMissingColumns=True), stored, touched.union(resets), keys, resets, scopes)
+
+
 def _unknown(
     fresh: DataFrame, target: DataFrame, hot: HotKeys | None, keys: list[str], sequence: str, values: list[str],
     compared: list[str],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from tierstone.context import RunContext
 from tierstone.operators import quality, serving
 from tierstone.plans.flows import FLOWS, HistoryFlow
 from tierstone.plans.registry import DATASETS, TenantRegistry
-from tierstone.sources.buckets import BucketTable
 from tierstone.sources.shared import steps_dropped
 from tierstone.sources.snapshots import SnapshotTable
+from tierstone.sources.versions import VersionTable
 from tierstone.streaming.ingest import RawTable, ingest_new_files
 from tierstone.vocab import TECHNOLOGIES
 
@@ -43,7 +44,6 @@ class Warehouse:
     root: str
     registry: TenantRegistry
     raw_columns: dict[str, list[str]] = field(default_factory=dict)
-    history_buckets: int = 256
 
     def raw(self, dataset: str) -> RawTable:
         return RawTable(f"{self.root}/raw/{dataset}", dataset, self.raw_columns[dataset])
@@ -67,8 +67,8 @@ class Warehouse:
     def _valid(dataset: str, rows: DataFrame) -> DataFrame:
         return rows if dataset == "circuits" else quality.read_passed(rows)
 
-    def history(self, dataset: str) -> BucketTable:
-        return BucketTable(f"{self.root}/history/{dataset}", FLOWS[dataset].keys, self.history_buckets)
+    def history(self, dataset: str) -> VersionTable:
+        return FLOWS[dataset].stored_in(f"{self.root}/history/{dataset}")
 
     def served(self, view: str) -> SnapshotTable:
         return SnapshotTable(f"{self.root}/serving/{view}")
@@ -102,11 +102,11 @@ class Warehouse:
                 rows = self.registry.standardize(delivered, dataset)
                 self._store_losses(dataset, delivery, delivered, rows)
                 if dataset == "circuits":
-                    table.publish(quality.expect_or_drop(rows, CIRCUIT_RULES), delivery)
+                    table.publish(quality.expect_or_drop(rows, CIRCUIT_RULES), delivery, index_by=FLOWS[dataset].keys)
                 else:
                     valid = quality.expect_or_drop(rows, DER_RULES)
                     tagged = quality.tag_for_quarantine(valid, DER_QUARANTINE)
-                    table.publish(tagged, delivery, partition_by=[quality.QUARANTINED])
+                    table.publish(tagged, delivery, partition_by=[quality.QUARANTINED], index_by=FLOWS[dataset].keys)
                 self._store_metrics(dataset, delivery, run)
                 if dataset != "circuits":
                     self._store_unmapped(dataset, delivery)
@@ -161,27 +161,31 @@ class Warehouse:
     def update_history(self) -> None:
         """Take every published run not yet in the history, oldest first.
 
-        A run reads the buckets that hold its keys and writes those that hold news; a delivery that
-        repeats what is known writes none.
+        A run writes what it changes: the open versions of keys with news and the versions these close. A delivery
+        that repeats what is known writes none. Keys with late rows are rebuilt from the files that hold them.
         """
         for dataset, flow in FLOWS.items():
             target = self.history(dataset)
             done = target.runs(self.spark)
             for run_id in [r for r in self.snapshots(dataset).runs(self.spark) if r not in done]:
                 with steps_dropped(self.spark):
-                    self._take(dataset, flow, target, run_id, first=not done)
-                done = [*done, run_id]
-
-    def _take(self, dataset: str, flow: HistoryFlow, target: BucketTable, run_id: str, first: bool) -> None:
-        new = self.standardized(dataset, run_id)
-        if first:
-            target.publish(flow.build(new), run_id, range(target.buckets), flow.cluster_by)
-            return
-        near = target.read(self.spark, target.touched(new))
-        news = flow.unseen(near, new)
-        changed = target.touched(news)
-        rows = flow.merge_unseen(target.read(self.spark, changed), news, self.retained(dataset)) if changed else near
-        target.publish(rows, run_id, changed, flow.cluster_by)
+                    self._take(dataset, flow, target, run_id)
+
+    def _take(self, dataset: str, flow: HistoryFlow, target: VersionTable, run_id: str) -> None:
+        def history_of(rows: DataFrame) -> DataFrame:
+            by = flow.keys if flow.close_missing is None else flow.close_missing
+            if flow.close_missing is None:
+                found = self.snapshots(dataset).read_keys(self.spark, rows, by)
+            else:
+                found = self.snapshots(dataset).read_all(self.spark).join(rows, list(by), "left_semi")
+            return self._valid(dataset, found)
+
+        flow.take(self.spark, target, run_id, self.standardized(dataset, run_id), history_of)
+
+    def history_changes(self, dataset: str, from_run: str, to_run: str, columns: Sequence[str]) -> DataFrame:
+        """Change feed of the current state between two runs, from the stored log."""
+        table = self.history(dataset)
+        return table.net_changes(self.spark, table.version_of(self.spark, from_run), table.version_of(self.spark, to_run), columns)
 
     def serve(self, run: RunContext) -> None:
         circuits, installed, planned = (self.history(d).read(self.spark) for d in DATASETS)

@@ -6,12 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstone.sources.commits import CommitLog, VersionTaken
+from tierstone.sources.csv_drops import plain_path
 from tierstone.sources.layout import clustered
 
 MANIFEST_SCHEMA = "run_id string, version long"
+#: Buckets of a key hash by which the files of an indexed run are told apart.
+BUCKETS = 4096
+
+
+def key_bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -19,7 +27,11 @@ class SnapshotTable:
     """A run is written under ``data/run_id=...`` and then named by one appended manifest row.
 
     A reader resolves the manifest, so it never sees a half-written run, and a writer never
-    overwrites what is being read.  Publishing a run again changes nothing.  One writer at a time.
+    overwrites what is being read.  Publishing a run again changes nothing.  A version number is claimed
+    before it is used, so two writers of different runs never share one.
+
+    A run published with ``index_by`` lies in the order of a hash of these columns, and ``index/run_id=...`` tells
+    which buckets of it each file spans; :meth:`read_keys` then opens only the files that its keys can be in.
     """
 
     root: str
@@ -42,17 +54,41 @@ class SnapshotTable:
         return [r.run_id for r in manifest.groupBy("run_id").agg(F.min("version").alias("v")).orderBy("v").collect()]
 
     def publish(
-        self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()
+        self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = (),
+        index_by: Sequence[str] = (),
     ) -> None:
         spark = df.sparkSession
         done = self.runs(spark)
         if run_id in done:
             return
-        rows = clustered(df, cluster_by) if cluster_by else df
+        if index_by:
+            rows = df.repartitionByRange(key_bucket(index_by), F.xxhash64(*index_by)).sortWithinPartitions(key_bucket(index_by), *index_by)
+        else:
+            rows = clustered(df, cluster_by) if cluster_by else df
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.run_path(run_id))
-        entry = spark.createDataFrame([(run_id, len(done))], MANIFEST_SCHEMA)
+        if index_by:
+            self._write_index(spark, run_id, index_by)
+        entry = spark.createDataFrame([(run_id, self._claim(spark, run_id, len(done)))], MANIFEST_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.manifest_path)
 
+    def _claim(self, spark: SparkSession, run_id: str, number: int) -> int:
+        """A version number that no other writer has, ``number`` or a later one."""
+        claims = CommitLog(f"{self.root}/claims")
+        number = max([number, *[v + 1 for v in claims.versions(spark)]])
+        while True:
+            try:
+                claims.commit(spark, number, [{"run_id": run_id}])
+                return number
+            except VersionTaken:
+                number += 1
+
+    def _write_index(self, spark: SparkSession, run_id: str, keys: Sequence[str]) -> None:
+        """One row per file: its name below the run's folder and the buckets it spans. Reads the key columns only."""
+        written = spark.read.parquet(self.run_path(run_id))
+        name = F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"/data/run_id=[^/]*/(.*)$", 1)
+        spans = written.select(name.alias("file"), key_bucket(keys).alias("b")).groupBy("file").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        spans.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/run_id={run_id}")
+
     def read(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
         """One run, the newest by default."""
         published = self.runs(spark)
@@ -66,3 +102,26 @@ class SnapshotTable:
         """The retained rows of every published run; columns a run lacks are NULL."""
         paths = [self.run_path(r) for r in self.runs(spark)]
         return spark.read.options(mergeSchema=True, basePath=f"{self.root}/data").parquet(*paths).drop("run_id")
+
+    def files_of_keys(self, spark: SparkSession, rows: DataFrame, keys: Sequence[str]) -> list[str]:
+        """The files of all runs that rows with the keys of ``rows`` can be in; a run without an index counts whole."""
+        published = self.runs(spark)
+        buckets = [r[0] for r in rows.select(key_bucket(keys)).distinct().collect()]
+        try:
+            index = spark.read.schema("file string, low int, high int, run_id string").parquet(f"{self.root}/index")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return [self.run_path(r) for r in published]
+        hit = F.exists(F.lit(sorted(buckets)), lambda b: (b >= F.col("low")) & (b <= F.col("high"))) if buckets else F.lit(False)
+        indexed = {r.run_id for r in index.select("run_id").distinct().collect()}
+        found = index.filter(F.col("run_id").isin(published)).filter(hit).orderBy("run_id", "file").collect()
+        return [f"{self.run_path(r.run_id)}/{r.file}" for r in found] + [self.run_path(r) for r in published if r not in indexed]
+
+    def read_keys(self, spark: SparkSession, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows of all runs whose keys are among those of ``rows``; only files that can hold them are opened."""
+        files = self.files_of_keys(spark, rows, keys)
+        if not files:
+            return self.read_all(spark).limit(0)
+        held = spark.read.options(mergeSchema=True, basePath=f"{self.root}/data").parquet(*files).drop("run_id")
+        return held.join(rows.select(*keys).distinct(), list(keys), "left_semi")
