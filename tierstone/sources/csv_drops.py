@@ -15,6 +15,7 @@ from tierstone.context import RunContext
 from tierstone.functions.cleaning import BOM
 from tierstone.functions.lineage import add_lineage
 from tierstone.functions.rescued import object_or_null, recover_rescued
+from tierstone.sources.heads import file_heads
 from tierstone.vocab import CASE_VARIANTS
 
 # The delivered CSV dialect.
@@ -44,11 +45,10 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:///")
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file_path, header): the first line of each file that is not blank; none for a file without one.
+def scanned_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file_path, header): the first line of each file that is not blank, by a text scan of the whole files.
 
-    One CSV scan over files with different headers would map them by position, so headers come
-    first.  Only the first block of each file can hold it.
+    For stores that only Spark's own readers reach.  Only the first block of each file can hold the header.
     """
     lines = spark.read.text([literal(p) for p in paths]).where(F.col("value").rlike(r"[^\x00-\x20]")).select(
         "value",
@@ -62,10 +62,21 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     """Distinct header line -> files.  Bounded by the files of one batch, which are listed on the
-    driver anyway."""
+    driver anyway.
+
+    One CSV scan over files with different headers would map them by position, so headers come first.  A file is
+    opened for its first block only, however long it is; what cannot be opened so is scanned.
+    """
     groups: dict[str, list[str]] = {}
-    for row in file_headers(spark, paths).collect():
-        groups.setdefault(row.header, []).append(row.file_path)
+    left = []
+    for row in file_heads(spark, paths).collect():
+        if row.error is not None:
+            left.append(row.path)
+        elif row.header is not None:
+            groups.setdefault(row.header, []).append(row.path)
+    if left:
+        for row in scanned_headers(spark, left).collect():
+            groups.setdefault(row.header, []).append(row.file_path)
     return groups
 
 
