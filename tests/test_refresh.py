@@ -272,6 +272,23 @@ def test_segments_delivered_again(spark, tmp_path):
     lost = {(r.of_table, r.utility_id, r.rule_name): r.failed for r in house.losses().filter(f"run_id = '{RUN1.run_id}'").collect()}
     assert lost["circuits", "utility1", "valid_hca_refresh_date"] == 1 and lost["circuits", "utility9", "registered_utility"] == 1
     assert lost["der_installed", "utility2", "canonical_der_type_only"] == 2
+    assert lost["circuits", "utility1", "parsed_voltage_kv"] == lost["der_planned", "utility2", "parsed_planned_installation_date"] == 0
+
+
+def test_parses_that_lose_a_value_are_stored(spark, tmp_path):
+    landing = tmp_path / "landing"
+    house = Warehouse(spark, str(tmp_path / "tables"), example_registry(), RAW_COLUMNS)
+    drop_file(landing, "utility2", "circuits", "a.csv", FEEDERS, "0,36_13_1,high,5.5,1.0,2022/10/01 00:00:00+00,blue,1.27",
+              "1,36_13_2,13.2,5.5,n.a.,01.10.2022,blue,1.27", "2,36_13_3,13.2,5.5,,2022/10/01 00:00:00+00,blue,1.27")
+    drop_file(landing, "utility2", "der_installed", "d.csv", "DER_ID,DER_INTERCONNECTION_LOCATION,DER_TYPE,DER_NAMEPLATE_RATING",
+              "d1,36_13_1,Solar,much", "d2,36_13_1,Solar,2", "d3,36_13_1,Solar,")
+    house.ingest(str(landing), RUN1)
+    house.standardize(RUN1)
+    lost = {(r.of_table, r.rule_name): (r.checked, r.failed) for r in house.losses().collect()}
+    assert lost["circuits", "parsed_voltage_kv"] == (3, 1) and lost["circuits", "parsed_min_hosting_capacity_mw"] == (3, 1)
+    assert lost["circuits", "parsed_hca_refresh_date"] == (3, 1) and lost["circuits", "parsed_shape_length"] == (3, 0)
+    assert lost["circuits", "valid_hca_refresh_date"] == (3, 1) and lost["der_installed", "parsed_nameplate_rating_kw"] == (3, 1)
+    assert house.standardized("circuits").columns == house.registry.standardize(house.raw("circuits").read(spark), "circuits").columns
 
 
 def test_imperfect_files_lose_nothing(spark, tmp_path):

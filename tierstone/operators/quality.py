@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierstone.vocab import TECHNOLOGIES
@@ -42,6 +42,35 @@ def violations(df: DataFrame, rules: Mapping[str, str], by: Sequence[str] = ())
     return counted.select(*by, F.explode(report).alias("r")).select(*by, "r.*")
 
 
+def counted(
+    df: DataFrame, failed: Mapping[str, Column], by: str, groups: Sequence[str]
+) -> tuple[DataFrame, Callable[[], list[tuple[str, str, int, int]]]]:
+    """The rows, counted while whatever follows reads them, and a function for the counts.
+
+    What :func:`violations` finds of the ``groups``, without a read of its own: (group, name, checked, failed) once the
+    action on the rows has ended. ``failed`` are conditions by name; there is a metric for each of them and group. Put
+    it behind the last shuffle: stages before it may run again after a loss and would count again.
+    """
+    conditions = list(failed.items())
+    metrics = []
+    for i, group in enumerate(groups):
+        own = F.col(by) == group
+        metrics.append(F.count_if(own).alias(f"n{i}"))
+        metrics += [F.count_if(own & condition).alias(f"f{i}_{j}") for j, (_, condition) in enumerate(conditions)]
+    if not metrics:
+        return df, list
+    seen = Observation()
+
+    def found() -> list[tuple[str, str, int, int]]:
+        got = seen.get
+        return [
+            (group, name, got[f"n{i}"], got[f"f{i}_{j}"])
+            for i, group in enumerate(groups) for j, (name, _) in enumerate(conditions) if got[f"n{i}"]
+        ]
+
+    return df.observe(seen, *metrics), found
+
+
 def passed(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.size(FAILED) == 0).drop(FAILED)
 

@@ -31,6 +31,8 @@ FEEDER_FIELDS = (
 )
 #: Optional: the shape of a feeder as text.
 GEOMETRY = "geom_wkt"
+#: Optional: a project's capacity as it was written.
+RATING_TEXT = "nameplate_rating_raw"
 
 
 def cleaned(df: DataFrame) -> DataFrame:
@@ -125,6 +127,7 @@ def narrow_projects(
             F.col(feeder).alias("native_feeder_id_raw"),
             F.col(technology).alias("der_type"),
             to_double(F.col(capacity)).alias("nameplate_rating_kw"),
+            F.col(capacity).alias(RATING_TEXT),
             optional_column(df, install_date).alias("planned_installation_date_raw"),
             optional_column(df, queue_id).alias("interconnection_queue_id"),
             *LINEAGE_COLUMNS,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tierstone.context import RunContext
 from tierstone.operators import quality, serving
+from tierstone.plans.canonical import PARSED, UNPARSED
 from tierstone.plans.flows import FLOWS, HistoryFlow
 from tierstone.plans.registry import DATASETS, TenantRegistry
 from tierstone.sources.shared import steps_dropped
@@ -97,20 +98,37 @@ class Warehouse:
         report all read that run.
         """
         for dataset in DATASETS:
-            table = self.snapshots(dataset)
             for delivery, delivered in self._pending(dataset).items():
-                rows = self.registry.standardize(delivered, dataset)
-                self._store_losses(dataset, delivery, delivered, rows)
-                if dataset == "circuits":
-                    table.publish(quality.expect_or_drop(rows, CIRCUIT_RULES), delivery, index_by=FLOWS[dataset].keys)
-                else:
-                    valid = quality.expect_or_drop(rows, DER_RULES)
-                    tagged = quality.tag_for_quarantine(valid, DER_QUARANTINE)
-                    table.publish(tagged, delivery, partition_by=[quality.QUARANTINED], index_by=FLOWS[dataset].keys)
+                self._publish(dataset, delivery, delivered)
                 self._store_metrics(dataset, delivery, run)
                 if dataset != "circuits":
                     self._store_unmapped(dataset, delivery)
 
+    def _publish(self, dataset: str, delivery: str, delivered: DataFrame) -> None:
+        """Standardise and write a delivery in one read; what is lost is counted by the write itself."""
+        run_id, _, only = delivery.partition("~")
+        known = self.registry.get_registered_utilities()
+        tenants = [only] if only else [t for t in self.raw(dataset).tenants_of(self.spark, run_id) if t in known]
+        drops = CIRCUIT_RULES if dataset == "circuits" else DER_RULES
+        rules = (drops if dataset == "circuits" else drops | DER_QUARANTINE) | HISTORY_RULES[dataset]
+        failed = {name: ~quality.passes(sql) for name, sql in rules.items()}
+        failed |= {f"parsed_{c}": F.array_contains(UNPARSED, c) for c in PARSED[dataset]}
+        counts: list = []
+
+        def finish(rows: DataFrame) -> DataFrame:
+            rows, found = quality.counted(rows, failed, "utility_id", tenants)
+            counts.append(found)
+            valid = quality.expect_or_drop(rows.drop(UNPARSED), drops)
+            return valid if dataset == "circuits" else quality.tag_for_quarantine(valid, DER_QUARANTINE)
+
+        table = self.snapshots(dataset)
+        folder = [] if dataset == "circuits" else [quality.QUARANTINED]
+        rows = self.registry.standardize(delivered, dataset, unparsed=True)
+        table.write(rows, delivery, partition_by=folder, index_by=FLOWS[dataset].keys, finish=finish)
+        # the losses are there before the run is, so that a run never lacks them
+        self._store_losses(dataset, delivery, delivered, counts[0]())
+        table.name(self.spark, delivery)
+
     def _pending(self, dataset: str) -> dict[str, DataFrame]:
         """Raw rows to standardise by the run id to publish them under: what a tenant had delivered before it was
         registered, then the new deliveries."""
@@ -143,10 +161,11 @@ class Warehouse:
         found = quality.unmapped_types(tagged, self.registry.free_text_tenants())
         found.write.mode("overwrite").parquet(f"{self.root}/metrics/unmapped/run_id={delivery}/of_table={dataset}")
 
-    def _store_losses(self, dataset: str, delivery: str, delivered: DataFrame, rows: DataFrame) -> None:
-        """Rows per tenant that rules drop or quarantine, that no history takes, and that no registry entry picks up."""
-        rules = CIRCUIT_RULES if dataset == "circuits" else DER_RULES | DER_QUARANTINE
-        lost = quality.violations(rows, rules | HISTORY_RULES[dataset], by=["utility_id"])
+    def _store_losses(self, dataset: str, delivery: str, delivered: DataFrame, counts: list[tuple]) -> None:
+        """Rows per tenant that rules drop or quarantine, that no history takes, that a parse lost a value of, and that
+        no registry entry picks up (of these tenants' folders alone, one column is read)."""
+        columns = "utility_id string, rule_name string, checked long, failed long"
+        lost = self.spark.createDataFrame(counts, columns)
         strangers = quality.unregistered_tenants(delivered, self.registry.get_registered_utilities())
         count = F.col("record_count")
         lost = lost.unionByName(strangers.select(

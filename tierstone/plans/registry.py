@@ -66,11 +66,11 @@ class TenantRegistry:
         ]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
-    def standardize(self, raw: DataFrame, dataset: str) -> DataFrame:
-        """Raw rows of all registered tenants in the canonical, typed model."""
+    def standardize(self, raw: DataFrame, dataset: str, unparsed: bool = False) -> DataFrame:
+        """Raw rows of all registered tenants in the canonical, typed model; ``unparsed`` adds what no value came of."""
         rows = self.intermediate(raw, dataset)
         if dataset == "circuits":
             formats = {t.utility_id: t.refresh_format for t in self.tenants.values() if t.refresh_format}
-            return canonical_circuits(rows, formats)
+            return canonical_circuits(rows, formats, unparsed)
         formats = {t.utility_id: t.install_date_format for t in self.tenants.values() if t.install_date_format}
-        return canonical_der(rows, dataset.removeprefix("der_"), self.free_text_tenants(), formats)
+        return canonical_der(rows, dataset.removeprefix("der_"), self.free_text_tenants(), formats, unparsed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -30,8 +30,8 @@ class SnapshotTable:
     overwrites what is being read.  Publishing a run again changes nothing.  A version number is claimed
     before it is used, so two writers of different runs never share one.
 
-    A run published with ``index_by`` lies in the order of a hash of these columns, and ``index/run_id=...`` tells
-    which buckets of it each file spans; :meth:`read_keys` then opens only the files that its keys can be in.
+    A run published with ``index_by`` is dealt by a hash of these columns, and ``index/run_id=...`` tells
+    which buckets of it each file holds; :meth:`read_keys` then opens only the files that its keys can be in.
     """
 
     root: str
@@ -55,19 +55,39 @@ class SnapshotTable:
 
     def publish(
         self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = (),
-        index_by: Sequence[str] = (),
+        index_by: Sequence[str] = (), finish: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
+        """Write the rows and name the run; a run that is published already is left alone."""
         spark = df.sparkSession
-        done = self.runs(spark)
-        if run_id in done:
-            return
+        if run_id not in self.runs(spark):
+            self.write(df, run_id, cluster_by, partition_by, index_by, finish)
+            self.name(spark, run_id)
+
+    def write(
+        self, df: DataFrame, run_id: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = (),
+        index_by: Sequence[str] = (), finish: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
+        """Write the rows of a run that no reader sees before :meth:`name`; what an attempt left is written over.
+
+        ``finish`` is applied behind the shuffle that deals them, in the stage that writes: what it observes is
+        counted once, also if lost executors make earlier stages run again.
+        """
+        finish = finish or (lambda rows: rows)
         if index_by:
-            rows = df.repartitionByRange(key_bucket(index_by), F.xxhash64(*index_by)).sortWithinPartitions(key_bucket(index_by), *index_by)
+            # no range partitioning: it would compute the rows twice, once for its sample
+            dealt = finish(df.withColumn("_b", key_bucket(index_by)).hint("rebalance", "_b"))
+            rows = dealt.sortWithinPartitions("_b", *index_by).drop("_b")
         else:
-            rows = clustered(df, cluster_by) if cluster_by else df
+            rows = finish(clustered(df, cluster_by) if cluster_by else df)
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.run_path(run_id))
         if index_by:
-            self._write_index(spark, run_id, index_by)
+            self._write_index(df.sparkSession, run_id, index_by)
+
+    def name(self, spark: SparkSession, run_id: str) -> None:
+        """Make a written run visible, once."""
+        done = self.runs(spark)
+        if run_id in done:
+            return
         entry = spark.createDataFrame([(run_id, self._claim(spark, run_id, len(done)))], MANIFEST_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.manifest_path)
 
@@ -83,11 +103,11 @@ class SnapshotTable:
                 number += 1
 
     def _write_index(self, spark: SparkSession, run_id: str, keys: Sequence[str]) -> None:
-        """One row per file: its name below the run's folder and the buckets it spans. Reads the key columns only."""
+        """One row per file: its name below the run's folder and the buckets it holds. Reads the key columns only."""
         written = spark.read.parquet(self.run_path(run_id))
         name = F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"/data/run_id=[^/]*/(.*)$", 1)
-        spans = written.select(name.alias("file"), key_bucket(keys).alias("b")).groupBy("file").agg(F.min("b").alias("low"), F.max("b").alias("high"))
-        spans.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/run_id={run_id}")
+        held = written.select(name.alias("file"), key_bucket(keys).alias("b")).groupBy("file").agg(F.collect_set("b").alias("buckets"))
+        held.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/run_id={run_id}")
 
     def read(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
         """One run, the newest by default."""
@@ -108,12 +128,12 @@ class SnapshotTable:
         published = self.runs(spark)
         buckets = [r[0] for r in rows.select(key_bucket(keys)).distinct().collect()]
         try:
-            index = spark.read.schema("file string, low int, high int, run_id string").parquet(f"{self.root}/index")
+            index = spark.read.schema("file string, buckets array<int>, run_id string").parquet(f"{self.root}/index")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return [self.run_path(r) for r in published]
-        hit = F.exists(F.lit(sorted(buckets)), lambda b: (b >= F.col("low")) & (b <= F.col("high"))) if buckets else F.lit(False)
+        hit = F.arrays_overlap("buckets", F.lit(sorted(buckets))) if buckets else F.lit(False)
         indexed = {r.run_id for r in index.select("run_id").distinct().collect()}
         found = index.filter(F.col("run_id").isin(published)).filter(hit).orderBy("run_id", "file").collect()
         return [f"{self.run_path(r.run_id)}/{r.file}" for r in found] + [self.run_path(r) for r in published if r not in indexed]

@@ -80,6 +80,12 @@ class RawTable:
         )
         return {r.pipeline_update_id: sorted(r.batches) for r in found.orderBy("at", "pipeline_update_id").collect()}
 
+    def tenants_of(self, spark: SparkSession, run_id: str) -> list[str]:
+        """The tenants that one ingestion brought files of, by the audit."""
+        audit = self._stored(spark, "audit")
+        own = audit.filter((F.col("pipeline_update_id") == run_id) & F.col("utility_id").isNotNull())
+        return [r[0] for r in own.select("utility_id").distinct().orderBy("utility_id").collect()]
+
     def read_delivery(self, spark: SparkSession, run_id: str) -> DataFrame:
         """The rows of one ingestion; only its batches are read.  Files without rows leave it empty."""
         batches = self.deliveries(spark)[run_id]
