@@ -8,9 +8,10 @@ their segments differ by one bit or none. A segment has a few bits more than it
 holds few strangers however large the corpus is; and there are as many segments as give RECALL at the least similarity.
 
 What meets is verified in two steps, by the complete distance of the fingerprints and by the sets themselves, so no pair
-below the similarity is ever linked. Equal sets are one. Each member of a cell is first compared with its nearest one;
-then, in cells that still hold several components, every pair from different components is. A group of near copies thus
-costs in proportion to its members, unless they are about as similar as the bound and yet not linked.
+below the similarity is ever linked. Equal sets are one. Each member of a cell is first compared with its nearest one.
+What has any other in reach of the bound is then entered again: each member is compared with the nearest one of another
+component, and at last every pair that is still apart. A group of near copies thus costs in proportion to its members,
+but for those that are about as similar as the bound and yet not linked.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ RECALL = 0.96
 #: Bits that a segment has beyond those that number the sets, and its least number of bits.
 SPARE_BITS, LEAST_BITS = 2, 20
 #: Standard deviations above the expected distance up to which pairs are verified.
-SPREAD = 3.0
+SPREAD = 2.5
+#: 64-bit words of a fingerprint at least: the more, the better its complete distance tells the similarity.
+LEAST_WORDS = 12
 #: Shingles whose bits are held at once; members of a cell that are compared at once.
 BLOCK, NEAR = 4_096, 2_000
 
@@ -49,7 +52,7 @@ class Tables:
         self.bits = max(LEAST_BITS, math.ceil(math.log2(max(sets, 1))) + SPARE_BITS)
         meet = (1 - self.differ) ** self.bits + self.bits * self.differ * (1 - self.differ) ** (self.bits - 1)
         self.segments = 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
-        self.words = -(-self.segments * self.bits // 64)
+        self.words = max(LEAST_WORDS, -(-self.segments * self.bits // 64))
 
     def most(self, bits: int) -> int:
         """The distance of so many bits that pairs at the least similarity seldom exceed."""
@@ -134,11 +137,38 @@ def table_cells(classes: DataFrame, tables: Tables) -> DataFrame:
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Columns (cell, first, ...) of some rows.
 Cell = tuple[np.ndarray, ...]
+#: Whether rows are near each other (side by side, or with a new axis all with all); inf: never.
+Apart = Callable[[Cell, Cell], np.ndarray]
+FAR = 1 << 20
 
 
-def _by_cell(pairs_of: Callable[[Cell], list[np.ndarray]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs out of the cells of rows that come sorted by cell, in the first column."""
+def _by_cell(apart: Apart, most: int, every: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of members of a cell, at most ``most`` apart, out of rows that come sorted by cell, in the first column.
+
+    Each member with its nearest one, or (``every``) with all. Of a very large cell each block is looked through alone
+    for nearest ones; a member that has none there is paired with itself, so that it stays in question.
+    """
+    def of_large(cell: Cell) -> Iterator[np.ndarray]:
+        first, n = cell[1], len(cell[1])
+        step = max(1, NEAR * 50 // n) if every else NEAR
+        for at in range(0, n, step):
+            own = tuple(c[at : at + step, None] for c in cell)
+            other = tuple(c[None, :] if every else c[None, at : at + step] for c in cell)
+            distance = apart(own, other)
+            if every:
+                a, b = np.nonzero(distance <= most)
+                yield np.stack([first[at + a], first[b]], axis=1)
+                continue
+            np.fill_diagonal(distance, FAR)
+            best = distance.argmin(1)
+            near = distance[np.arange(len(best)), best] <= most
+            here = first[at : at + step]
+            yield np.stack([here[near], here[best[near]]], axis=1)
+            if n > NEAR:
+                yield np.stack([here[~near]] * 2, axis=1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Cell] = []
 
@@ -146,10 +176,14 @@ def _by_cell(pairs_of: Callable[[Cell], list[np.ndarray]]) -> Callable[[Iterator
             rows = tuple(np.concatenate(c) for c in zip(*held, strict=True))
             edges = np.flatnonzero(np.diff(rows[0])) + 1
             starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(rows[0])]])
-            several = ends - starts > 1
-            found = [p for s, e in zip(starts[several].tolist(), ends[several].tolist(), strict=True) for p in pairs_of(tuple(c[s:e] for c in rows))]
-            if found:
-                both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            two = starts[ends - starts == 2]
+            a, b = tuple(c[two] for c in rows), tuple(c[two + 1] for c in rows)
+            near = apart(a, b) <= most
+            found = [np.stack([a[1][near], b[1][near]], axis=1)]
+            for s, e in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
+                found += of_large(tuple(c[s:e] for c in rows))
+            both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=_PAIR)
 
         for batch in batches:
@@ -170,51 +204,19 @@ def _by_cell(pairs_of: Callable[[Cell], list[np.ndarray]]) -> Callable[[Iterator
     return run
 
 
-def _nearest(most: int) -> Callable[[Cell], list[np.ndarray]]:
-    """Each member of a cell with the nearest other one, if it is near enough.
+def _parts_apart(x: Cell, y: Cell) -> np.ndarray:
+    """Of rows (cell, first, 64 bits): by these bits."""
+    return np.bitwise_count(x[2].view(np.uint64) ^ y[2].view(np.uint64)).astype(np.int32)
 
-    Of a very large cell each block is looked through alone; a member that has no other near it there is paired with
-    itself, so that it stays in question.
-    """
-    def pairs(cell: Cell) -> list[np.ndarray]:
-        out = []
-        order = np.lexsort((cell[1], cell[2]))
-        for at in range(0, len(order), NEAR):
-            own = order[at : at + NEAR]
-            prints, first = cell[2][own].view(np.uint64), cell[1][own]
-            if len(own) == 2:
-                if np.bitwise_count(prints[0] ^ prints[1]) <= most:
-                    out.append(first[None, :])
-                continue
-            apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
-            np.fill_diagonal(apart, 65)
-            best = apart.argmin(1)
-            near = apart[np.arange(len(own)), best] <= most
-            out.append(np.stack([first[near], first[best[near]]], axis=1))
-            if len(order) > NEAR:
-                out.append(np.stack([first[~near]] * 2, axis=1))
-        return out
-
-    return pairs
-
-
-def _all_apart(most: int) -> Callable[[Cell], list[np.ndarray]]:
-    """All pairs of a cell from different components whose complete fingerprints are near enough."""
-    def pairs(cell: Cell) -> list[np.ndarray]:
-        _, first, component, prints = cell
-        prints = prints.view(np.uint64)
-        out = []
-        step = max(1, NEAR * 50 // len(first))
-        for at in range(0, len(first), step):
-            apart = np.zeros((len(first[at : at + step]), len(first)), np.int32)
-            for column in prints.T:
-                apart += np.bitwise_count(column[at : at + step, None] ^ column[None, :])
-            near = (apart <= most) & (component[at : at + step, None] < component[None, :])
-            a, b = np.nonzero(near)
-            out.append(np.stack([first[at + a], first[b]], axis=1))
-        return out
-
-    return pairs
+
+def _prints_apart(x: Cell, y: Cell) -> np.ndarray:
+    """Of rows (cell, first, component, fingerprint): by all bits; rows of one component have nothing to find out."""
+    a, b = x[3].view(np.uint64), y[3].view(np.uint64)
+    distance = np.zeros(np.broadcast_shapes(x[1].shape, y[1].shape), np.int32)
+    for i in range(a.shape[-1]):
+        distance += np.bitwise_count(a[..., i] ^ b[..., i])
+    distance[np.broadcast_to(x[2] == y[2], distance.shape)] = FAR
+    return distance
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -253,30 +255,37 @@ def similar_links(texts: DataFrame, words: int = WORDS, least_percent: int = LEA
     own = cut_lineage(sketches(texts, words, tables.words))
     classes = cut_lineage(own.groupBy("high", "low").agg(F.min("doc").alias("first"), F.min("n").alias("n"), F.min("print").alias("print")))
     same = own.join(classes.select("high", "low", "first"), ["high", "low"]).select(F.col("first").alias("a"), F.col("doc").alias("b"))
-    cells = table_cells(classes.where("n > 0"), tables).repartition("cell").sortWithinPartitions("cell")
-    near = cut_lineage(cells.mapInArrow(_by_cell(_nearest(tables.most(64))), "a long, b long").distinct())
+    complete = tables.most(64 * tables.words)
     prints = classes.select("first", "n", "print")
 
-    def distant(pairs: DataFrame) -> DataFrame:
-        """The pairs whose complete fingerprints and sizes leave them a chance."""
+    def met(cells: DataFrame, apart: Apart, most: int, every: bool = False) -> DataFrame:
+        by_cell = cells.repartition("cell").sortWithinPartitions("cell")
+        return cut_lineage(by_cell.mapInArrow(_by_cell(apart, most, every), "a long, b long").distinct())
+
+    def in_reach(pairs: DataFrame) -> DataFrame:
+        """The pairs whose complete fingerprints leave them a chance, with the sizes of their sets."""
         a, b = (prints.select(F.col("first").alias(x), F.col("n").alias(f"{x}_n"), F.col("print").alias(f"{x}_print")) for x in ("a", "b"))
+        close = _distance(F.col("a_print"), F.col("b_print")) <= complete
+        return pairs.join(a, "a").join(b, "b").where(close).select("a", "b", "a_n", "b_n")
+
+    def linked(pairs: DataFrame) -> DataFrame:
         sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * least_percent
-        close = _distance(F.col("a_print"), F.col("b_print")) <= tables.most(64 * tables.words)
-        return pairs.join(a, "a").join(b, "b").where(sized & close).select("a", "b").distinct()
-
-    tried = cut_lineage(distant(near.where("a <> b")))
-    links = verified(tried, texts, words, least_percent).union(same.where("a <> b")).distinct()
-    links = cut_lineage(links)
-    # only what has met anyone near enough is entered again, now with the complete fingerprint
-    joined = cut_lineage(components(links, "a", "b"))
-    placed = classes.where("n > 0").join(joined, classes["first"] == joined["node"], "left")
-    placed = placed.select("first", F.coalesce("component", "first").alias("component"), "print", "n")
-    met = near.select(F.col("a").alias("first")).union(near.select("b")).distinct()
-    again = table_cells(placed.join(met, "first", "left_semi"), tables).drop("part")
-    again = again.join(placed.select("first", "component", "print"), "first").select("cell", "first", "component", "print")
-    rest = again.repartition("cell").sortWithinPartitions("cell").mapInArrow(_by_cell(_all_apart(tables.most(64 * tables.words))), "a long, b long")
-    rest = cut_lineage(rest.distinct().join(tried, ["a", "b"], "left_anti"))
-    return links.union(verified(distant(rest), texts, words, least_percent)).distinct()
+        return verified(pairs.where("a <> b").where(sized).select("a", "b"), texts, words, least_percent)
+
+    tried = cut_lineage(in_reach(met(table_cells(classes.where("n > 0"), tables), _parts_apart, tables.most(64))))
+    links = cut_lineage(linked(tried).union(same.where("a <> b")).distinct())
+    again = tried.select(F.col("a").alias("first")).union(tried.select("b")).distinct()
+    again = cut_lineage(table_cells(classes.join(again, "first", "left_semi"), tables).drop("part"))
+    for every in (False, True):
+        joined = cut_lineage(components(links, "a", "b"))
+        placed = prints.join(joined, prints["first"] == joined["node"], "left").select("first", F.coalesce("component", "first").alias("component"), "print")
+        cells = again.join(placed, "first").select("cell", "first", "component", "print")
+        # what had no other near it in its block of a very large cell is paired with itself, which is no news
+        pairs = met(cells, _prints_apart, complete, every).where("a <> b").join(tried, ["a", "b"], "left_anti")
+        more = cut_lineage(in_reach(pairs))
+        links = cut_lineage(links.union(linked(more)).distinct())
+        tried = tried.union(more)
+    return links
 
 
 def without_near_copies(
