@@ -14,7 +14,7 @@ from tierstone.context import RunContext
 from tierstone.operators import quality
 from tierstone.sources.audit import audit_rows, file_audit
 from tierstone.sources.csv_drops import LONG_ROW
-from tierstone.sources.layout import write_clustered
+from tierstone.sources.layout import read_within, write_clustered, write_interleaved
 from tierstone.sources.shared import shared_folder
 from tierstone.sources.snapshots import SnapshotTable
 from tierstone.streaming.ingest import ANY_AGE, RawTable, append_new_files, ingest_new_files
@@ -257,3 +257,16 @@ def clustered_lookup(spark, sf):
     write_clustered(table(spark, sf, "lineitem"), path, ["l_returnflag", "l_suppkey"])
     hit = spark.read.parquet(path).filter("l_returnflag = 'R'")
     return hit.groupBy("l_returnflag", "l_suppkey").agg(F.count("*").alias("n"))
+
+
+@bound("interleaved_lookup", """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_quantity FROM lineitem
+WHERE l_suppkey BETWEEN 3 AND 7 AND l_shipdate >= '1995-03-01' AND l_shipdate <= '1995-12-31'""")
+def interleaved_lookup(spark, sf):
+    """A table along a curve of (order, supplier, day), looked up by the second and third column."""
+    import datetime as dt
+
+    path = f"{shared_folder(spark, 'interleaved')}/lines"
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
+    write_interleaved(lines, path, ["l_orderkey", "l_suppkey", "l_shipdate"])
+    return read_within(spark, path, {"l_suppkey": (3, 7), "l_shipdate": (dt.datetime(1995, 3, 1), dt.datetime(1995, 12, 31))})

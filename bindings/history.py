@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from bindings import bound, table
-from tierstone.operators.history import as_of, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows
+from tierstone.operators.history import as_of, as_of_join, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows
 from tierstone.plans.flows import CIRCUITS, DER_INSTALLED, DER_PLANNED, HistoryFlow
 
 EVENT_HISTORY = dict(
@@ -74,6 +74,17 @@ def event_history_merge_in_order(spark, sf):
     return scd2_merge(target, events.filter("ts >= '2024-01-20'"), history=events, **EVENT_HISTORY)
 
 
+@bound("orders_with_event_as_of", VERSIONS_SQL + """
+SELECT o_orderkey, o_custkey AS user_id, m, event_type, value FROM (
+  SELECT o_orderkey, o_custkey, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(o_orderkey % 50000 AS BIGINT)) AS m FROM orders) o
+LEFT JOIN history h ON h.user_id = o.o_custkey AND h."__START_AT" <= o.m AND (h."__END_AT" > o.m OR h."__END_AT" IS NULL)""")
+def orders_with_event_as_of(spark, sf):
+    """Each order with what its customer's history said at a moment of the order's own; every customer is cut into segments."""
+    m = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(o_orderkey % 50000 as int))")
+    probes = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), m.alias("m"))
+    return as_of_join(probes, "m", event_history(spark, sf), ["user_id"], ["event_type", "value"], rows_per_task=20)
+
+
 @bound("event_history_every_change", """
 SELECT user_id, event_id, ts, event_type, value, ts AS "__START_AT",
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT"

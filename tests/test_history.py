@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierstone.operators.history import (
-    as_of, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows, unseen_events,
+    as_of, as_of_join, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows, unseen_events,
 )
 from tierstone.sources.shared import cut_lineage
 
@@ -217,3 +217,26 @@ def test_snapshot_diff(spark):
     assert got == {
         (2, "b", 1, "update_pre"), (2, "B", 1, "update_post"), (3, "c", 1, "delete"), (4, "d", 1, "insert"),
     }
+
+
+@pytest.mark.parametrize("rows_per_task", [2_000_000, 10])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_as_of_join_finds_the_version_of_each_moment(spark, rows_per_task, how):
+    r = random.Random(9)
+    versions = expected(make_events(9))
+    history = spark.createDataFrame(versions, "tenant string, id string, day date, kw double, note string, `__START_AT` date, `__END_AT` date")
+    history = history.filter("NOT (id = 'k1' AND day_of_month(`__START_AT`) % 3 = 0)")
+    kept = [tuple(x) for x in history.collect()]
+    probes = [(i, r.choice(["t1", "t2", "t3", None]), f"k{r.randrange(6)}", r.choice([None, *[DAY + dt.timedelta(days=d) for d in range(-2, 45)]])) for i in range(400)]
+    df = spark.createDataFrame(probes, "probe int, tenant string, id string, at date")
+    got = as_of_join(df, "at", history, ["tenant", "id"], ["kw", "note"], how, rows_per_task)
+    want = []
+    for p in probes:
+        hit = [v for v in kept if p[3] is not None and v[:2] == p[1:3] and v[5] <= p[3] and (v[6] is None or v[6] > p[3])]
+        assert len(hit) <= 1
+        if hit or how == "left":
+            want.append((*p, *(hit[0][3:5] if hit else (None, None))))
+    assert got.columns == ["probe", "tenant", "id", "at", "kw", "note"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    with pytest.raises(ValueError):
+        as_of_join(df.withColumnRenamed("probe", "kw"), "at", history, ["tenant", "id"], ["kw"])

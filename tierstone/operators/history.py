@@ -477,9 +477,24 @@ def _unknown(
         F.col(START_AT).alias("_at"),
         F.struct(F.col(sequence).alias("last"), box(values).alias("shown")).alias("_version"),
     )
-    rows = fresh.withColumn("_at", F.col(sequence)).withColumn("_is_row", F.lit(1))
-    both = rows.unionByName(versions, allowMissingColumns=True)
-    # versions have no _is_row and so come before a row of the same sequence
+    covered = _with_cover(fresh.withColumn("_at", F.col(sequence)), versions, hot, keys)
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.col(f"_cover.shown.{c}").eqNullSafe(F.col(c))
+    inside = F.col(sequence) < F.col("_cover.last")
+    repeated = box(values).eqNullSafe(F.col("_cover.shown"))
+    known = F.col("_cover").isNotNull() & same & (inside | repeated)
+    return covered.filter(~known).select(*fresh.columns)
+
+
+def _with_cover(rows: DataFrame, versions: DataFrame, hot: HotKeys | None, keys: list[str]) -> DataFrame:
+    """``rows`` with ``_cover``: the ``_version`` of their key that starts last before or at their ``_at``.
+
+    Rows and versions meet in one ordered pass per key and never as pairs.  Hot keys are cut into segments, and the
+    last version of a segment goes on into those behind it.
+    """
+    both = rows.withColumn("_is_row", F.lit(1)).unionByName(versions, allowMissingColumns=True)
+    # versions have no _is_row and so come before a row of the same moment
     covered = _covered(both if hot is None else without_hot_keys(both, hot, keys), keys)
     if hot is not None:
         heavy = only_hot_keys(both, hot, keys, "_at")
@@ -491,13 +506,7 @@ def _unknown(
         inner = _covered(heavy, [*keys, SEGMENT]).join(before, [*keys, SEGMENT])
         inner = inner.withColumn("_cover", F.coalesce("_cover", "_before"))
         covered = covered.unionByName(inner.select(*covered.columns))
-    same = F.lit(True)
-    for c in compared:
-        same = same & F.col(f"_cover.shown.{c}").eqNullSafe(F.col(c))
-    inside = F.col(sequence) < F.col("_cover.last")
-    repeated = box(values).eqNullSafe(F.col("_cover.shown"))
-    known = F.col("_cover").isNotNull() & same & (inside | repeated)
-    return covered.filter(F.col("_is_row").isNotNull() & ~known).select(*fresh.columns)
+    return covered.filter(F.col("_is_row").isNotNull()).drop("_is_row", "_version")
 
 
 def _covered(both: DataFrame, parts: list[str]) -> DataFrame:
@@ -524,6 +533,47 @@ def as_of(df: DataFrame, moment: Column) -> DataFrame:
     return df.filter((_column_named(df, START_AT) <= moment) & (end.isNull() | (end > moment)))
 
 
+def as_of_join(
+    probes: DataFrame,
+    moment: str,
+    versions: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    how: str = "left",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Each probe with the ``columns`` of its key's version that was valid at the probe's own ``moment``.
+
+    A version is valid from its start until before its end. Probes and versions are sorted together, key by key, so a
+    key with many of both costs their sum and not their product; keys above ``rows_per_task`` are cut into segments of
+    time. A probe without a valid version, or with a NULL key or moment, has NULLs (``how="left"``) or goes
+    (``"inner"``). Versions of a key must not overlap; a column that probes have too keeps the probe's name and value,
+    so rename it before.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    clash = sorted(set(columns) & set(probes.columns))
+    if clash:
+        raise ValueError(f"probes have columns {clash}, too")
+    keys = list(keys)
+    start, end = _column_named(versions, START_AT), _column_named(versions, END_AT)
+    shown = F.struct(end.alias("_end"), F.struct(*columns).alias("shown"))
+    at = versions.select(*keys, start.alias("_at"), shown.alias("_version"))
+    rows = probes.withColumn("_at", F.col(moment).cast(at.schema["_at"].dataType))
+    places = rows.select(*keys, "_at").unionAll(at.select(*keys, "_at"))
+    for c in [*keys, "_at"]:
+        places = places.filter(F.col(c).isNotNull())
+    covered = _with_cover(rows, at, find_hot_keys(places, keys, "_at", rows_per_task), keys)
+    keyed = F.col("_at").isNotNull()
+    for c in keys:
+        keyed = keyed & F.col(c).isNotNull()
+    valid = keyed & F.col("_cover").isNotNull() & (F.col("_cover._end").isNull() | (F.col("_cover._end") > F.col("_at")))
+    found = covered.withColumn("_shown", F.when(valid, F.col("_cover.shown")))
+    if how == "inner":
+        found = found.filter(F.col("_shown").isNotNull())
+    return found.select(*probes.columns, *[F.col(f"_shown.{c}").alias(c) for c in columns])
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Change feed between two snapshots: ``insert``, ``delete``, ``update_pre``, ``update_post``.
 
