@@ -225,7 +225,7 @@ def test_as_of_join_finds_the_version_of_each_moment(spark, rows_per_task, how):
     r = random.Random(9)
     versions = expected(make_events(9))
     history = spark.createDataFrame(versions, "tenant string, id string, day date, kw double, note string, `__START_AT` date, `__END_AT` date")
-    history = history.filter("NOT (id = 'k1' AND day_of_month(`__START_AT`) % 3 = 0)")
+    history = history.filter("NOT (id = 'k1' AND dayofmonth(`__START_AT`) % 3 = 0)")
     kept = [tuple(x) for x in history.collect()]
     probes = [(i, r.choice(["t1", "t2", "t3", None]), f"k{r.randrange(6)}", r.choice([None, *[DAY + dt.timedelta(days=d) for d in range(-2, 45)]])) for i in range(400)]
     df = spark.createDataFrame(probes, "probe int, tenant string, id string, at date")

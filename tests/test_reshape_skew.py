@@ -9,7 +9,7 @@ from tierstone.operators.reshape import rollup_segments, unpivot_positive
 from tierstone.plans.canonical import canonical_circuits
 from tierstone.plans.layouts import feeder_rows, segment_rows
 from tierstone.sources.layout import clustered
-from tierstone.operators.skew import SEGMENT, find_hot_keys, only_hot_keys, rank_within, segment_of, top_within, with_neighbours, with_next_two
+from tierstone.operators.skew import SEGMENT, cut_into_bins, find_hot_keys, only_hot_keys, rank_within, segment_of, top_within, with_neighbours, with_next_two
 
 
 def test_rollup_of_three_segments(spark):
@@ -147,3 +147,25 @@ def test_geometry_comes_through_the_layouts(spark):
     for layout in (feeder_rows("feeder", {"geom_wkt": "shape"}), segment_rows("feeder", {"geom_wkt": "shape"})):
         rows = canonical_circuits(layout(raw), {}).collect()
         assert [(r.feeder_id, r.geom_wkt) for r in rows] == [("u_f1", "POINT (1 2)")] * 2
+
+
+@pytest.mark.parametrize("per_task", [2_000_000, 50, 3])
+def test_rank_with_bins_of_any_size(spark, per_task):
+    r = random.Random(3)
+    rows = [(r.choice(["a", "a", "a", "b", None]), r.choice([None, r.random(), r.randrange(300) / 7])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = rank_within(df, ["k"], "v", rows_per_task=per_task)
+    want = df.selectExpr("k", "v", "rank() OVER (PARTITION BY k ORDER BY v DESC NULLS LAST) AS rank")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_no_bin_holds_more_than_a_task_may(spark):
+    """Ten million distinct values of one key, most of them close together."""
+    counts = spark.range(10_000_000).selectExpr("'t' AS _k0", "CASE WHEN id % 10 = 0 THEN id * 1e6 ELSE id / 1e9 END AS _v", "1L AS _n")
+    counts = counts.unionByName(spark.createDataFrame([("u", None, 1), ("u", 2.0, 1), ("t", None, 5)], "_k0 string, _v double, _n long"))
+    binned, parts = cut_into_bins(counts, ["_k0"], 200_000)
+    sizes = binned.groupBy(*parts).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200_000 and binned.count() == 10_000_003
+    assert sizes.filter("_k0 = 'u'").count() == 1
+    edges = binned.groupBy(*parts).agg(F.min("_v").alias("low"), F.max("_v").alias("high")).filter("_k0 = 't' AND low IS NOT NULL").orderBy(*parts).collect()
+    assert len(edges) > 50 and all(a.low > b.high for a, b in zip(edges, edges[1:]))

@@ -20,7 +20,6 @@ ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
 # segments per hot key; powers of two, because segments are found by binary search
 MAX_CUTS = 4_096
-RANK_CUTS = 256
 
 SEGMENT = "_segment"
 
@@ -208,36 +207,63 @@ def top_within(df: DataFrame, keys: Sequence[str], value: str, k: int, name: str
     return df.join(ranked, _null_safe([*keys, value], [*ks, "_v"])).select(*df.columns, name)
 
 
-def rank_within(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank") -> DataFrame:
+def rank_within(
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Competition rank of ``value`` (highest first, NULL last) within ``keys``.
 
     Equal to ``rank() over (partition by keys order by value desc nulls last)`` without sorting a
     key in one task: equal values collapse to a count before the shuffle, distinct values are
-    ranked inside value bins of about equal size, and bins are offset by the running count of the
-    bins above.  The counts and the bin borders are stored, so that every use sees the same ones.
+    ranked inside value bins, and bins are offset by the running count of the bins above.  How many bins there are
+    follows from the counts: a key with more than ``rows_per_task`` distinct values is cut, and so is each of its bins
+    that is still too large.  The counts and the bins are stored, so that every use sees the same ones.
     """
-    def renamed(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-        return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
-
     counts, ks = _value_counts(df, keys, value)
-    counts = cut_lineage(counts)
-    borders = cut_lineage(counts.groupBy(*ks).agg(cut_points(F.col("_v"), RANK_CUTS).alias("_points")))
-    # bins count down from the top; NULLs sort last, so they take the bin after all others
-    bin_no = F.when(F.col("_v").isNull(), RANK_CUTS).otherwise(
-        RANK_CUTS - 1 - segment_of(F.col("_points"), F.col("_v"), RANK_CUTS)
-    )
-    binned = counts.join(renamed(borders, ks, "s"), _null_safe(ks, [f"s{k}" for k in ks])).select(
-        *ks, "_v", "_n", bin_no.alias("_bin")
-    )
-    parts = [*ks, "_bin"]
-    offsets = renamed(
-        binned.groupBy(*parts).agg(F.sum("_n").alias("_bin_n")).select(
-            *parts, _running_before("_bin_n", Window.partitionBy(*ks).orderBy("_bin")).alias("_above")
-        ), parts, "o",
-    )
+    binned, parts = cut_into_bins(cut_lineage(counts), ks, rows_per_task)
     by_value = Window.partitionBy(*parts).orderBy(F.desc_nulls_last("_v"))
     inside = binned.withColumn("_inside", _running_before("_n", by_value))
-    ranked = inside.join(offsets, _null_safe(parts, [f"o{p}" for p in parts])).select(
-        *ks, "_v", (F.col("_above") + F.col("_inside") + 1).alias(name)
-    )
+    if len(parts) == len(ks):
+        ranked = inside.select(*ks, "_v", (F.col("_inside") + 1).alias(name))
+    else:
+        bins = binned.groupBy(*parts).agg(F.sum("_n").alias("_bin_n"))
+        above = _running_before("_bin_n", Window.partitionBy(*ks).orderBy(*parts[len(ks):]))
+        offsets = _renamed(bins.select(*parts, above.alias("_above")), parts, "o")
+        ranked = inside.join(offsets, _null_safe(parts, [f"o{p}" for p in parts])).select(
+            *ks, "_v", (F.col("_above") + F.col("_inside") + 1).alias(name)
+        )
     return df.join(ranked, _null_safe([*keys, value], [*ks, "_v"]), "left").select(*df.columns, name)
+
+
+def _renamed(frame: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+    return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
+
+
+def cut_into_bins(counts: DataFrame, ks: list[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, list[str]]:
+    """Distinct values ``_v`` per key with columns that number their bins from the highest values down, NULL last.
+
+    Every round cuts what still holds more than ``rows_per_task`` values, at quantiles of its own; a value stands in
+    one bin, so a round that cuts nothing further would be the last, but distinct values can always be told apart.
+    """
+    parts = list(ks)
+    while True:
+        sizes = counts.groupBy(*parts).agg(F.count("*").alias("_size"))
+        largest = sizes.agg(F.max("_size")).first()[0] or 0
+        if largest <= rows_per_task:
+            return counts, parts
+        cuts = 2
+        # twice as many as needed, as the quantiles are approximate
+        while cuts < MAX_CUTS and cuts * rows_per_task < 2 * largest:
+            cuts *= 2
+        large = _renamed(sizes.filter(F.col("_size") > rows_per_task).drop("_size"), parts, "s")
+        same = _null_safe(parts, [f"s{p}" for p in parts])
+        borders = cut_lineage(
+            counts.join(large, same).groupBy(*[f"s{p}" for p in parts]).agg(cut_points(F.col("_v"), cuts).alias("_points"))
+        )
+        at = F.when(F.col("_points").isNull(), 0).when(F.col("_v").isNull(), cuts).otherwise(
+            cuts - 1 - segment_of(F.col("_points"), F.col("_v"), cuts)
+        )
+        bin_name = f"_bin{len(parts) - len(ks)}"
+        counts = cut_lineage(
+            counts.join(borders, same, "left").withColumn(bin_name, at).drop("_points", *[f"s{p}" for p in parts])
+        )
+        parts = [*parts, bin_name]
