@@ -82,3 +82,21 @@ def test_ties_of_any_number_go_to_the_smaller_id(monkeypatch):
         for i in asked:
             want = brute(ids, vectors, vectors[i], ids[i], 5)
             assert near[who == ids[i]].tolist() == [w for w, _ in want]
+
+
+def test_values_of_any_magnitude(spark):
+    """Squares of these components are beyond what a double holds."""
+    vectors = [(1, [1.0, 2.0]), (2, [1e-200, 3e-200]), (3, [2e200, 1e200]), (4, [5e-324, 0.0]), (5, [-1e308, 1e308]), (6, [1.0, 1e-300])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {}
+    for r in v.nearest_neighbours(df, df, 5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 6)))
+    small = {1: (1, 2), 2: (1, 3), 3: (2, 1), 4: (1, 0), 5: (-1, 1), 6: (1, 0)}
+
+    def cosine(a, b):
+        return (a[0] * b[0] + a[1] * b[1]) / ((a[0] ** 2 + a[1] ** 2) * (b[0] ** 2 + b[1] ** 2)) ** 0.5
+
+    for q, own in got.items():
+        want = sorted((-round(cosine(small[q], small[i]), 6), i) for i in small if i != q)
+        assert sorted(own) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+    assert len(got) == 6

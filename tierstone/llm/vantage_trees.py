@@ -130,6 +130,14 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest component is near 1: no square is too large or too small.
+
+    Such a factor is exact and leaves every cosine as it is, bit by bit.
+    """
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0))[1][:, None])
+
+
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of rows, in double precision and in the same way for each."""
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
@@ -146,6 +154,7 @@ def search_shard(
     Equal vectors are one point of the tree; their rows are listed by id, and all with the same cosine. Points whose
     cosine reaches that of the k-th are all candidates, however many share it, so that exact scores and ids settle ties.
     """
+    vectors, queries = _scaled(vectors), _scaled(queries)
     order = np.lexsort((ids, *vectors.T[::-1]))
     ids, vectors = ids[order], vectors[order]
     new = np.ones(len(ids), bool)
