@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tierstone.operators.history import (
     as_of, as_of_join, filter_current, scd2_build, scd2_merge, snapshot_diff, unkeyed_rows, unseen_events,
 )
+from tierstone.operators.skew import find_hot_keys
 from tierstone.sources.shared import cut_lineage
 
 DAY = dt.date(2024, 1, 1)
@@ -240,3 +241,17 @@ def test_as_of_join_finds_the_version_of_each_moment(spark, rows_per_task, how):
     assert sorted(map(tuple, got.collect())) == sorted(want)
     with pytest.raises(ValueError):
         as_of_join(df.withColumnRenamed("probe", "kw"), "at", history, ["tenant", "id"], ["kw"])
+
+
+@pytest.mark.parametrize("seed", [10, 11])
+def test_text_sequences_are_cut_like_any_other(spark, seed):
+    """A key of very many rows whose sequence is text: split by force, it equals the plain plan."""
+    events = [(*e[:2], f"2024-{e[2]:%m-%d}T{'é' if i % 3 else ''}", *e[3:]) for i, e in enumerate(make_events(seed, n=500, keys=2))]
+    df = cut_lineage(spark.createDataFrame(events, SCHEMA.replace("day date", "day string")))
+    plain = scd2_build(df, **ARGS)
+    assert find_hot_keys(df, ARGS["keys"], "day", 20) is not None
+    for rows_per_task in (20, 3):
+        assert rows(scd2_build(df, **ARGS, rows_per_task=rows_per_task)) == rows(plain)
+    first = cut_lineage(scd2_build(df.filter("loaded < 250"), **ARGS))
+    merged = scd2_merge(first, df.filter("loaded >= 250"), history=df, **ARGS, rows_per_task=5)
+    assert rows(merged) == rows(plain)

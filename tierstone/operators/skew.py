@@ -20,6 +20,8 @@ ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 1_000
 # segments per hot key; powers of two, because segments are found by binary search
 MAX_CUTS = 4_096
+# of a hot key's texts, so many are sorted for each cut
+TEXTS_PER_CUT = 20
 
 SEGMENT = "_segment"
 
@@ -42,8 +44,10 @@ def segment_of(points: Column, at: Column, cuts: int) -> Column:
 
 
 def position(df: DataFrame, order: str) -> Column | None:
-    """A number that never decreases along ``order``; None for types without one (text)."""
+    """A value that never decreases along ``order`` and can be cut: a number, or the text itself; None for other types."""
     dtype, c = df.schema[order].dataType, F.col(order)
+    if isinstance(dtype, T.StringType):
+        return c
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, T.TimestampNTZType):
@@ -55,6 +59,30 @@ def position(df: DataFrame, order: str) -> Column | None:
     return None
 
 
+def _is_text(df: DataFrame, order: str) -> bool:
+    return isinstance(df.schema[order].dataType, T.StringType)
+
+
+def _points_of(df: DataFrame, keys: Sequence[str], order: str, names: DataFrame, cuts: int) -> DataFrame:
+    """(keys, ``_points``): cut points of each of the keys in ``names`` (keys, ``_n``) along ``order``.
+
+    Numbers have approximate quantiles. Texts have none, so about ``TEXTS_PER_CUT * cuts`` of a key's rows, picked by a
+    hash, stand for all: sorted, they give the points. A point decides in which segment a row is worked on, and the
+    result does not depend on it.
+    """
+    if not _is_text(df, order):
+        at = position(df, order).cast("double")
+        picked = df.select(*keys, at.alias("_at")).join(names.drop("_n"), list(keys))
+        return picked.groupBy(*keys).agg(cut_points(F.col("_at"), cuts).alias("_points"))
+    share = F.lit(TEXTS_PER_CUT * cuts) / F.col("_n")
+    drawn = F.pmod(F.xxhash64(*[F.col(c) for c in keys], F.col(order), F.rand(11)), F.lit(1_000_000)) / 1_000_000
+    picked = df.select(*keys, order).filter(F.col(order).isNotNull()).join(names, list(keys)).filter(drawn < share)
+    held = picked.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_held"))
+    return held.select(*keys, F.transform(
+        F.sequence(F.lit(1), F.lit(cuts - 1)), lambda i: F.get("_held", F.floor(F.size("_held") * i / cuts).cast("int"))
+    ).alias("_points"))
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """A frame of the hot keys; ``_points`` holds ``cuts - 1`` cut points of each.
@@ -84,8 +112,7 @@ def find_hot_keys(
     Keys and cut points are fixed from here on, so a task that is run again after a lost executor
     gets the same segments.
     """
-    at = position(df, order)
-    if at is None:
+    if position(df, order) is None:
         return None
     heavy = (
         df.groupBy(*keys).agg(F.count("*").alias("_n"))
@@ -99,12 +126,7 @@ def find_hot_keys(
     while cuts < MAX_CUTS and cuts * rows_per_task < found[0]["_n"]:
         cuts *= 2
     names = F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema)) if small else cut_lineage(heavy)
-    measured = (
-        df.select(*keys, at.cast("double").alias("_at"))
-        .join(names.drop("_n"), list(keys))
-        .groupBy(*keys)
-        .agg(cut_points(F.col("_at"), cuts).alias("_points"))
-    )
+    measured = _points_of(df, keys, order, names, cuts)
     if not small:
         return HotKeys(cut_lineage(measured), cuts, small=False)
     return HotKeys(df.sparkSession.createDataFrame(measured.collect(), measured.schema), cuts)
@@ -116,7 +138,7 @@ def without_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str]) -> DataFr
 
 def only_hot_keys(df: DataFrame, hot: HotKeys, keys: Sequence[str], order: str) -> DataFrame:
     """Rows of the hot keys, with an ordered segment number in ``_segment``."""
-    at = position(df, order).cast("double")
+    at = position(df, order) if _is_text(df, order) else position(df, order).cast("double")
     return (
         df.join(hot.side(), list(keys))
         .withColumn(SEGMENT, segment_of(F.col("_points"), at, hot.cuts))
