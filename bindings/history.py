@@ -44,6 +44,14 @@ def event_history_split_keys(spark, sf):
     return event_history(spark, sf, rows_per_task=20)
 
 
+@bound("event_history_split_text", VERSIONS_SQL.replace("SELECT * FROM events", "SELECT * REPLACE (lpad(CAST(epoch_us(ts) AS VARCHAR), 20, '0') AS ts) FROM events") + "SELECT * FROM history")
+def event_history_split_text(spark, sf):
+    """The sequence is a text, and every user is cut into segments."""
+    events = table(spark, sf, "events")
+    text = F.lpad(F.unix_micros(F.col("ts").cast("timestamp")).cast("string"), 20, "0")
+    return scd2_build(events.withColumn("ts", text), **EVENT_HISTORY, rows_per_task=20)
+
+
 @bound("event_history_current", VERSIONS_SQL + 'SELECT * FROM history WHERE "__END_AT" IS NULL')
 def event_history_current(spark, sf):
     return filter_current(event_history(spark, sf))

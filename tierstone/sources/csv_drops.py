@@ -69,7 +69,8 @@ def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list
     """
     groups: dict[str, list[str]] = {}
     left = []
-    for row in file_heads(spark, paths).collect():
+    # a listing may name a file twice
+    for row in file_heads(spark, list(dict.fromkeys(paths))).collect():
         if row.error is not None:
             left.append(row.path)
         elif row.header is not None:
