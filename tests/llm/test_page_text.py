@@ -1,5 +1,9 @@
 """Blocks of broken markup, gradients, and the labeller on unseen pages."""
 
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +116,37 @@ def test_head_without_its_tags():
     for rest in ("<p>a</p><p>b</p>", "<article><p>a</p><p>b</p></article>", "</head><p>a</p><p>b</p>", "<body><p>a</p><p>b</p>", "a<p>b</p>"):
         assert [b.text for b in p.blocks_of("<html>" + head + rest)] == ["a", "b"]
     assert p.blocks_of(head) == []
+
+
+#: The rule of tokens_of as one pattern, which takes quadratic time on markup that never ends.
+PLAIN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<[!?][^>]*>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>",
+    re.S | re.I,
+)
+
+
+def test_tokens_against_one_pattern():
+    r = random.Random(4)
+    parts = [
+        "<", "</", ">", "/>", "\"", "'", "=", " ", "\n", "a", "P", "x<y", "<p", "<a ", "<!--", "-->", "<!", "<?", "<script>",
+        "</SCRIPT >", "<style", "</style>", "<title/", "<li class=\"", "<b id='", "</p>", "<div>",
+    ]
+    for _ in range(20_000):
+        page = "".join(r.choices(parts, k=r.randrange(25)))
+        want = [
+            (m.start(), m.end(), (m["tag"] or "").lower(), bool(m["end"]), m["rest"] or "", bool(m["raw"])) for m in PLAIN.finditer(page)
+        ]
+        got = [(t.start, t.end, t.tag, t.closing, t.rest, t.raw) for t in p.tokens_of(page)]
+        assert got == want, page
+
+
+@pytest.mark.parametrize("part", [
+    '<p class="x', "<a ", "<a", "<p class='x\" ", "<script", "<!", "<b>x", "<div>x", "<i>x</b>", "</", "<!--", "<li>x", "&amp", "<svg>", "<br",
+    "<script>x</script ", "'\"<p ",
+])
+def test_broken_markup_takes_time_in_proportion(part):
+    page = "<b><div>" + part * (1_000_000 // len(part))
+    start = time.perf_counter()
+    p.blocks_of(page)
+    assert time.perf_counter() - start < 8

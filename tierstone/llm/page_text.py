@@ -13,7 +13,11 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,17 +55,129 @@ _ENDS = {
     "table ul".split(), {"p"},
 )
 _SCOPES = frozenset("article aside body button div fieldset footer form header html main nav section table td th ul ol dl".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|annotation|annotation-xml)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.S | re.I,
-)
+_RAW = frozenset("script style noscript template textarea title iframe annotation annotation-xml".split())
+_NAME_END, _MARK, _LETTER = re.compile(r"[\s/>]"), re.compile(r"[>\"']"), re.compile("[a-zA-Z]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
+class _Ahead:
+    """The first place of a pattern from a place on, which only moves ahead: each stretch is searched once."""
+
+    def __init__(self, pattern: re.Pattern[str], page: str):
+        self.pattern, self.page, self.found = pattern, page, -1
+
+    def at(self, place: int) -> int:
+        if self.found < place:
+            m = self.pattern.search(self.page, place)
+            self.found = m.start() if m else len(self.page)
+        return self.found
+
+
+class Token(NamedTuple):
+    """Markup from ``start`` to ``end``; comments and declarations have no tag, ``raw`` elements come with their content."""
+
+    start: int
+    end: int
+    tag: str = ""
+    closing: bool = False
+    rest: str = ""
+    raw: bool = False
+
+
+def tokens_of(page: str) -> Iterator[Token]:
+    """Comments, declarations, raw elements and tags in order, in time in proportion to the page.
+
+    A tag ends at the first ``>`` outside quotes. One that never does is text, and so is all that a quote swallows: the
+    opening quotes that lead to the end of the page are remembered, so that no later tag follows them again.
+    """
+    size = len(page)
+    ends, marks, names = (_Ahead(x, page) for x in (re.compile(">"), _MARK, _NAME_END))
+    closers: dict[str, re.Pattern[str]] = {}
+    lost: set[int] = set()
+
+    def tag_end(place: int) -> int:
+        """The place of the ``>`` that ends a tag whose attributes begin here, or -1."""
+        walked, mark = [], marks.at(place)
+        while mark < size and page[mark] != ">" and mark not in lost:
+            walked.append(mark)
+            shut = page.find(page[mark], mark + 1)
+            m = _MARK.search(page, shut + 1) if shut >= 0 else None
+            mark = m.start() if m else size
+        if mark < size and page[mark] == ">":
+            return mark
+        lost.update(walked)
+        return -1
+
+    at = page.find("<")
+    while at >= 0:
+        token, sign = None, page[at + 1 : at + 2]
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            token = Token(at, end + 3 if end >= 0 else size)
+        elif sign in ("!", "?"):
+            end = ends.at(at + 2)
+            token = Token(at, end + 1) if end < size else None
+        elif sign:
+            first = at + 1 + (sign == "/")
+            if _LETTER.match(page, first) and (stop := names.at(first)) < size:
+                name = page[first:stop].lower()
+                if name in _RAW and sign != "/" and (end := ends.at(stop)) < size:
+                    if name not in closers:
+                        closers[name] = re.compile(rf"</{name}\s*+>", re.I)
+                    m = closers[name].search(page, end + 1)
+                    token = Token(at, m.end() if m else size, raw=True)
+                elif (end := tag_end(stop)) >= 0:
+                    token = Token(at, end + 1, name, sign == "/", page[stop:end])
+        if token:
+            yield token
+        at = page.find("<", token.end if token else at + 1)
+
+
+class _Open:
+    """The open elements: where each name stands, and the distinct parts of the path."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.parts: Counter[str] = Counter()
+        self.known: tuple[str, ...] | None = ()
+
+    def path(self) -> tuple[str, ...]:
+        if self.known is None:
+            self.known = tuple(self.parts)
+        return self.known
+
+    def _last(self, names: Iterable[str]) -> int:
+        return max((self.places[x][-1] for x in names if self.places.get(x)), default=-1)
+
+    def push(self, tag: str, parts: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, parts))
+        for x in parts:
+            if x not in self.parts:
+                self.known = None
+            self.parts[x] += 1
+
+    def close(self, names: set[str], stop: frozenset[str]) -> None:
+        """End the last element of these names, and all in it, unless one to stop at stands after it."""
+        first = self._last(names)
+        if first < 0 or (first < len(self.stack) - 1 and self._last(stop) > first):
+            return
+        while len(self.stack) > first:
+            tag, parts = self.stack.pop()
+            self.places[tag].pop()
+            for x in parts:
+                self.parts[x] -= 1
+                if not self.parts[x]:
+                    del self.parts[x]
+                    self.known = None
+
+
 @dataclass
 class Block:
+    """A run of text with the distinct parts of its tag path and the number of its characters inside links."""
+
     text: str
     path: tuple[str, ...]
     linked: int
@@ -73,7 +189,7 @@ def blocks_of(page: str) -> list[Block]:
     Formulas are inline text. A head may lack its tags: it ends where something stands that may not stand in it.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    elements = _Open()
     buffer: list[str] = []
     linked = 0
 
@@ -82,40 +198,31 @@ def blocks_of(page: str) -> list[Block]:
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
             if text:
-                out.append(Block(text, tuple(x for _, parts in stack for x in parts), linked))
+                out.append(Block(text, elements.path(), linked))
             buffer.clear()
         linked = 0
 
-    def close(names: set[str], stop: frozenset[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in stop:
-                return
-
     at, in_head, svg, foreign = 0, False, 0, 0
-    for m in [*_TOKEN.finditer(page), None]:
-        piece = page[at : m.start() if m else len(page)]
+    for token in chain(tokens_of(page), [None]):
+        piece = page[at : token.start if token else len(page)]
         if in_head and piece.strip():
             in_head = False
         if piece and not in_head and not svg:
             buffer.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if elements.places.get("a"):
                 linked += len(piece)
-        if m is None:
+        if token is None:
             break
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+        at, tag = token.end, token.tag
         if not tag:
-            if m["raw"]:
+            if token.raw:
                 buffer.append(" ")
             continue
-        if svg and not m["end"] and not foreign and tag in _ENDS_SVG:
+        if svg and not token.closing and not foreign and tag in _ENDS_SVG:
             svg = 0
         if svg or tag == "svg":
-            closed = m["rest"].rstrip().endswith("/")
-            step = 0 if closed and not m["end"] else -1 if m["end"] else 1
+            closed = token.rest.rstrip().endswith("/")
+            step = 0 if closed and not token.closing else -1 if token.closing else 1
             if tag == "svg":
                 svg = max(0, svg + step)
                 buffer.append(" ")
@@ -125,20 +232,20 @@ def blocks_of(page: str) -> list[Block]:
             in_head = False
             continue
         if tag == "head":
-            in_head = not m["end"]
-        elif not m["end"] and tag not in _IN_HEAD:
+            in_head = not token.closing
+        elif not token.closing and tag not in _IN_HEAD:
             in_head = False
         if tag == "br":
             buffer.append(" ")
         if tag not in _INLINE:
             flush()
-        if m["end"]:
-            close({tag}, frozenset() if tag in _SCOPES else _SCOPES)
-        elif tag not in _VOID and not m["rest"].rstrip().endswith("/"):
+        if token.closing:
+            elements.close({tag}, frozenset() if tag in _SCOPES else _SCOPES)
+        elif tag not in _VOID and not token.rest.rstrip().endswith("/"):
             if tag in _ENDS:
-                close(_ENDS[tag], _SCOPES - _ENDS[tag])
-            names = [_PART.findall((a or b or c).lower()) for a, b, c in _NAMES.findall(m["rest"])]
-            stack.append((tag, (f"<{tag}>", *(x for n in names for x in n))))
+                elements.close(_ENDS[tag], _SCOPES - _ENDS[tag])
+            names = [_PART.findall((a or b or c).lower()) for a, b, c in _NAMES.findall(token.rest)]
+            elements.push(tag, (f"<{tag}>", *(x for n in names for x in n)))
     flush()
     return out
 
@@ -408,7 +515,8 @@ def main_text(html: Column, labeller: BlockLabeller) -> Column:
     """The text of the article's blocks, joined by newlines; empty for a null or empty page and where none is found.
 
     Character references are decoded, white space inside a block becomes one blank. Markup may be broken: elements
-    left open end where the next one of their kind or their parent ends.
+    left open end where the next one of their kind or their parent ends, tags that never end are text. Very long pages are
+    read whole, in time in proportion to their length; repeated rows give the same text each, ties cannot arise.
     """
     def extract(column: pa.Array) -> pa.Array:
         describer, out = Describer(), []
