@@ -56,6 +56,8 @@ _ENDS = {
 )
 _SCOPES = frozenset("article aside body button div fieldset footer form header html main nav section table td th ul ol dl".split())
 _RAW = frozenset("script style noscript template textarea title iframe annotation annotation-xml".split())
+#: A tag without a "<" of its own, as nearly all are; it gives up at the next one.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
 _NAME_END, _MARK, _LETTER = re.compile(r"[\s/>]"), re.compile(r"[>\"']"), re.compile("[a-zA-Z]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -112,7 +114,10 @@ def tokens_of(page: str) -> Iterator[Token]:
     at = page.find("<")
     while at >= 0:
         token, sign = None, page[at + 1 : at + 2]
-        if page.startswith("<!--", at):
+        plain = _TAG.match(page, at)
+        if plain and ((name := plain[2].lower()) not in _RAW or plain[1]):
+            token = Token(at, plain.end(), name, bool(plain[1]), plain[3])
+        elif page.startswith("<!--", at):
             end = page.find("-->", at + 4)
             token = Token(at, end + 3 if end >= 0 else size)
         elif sign in ("!", "?"):
