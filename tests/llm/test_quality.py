@@ -3,8 +3,11 @@
 import itertools
 import random
 import re
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tierstone.llm import quality as q
@@ -76,3 +79,49 @@ def test_odd_rows(spark):
     empty = q.fit_line_field(docs.limit(0), labels.limit(0))
     assert empty.label(np.ones((4, len(q.FEATURES)))).tolist() == [0] * 4
     assert docs.limit(0).select(q.quality_of(F.col("text"), empty)).collect() == []
+
+
+@pytest.fixture(scope="module")
+def halves():
+    """Labelled documents in two halves, as features of their lines and label; few are bad, so a small table is too small."""
+    sf = Path("/root/testdata/sf0.1")
+    rows = pd.read_parquet(sf / "documents.parquet").merge(pd.read_parquet(sf / "labels.parquet"), on="doc_id")
+    found = [(x, int(good <= 0)) for t, good in zip(rows.text, rows.quality) if len(x := q.line_features(t or "")[0])]
+    return found[::2], found[1::2]
+
+
+def test_splices_keep_lines_in_order():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        good, bad = (np.arange(r.integers(1, 9))[:, None] + at for at in (0.0, 100.0))
+        x, y = q.splice(good, bad, r)
+        assert x[y == q.CONTENT].tolist() == good.tolist() and x[y == q.BOILERPLATE].tolist() == bad.tolist()
+
+
+def test_transitions_help_on_held_out_splices(halves):
+    seen, unseen = halves
+    seen = seen[: q.SAMPLE]
+    field = q.fit_field([(x[: q.SAMPLE_LINES], y) for x, y in seen])
+    alone = q.LineField(field.emit, np.zeros((2, 2)))
+    constant = q.fit_field([(x[: q.SAMPLE_LINES], y) for x, y in seen], splices=0)
+    mixed = q.spliced(unseen, 300, seed=8)
+
+    def right(f):
+        return sum((f.label(x) == y).sum() for x, y in mixed) / sum(len(x) for x, _ in mixed)
+
+    assert right(field) >= 0.92 and right(field) > right(alone) and right(field) > right(constant)
+    documents = [((field.label(x) == q.CONTENT).mean() >= 0.5) == (y == 0) for x, y in unseen]
+    assert np.mean(documents) >= 0.97
+
+
+def test_share_of_a_mixed_document(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    field = q.fit_line_field(docs, labels)
+    rows = docs.join(labels, "doc_id").where("text like '%\n%\n%\n%'").select("text", "quality").collect()
+    good, bad = ([r.text for r in rows if (r.quality > 0) == kind] for kind in (True, False))
+    texts = [(g + "\n" + b,) for g, b in zip(good, bad * len(good))][:60]
+    shares = [r.s.content_share for r in spark.createDataFrame(texts, "text string").select(q.quality_of(F.col("text"), field).alias("s")).collect()]
+    assert np.mean([0 < s < 1 for s in shares]) >= 0.9
+    got = spark.createDataFrame([texts[0]] * 3, "text string").select(q.quality_of(F.col("text"), field).alias("s")).collect()
+    assert len({r.s for r in got}) == 1

@@ -4,6 +4,8 @@ The field labels each line of a document as content or boilerplate by features o
 neighbours; Viterbi decoding gives the likeliest sequence. A document is kept if its rules hold and if enough of its
 words stand in content lines. The field is fitted by gradient ascent on the likelihood (forward and backward sums)
 to a bounded sample of labelled documents: lines of good documents count as content, those of bad ones as boilerplate.
+A document has one label, so its lines never change theirs; the field sees changes in documents spliced from runs of
+lines of a good and a bad one.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from tierstone.llm.batches import WordHashes, gram_hashes, texts_of
 
 #: Labelled documents that the field is fitted to, at most; those with the least hashes of their ids.
 SAMPLE = 1_500
-#: Lines of one document used for fitting, at most (labelling uses all).
-SAMPLE_LINES = 40
+#: Lines of one document used for fitting, at most (labelling uses all); spliced documents for each sampled one.
+SAMPLE_LINES, SPLICES = 40, 1
 #: A document is kept from this share of its words in content lines on.
 CONTENT_SHARE = 0.5
 #: Words in a window for repeats, least words, most repeated words in a hundred.
@@ -84,47 +86,85 @@ class LineField:
         return out
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis)) + np.squeeze(top, axis)
+Sequence = tuple[np.ndarray, np.ndarray]
 
 
-def fit_field(sequences: list[tuple[np.ndarray, int]], rounds: int = 100, rate: float = 0.2, decay: float = 1e-3) -> LineField:
-    """The field that makes the labels likeliest: each sequence is lines' features and the label of all its lines."""
-    sequences = [(x[:SAMPLE_LINES], y) for x, y in sequences if len(x)]
+def splice(good: np.ndarray, bad: np.ndarray, random: np.random.Generator) -> Sequence:
+    """Lines of both documents, each in its order, in two to five runs that alternate; with the label of each line."""
+    runs: list[Sequence] = []
+    n = int(random.integers(2, 6))
+    first = int(random.integers(2))
+    for kind, rows in ((CONTENT, good), (BOILERPLATE, bad)):
+        own = [i for i in range(n) if (i + first) % 2 == kind]
+        cuts = np.sort(random.choice(len(rows) - 1, min(len(own), len(rows)) - 1, replace=False)) + 1 if len(rows) > 1 else []
+        runs += [(i, part, np.full(len(part), kind)) for i, part in zip(own, np.split(rows, cuts), strict=False)]
+    runs.sort(key=lambda r: r[0])
+    return np.concatenate([x for _, x, _ in runs]), np.concatenate([y for _, _, y in runs])
+
+
+def spliced(sequences: list[tuple[np.ndarray, int]], count: int, seed: int = 5) -> list[Sequence]:
+    """So many sequences spliced from a good and a bad document each; none if there are no documents of one kind.
+
+    Stretches of long documents are taken, so that a splice is about as long as the longest sequence.
+    """
+    random = np.random.default_rng(seed)
+    kinds = [[x for x, y in sequences if y == label and len(x)] for label in (CONTENT, BOILERPLATE)]
+    if not all(kinds):
+        return []
+    most = max(len(x) for x, _ in sequences) // 2 + 1
+
+    def stretch(rows: np.ndarray) -> np.ndarray:
+        start = random.integers(max(1, len(rows) - most + 1))
+        return rows[start : start + most]
+
+    return [splice(*(stretch(kind[random.integers(len(kind))]) for kind in kinds), random) for _ in range(count)]
+
+
+def fit_field(
+    sequences: list[tuple[np.ndarray, int]], rounds: int = 100, rate: float = 0.2, decay: float = 1e-3, splices: int = SPLICES,
+) -> LineField:
+    """The field that makes the labels likeliest: each sequence is a document's lines' features and its label.
+
+    Documents and their splices take part with equal weight, and so do both labels.
+    """
+    sequences = [(x, y) for x, y in sequences if len(x)]
     k = len(FEATURES)
     emit, move = np.zeros((k, 2)), np.eye(2)
     if not sequences:
         return LineField(emit, move)
+    share = np.bincount([y for _, y in sequences], minlength=2) / len(sequences)
+    whole = [(x, np.full(len(x), y)) for x, y in sequences]
+    mixed = spliced(sequences, splices * len(sequences))
+    weight = np.array([0.5 / share[y] for _, y in sequences] + [1 / max(splices, 1)] * len(mixed))
+    sequences = whole + mixed
     n, longest = len(sequences), max(len(x) for x, _ in sequences)
-    x, mask = np.zeros((n, longest, k)), np.zeros((n, longest), bool)
-    labels = np.array([y for _, y in sequences])
-    for i, (rows, _) in enumerate(sequences):
-        x[i, : len(rows)], mask[i, : len(rows)] = rows, True
-    share = np.bincount(labels, minlength=2) / n
-    weight = (0.5 / np.maximum(share, 1e-9))[labels] / mask.sum(1)
+    x, mask, labels = np.zeros((n, longest, k)), np.zeros((n, longest), bool), np.zeros((n, longest), np.int64)
+    for i, (rows, own) in enumerate(sequences):
+        x[i, : len(rows)], mask[i, : len(rows)], labels[i, : len(rows)] = rows, True, own
+    weight = weight / mask.sum(1)
+    same = np.eye(2)[labels]
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (labels[:, :-1], labels[:, 1:]), weight[:, None] * mask[:, 1:])
     steps = [np.zeros_like(emit), np.zeros_like(move)]
     squares = [np.zeros_like(emit), np.zeros_like(move)]
-    same = np.eye(2)[labels]
     for turn in range(1, rounds + 1):
         score = x @ emit
         forward = np.zeros_like(score)
         forward[:, 0] = score[:, 0]
         for t in range(1, longest):
-            new = _log_sum(forward[:, t - 1, :, None] + move, 1) + score[:, t]
+            ways = forward[:, t - 1, :, None] + move
+            new = np.logaddexp(ways[:, 0], ways[:, 1]) + score[:, t]
             forward[:, t] = np.where(mask[:, t, None], new, forward[:, t - 1])
         backward = np.zeros_like(score)
         pairs = np.zeros((2, 2))
-        total = _log_sum(forward[:, -1], 1)
+        total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
         for t in range(longest - 2, -1, -1):
             ahead = move + (score[:, t + 1] + backward[:, t + 1])[:, None, :]
-            backward[:, t] = np.where(mask[:, t + 1, None], _log_sum(ahead, 2), 0)
+            backward[:, t] = np.where(mask[:, t + 1, None], np.logaddexp(ahead[..., 0], ahead[..., 1]), 0)
             both = np.exp(np.minimum(forward[:, t, :, None] + ahead - total[:, None, None], 0))
-            pairs += (both * (weight * mask[:, t + 1])[:, None, None]).sum(0)
+            pairs += np.tensordot(weight * mask[:, t + 1], both, 1)
         odds = np.exp(np.minimum(forward + backward - total[:, None, None], 0)) * (weight[:, None] * mask)[..., None]
-        wanted = same[:, None, :] * (weight[:, None] * mask)[..., None]
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (labels, labels), weight * (mask.sum(1) - 1))
+        wanted = same * (weight[:, None] * mask)[..., None]
         slopes = [
             np.einsum("ntk,ntl->kl", x, wanted - odds) / n - decay * emit, (seen - pairs) / n - decay * move,
         ]
@@ -147,21 +187,23 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 def fit_line_field(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    sample: int = SAMPLE,
+    sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES, splices: int = SPLICES,
 ) -> LineField:
-    """The field fitted to at most ``sample`` labelled documents; the rows of lines are bounded by SAMPLE_LINES each.
+    """The field fitted to at most ``sample`` labelled documents, the first ``sample_lines`` lines of each, and to
+    ``splices`` spliced ones for each of them.
 
     Labels without a document, null labels and null ids play no part; several labels of a document all count.
     Without any labelled document the field calls every line content.
     """
     def features(column: pa.Array) -> pa.Array:
-        return pa.array([line_features(x)[0][:SAMPLE_LINES].ravel().tolist() for x in texts_of(column)], pa.list_(pa.float64()))
+        return pa.array([line_features(x)[0][:sample_lines].ravel().tolist() for x in texts_of(column)], pa.list_(pa.float64()))
 
     rows = _sampled(docs, labels, id_col, text_col, label_col, sample).select(
         "_id", "good", F.arrow_udf(features, "array<double>")(F.col("text")).alias("x")
     )
     found = rows.orderBy(F.xxhash64("_id"), "_id", "good", "x").limit(sample).collect()
-    return fit_field([(np.array(r["x"]).reshape(-1, len(FEATURES)), CONTENT if r["good"] else BOILERPLATE) for r in found])
+    rows = [(np.array(r["x"]).reshape(-1, len(FEATURES)), CONTENT if r["good"] else BOILERPLATE) for r in found]
+    return fit_field(rows, splices=splices)
 
 
 REPORT = (
@@ -215,7 +257,7 @@ def quality_of(text: Column, field: LineField | None) -> Column:
     """The rules' counts and the verdict on a text, as a struct; without a field the rules decide alone.
 
     A null or empty text has no words and fails the rules. Lines without a word take no label. Very long texts are
-    read whole. Ties between labels go to content.
+    read whole, repeated rows get equal verdicts. Ties between labels go to content.
     """
     def judge(column: pa.Array) -> pa.Array:
         hashes = WordHashes()
