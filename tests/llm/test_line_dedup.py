@@ -1,6 +1,7 @@
 """Repeated and nearly repeated lines against brute force."""
 
 import random
+import time
 
 import pytest
 
@@ -106,3 +107,45 @@ def test_short_lines_go_if_they_are_equal(spark):
         1: (4, 1, 0, "Menu\nHome\n\n漢字"), 2: (4, 2, 0, "home\n\nHomes"), 3: (1, 0, 0, "x" * 19),
         4: (3, 1, 0, "x" * 18 + "y\n" + "x" * 20),
     }
+
+
+def test_refined_cells_give_the_same_links(spark, corpus):
+    df = spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)
+    texts = d.texts_by_id(df, "doc_id", "text")
+    places = d.line_places(texts)
+
+    def rows(most_pairs):
+        return sorted((r.doc, r.line, r.links, r.earlier) for r in d.line_links(texts, places, most_pairs).collect())
+
+    assert rows(0) == rows(20) == rows(10**9) != []
+
+
+def test_pairs_meet_once_in_refined_cells():
+    r = random.Random(9)
+    for _ in range(3000):
+        base = "".join(r.choice("ab") for _ in range(r.randrange(20, 34)))
+        one, two = edited(r, base, r.randrange(2)), edited(r, base, r.randrange(3))
+        short, long = sorted((one, two), key=len)
+        if short == long or len(short) < d.LEAST_CHARS or distance(short, long) > d.EDITS:
+            continue
+        own = d._own_cells(short)
+        cuts = [sorted(r.sample(range(1, len(short) - k), 2)) if r.random() < 0.7 else [] for _, _, k in own.values()]
+        by_cell = dict(zip(own, cuts))
+        entered = [{"cell": c, "role": d.ENTERED, "cuts": by_cell[c] or None} for c in own]
+        looks = [{"cell": d._signed(c), "role": d.ASKED, "cuts": by_cell.get(d._signed(c)) or None} for c in d.cells(long, d.EDITS)[1]]
+        left = {c for c, *_ in d._line_rows(1, 0, short, entered)}
+        right = {c for c, *_ in d._line_rows(2, 0, long, looks)}
+        first = d.first_cell(long, short, cuts, d.EDITS)
+        assert first is not None and d._signed(first) in left & right
+
+
+def test_lines_of_one_template(spark):
+    r = random.Random(5)
+    lines = list({f"Your order number {r.randrange(10**14):014d} has been sent to you today" for _ in range(20_000)})
+    lines += [edited(r, x, 2) for x in lines[:200]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(8)
+    start = time.perf_counter()
+    got = {x.doc_id: x.n_links for x in d.without_repeated_lines(df).collect()}
+    assert time.perf_counter() - start < 60
+    near = [i for i in range(200) if lines[i] != lines[len(lines) - 200 + i]]
+    assert all(got[i] and got[len(lines) - 200 + i] for i in near) and sum(map(bool, got.values())) < 3_000

@@ -8,11 +8,15 @@ bit-parallel edit distance.
 
 Texts stay where they are until then: segments travel as hashes, only lines that share one with another line are
 fetched, and pairs are compared, counted and dropped inside a group, never listed.
+
+Lines of one template all meet under the segments they have in common. Such a cell is refined: what a line holds beside
+the shared segment is within EDITS edits again, so it is cut into EDITS + 1 parts, too, at places that share out evenly
+what the cell's lines differ in, and lines meet only if one of these parts is equal as well.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -33,6 +37,11 @@ LEAST_CHARS = 20
 #: Lines whose places a task compares with each other before the shuffle.
 BLOCK_LINES = 150_000
 
+#: Pairs of entered and asking lines from which on a cell is refined; position blocks by which its lines are compared,
+#: and hashed values of a block that are told apart.
+MOST_PAIRS = 100_000
+BLOCKS, SYMBOLS = 256, 64
+
 ENTERED, ASKED = 0, 1
 
 
@@ -53,15 +62,36 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
 @lru_cache(60_000)
 def looked_up(length: int, other: int, edits: int) -> list[tuple[int, int, int]]:
     """(segment, first character, characters) of the substrings of a line that can be a segment of a shorter one."""
+    return _windows(segments(other, edits), length, length - other, edits)
+
+
+def _windows(parts: list[tuple[int, int]], length: int, more: int, edits: int) -> list[tuple[int, int, int]]:
     out = []
-    more = length - other
-    for i, (at, size) in enumerate(segments(other, edits)):
+    for i, (at, size) in enumerate(parts):
         low = max(at - i, at + more - (edits - i), 0)
         high = min(at + i, at + more + (edits - i), length - size)
         out += [(i, x, size) for x in range(low, high + 1)]
     return out
 
 
+@lru_cache(20_000)
+def rest_parts(length: int, cuts: tuple[int, ...]) -> list[tuple[int, int]]:
+    """(first character, characters) of the parts of a rest, what stands beside a segment, cut at these places."""
+    firsts, ends = (0, *cuts), (*cuts, length)
+    return [(x, y - x) for x, y in zip(firsts, ends, strict=True)]
+
+
+@lru_cache(60_000)
+def rest_looks(length: int, other: int, cuts: tuple[int, ...], edits: int) -> list[tuple[int, int, int]]:
+    """Like ``looked_up``, for rests: the shorter one is cut at these places."""
+    return _windows(rest_parts(other, cuts), length, length - other, edits)
+
+
+def rest_cell(number: int, part: int, piece: str) -> int:
+    """The cell inside a refined one in which lines meet whose rests share this part."""
+    return xxhash.xxh64_intdigest(piece.encode(), (number + part + 1) % 2**64)
+
+
 def cell(length: int, segment: int, piece: str) -> int:
     return xxhash.xxh64_intdigest(piece.encode(), seed=length * 16 + segment)
 
@@ -227,8 +257,12 @@ def _line_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.clear()
 
 
-def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the cells in which a line looks and a different one is entered; each once."""
+_SHARED = pa.schema([*_CELL, ("hot", pa.bool_())])
+SHARED = CELLS + ", hot boolean"
+
+
+def _shared_cells(batches: Iterator[pa.RecordBatch], most_pairs: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the cells in which a line looks and a different one is entered; each once. Cells of many pairs are hot."""
     for table in _groups(batches):
         place, key, role = (c.to_numpy() for c in table.columns)
         order = np.lexsort((role, key, place))
@@ -240,54 +274,177 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         start[1:] = place[1:] != place[:-1]
         group = np.cumsum(start) - 1
         low, high = np.minimum.reduceat(key, np.flatnonzero(start)), np.maximum.reduceat(key, np.flatnonzero(start))
-        entered = np.bincount(group, role == ENTERED) > 0
-        asked = np.bincount(group, role == ASKED) > 0
-        keep = ((low != high) & entered & asked)[group]
+        pairs = np.bincount(group, role == ENTERED) * np.bincount(group, role == ASKED)
+        keep = ((low != high) & (pairs > 0))[group]
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (place, key, role)], schema=_CELL)
+            hot = (pairs > most_pairs)[group]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (place, key, role, hot)], schema=_SHARED)
+
 
+def shared_cells(texts: DataFrame, most_pairs: int) -> DataFrame:
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _shared_cells(batches, most_pairs)
 
-def shared_cells(texts: DataFrame) -> DataFrame:
     rows = texts.mapInArrow(_line_cells, CELLS)
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_shared_cells, CELLS)
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(shared, SHARED)
+
+
+def _own_cells(line: str) -> dict[int, tuple[int, int, int]]:
+    """Number of each cell in which a line is entered (as a signed long) -> (segment, first character, characters)."""
+    n = len(line)
+    return {_signed(cell(n, i, line[a : a + k])): (i, a, k) for i, (a, k) in enumerate(segments(n, EDITS))}
+
+
+def _signed(number: int) -> int:
+    return number - 2**64 if number >= 2**63 else number
+
+
+_SYMBOL = pa.schema([("cell", pa.int64()), ("length", pa.int32()), ("block", pa.int32()), ("symbol", pa.int32()), ("n", pa.int64())])
+SYMBOL_ROWS = "cell long, length int, block int, symbol int, n long"
+
+
+def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each block of the rests of a hot cell's entered lines has each hashed value."""
+    for part in slices(batches, "text"):
+        found: Counter[tuple[int, int, int, int]] = Counter()
+        for text, asked in zip(texts_of(part.column(1)), part.column(2).to_pylist(), strict=True):
+            lines = dict(compared_lines(text))
+            for x in asked:
+                line = lines.get(x["line"])
+                where = _own_cells(line).get(x["cell"]) if line else None
+                if where:
+                    rest = line[: where[1]] + line[sum(where[1:]) :]
+                    size = -(-len(rest) // BLOCKS)
+                    for i in range(0, len(rest), size):
+                        found[x["cell"], len(rest), i // size, xxhash.xxh32_intdigest(rest[i : i + size].encode()) % SYMBOLS] += 1
+        if found:
+            rows = ((*key, n) for key, n in found.items())
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SYMBOL, strict=True)], schema=_SYMBOL)
+
+
+def cut_places(length: int, spread: list[float], edits: int = EDITS) -> list[int]:
+    """Places that cut a rest into edits + 1 parts, none empty, of like sums of the spread of its blocks."""
+    size = -(-length // BLOCKS)
+    sums = np.cumsum(np.maximum(spread, 0) + 1e-6)
+    out = []
+    for i in range(1, edits + 1):
+        place = (int(np.searchsorted(sums, sums[-1] * i / (edits + 1))) + 1) * size
+        out.append(min(max(place, (out[-1] if out else 0) + 1), length - edits - 1 + i))
+    return out
+
+
+def hot_cuts(texts: DataFrame, hot: DataFrame) -> DataFrame:
+    """(cell, cuts): where the rests of a hot cell's lines are cut; their spread is the entropy of what stands in a block."""
+    def places(length: pa.Array, spread: pa.Array) -> pa.Array:
+        rows = zip(length.to_pylist(), spread.to_pylist(), strict=True)
+        return pa.array([cut_places(n, [x["spread"] for x in xs]) for n, xs in rows], pa.list_(pa.int32()))
+
+    by_doc = hot.where(F.col("role") == ENTERED).groupBy("doc").agg(F.collect_set(F.struct("line", "cell")).alias("asked"))
+    counts = texts.join(by_doc, "doc").select("doc", "text", "asked").mapInArrow(_symbols, SYMBOL_ROWS)
+    counts = counts.groupBy("cell", "length", "block", "symbol").agg(F.sum("n").alias("n"))
+    spread = F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")
+    blocks = counts.groupBy("cell", "length", "block").agg(spread.alias("spread"))
+    cells_ = blocks.groupBy("cell").agg(F.min("length").alias("length"), F.sort_array(F.collect_list(F.struct("block", "spread"))).alias("spread"))
+    return cells_.select("cell", F.arrow_udf(places, "array<int>")("length", "spread").alias("cuts"))
 
 
 _FETCHED = pa.schema([
     ("cell", pa.int64()), ("role", pa.int8()), ("doc", pa.int64()), ("line", pa.int32()), ("text", pa.string()),
+    ("cuts", pa.list_(pa.list_(pa.int32()))),
 ])
-FETCHED = "cell long, role byte, doc long, line int, text string"
+FETCHED = "cell long, role byte, doc long, line int, text string, cuts array<array<int>>"
+
+
+def _asked_inside(line: str, wanted: dict[int, tuple[int, ...]]) -> set[int]:
+    """Cells inside refined ones in which a line looks."""
+    out = set()
+    n = len(line)
+    for other in range(max(n - EDITS, EDITS + 1), n + 1):
+        for i, a, k in looked_up(n, other, EDITS):
+            number = cell(other, i, line[a : a + k])
+            cuts = wanted.get(_signed(number))
+            if cuts is not None:
+                rest = line[:a] + line[a + k :]
+                out |= {rest_cell(number, j, rest[b : b + m]) for j, b, m in rest_looks(n - k, other - k, cuts, EDITS)}
+    return out
+
+
+def _line_rows(doc: int, number: int, line: str, asked: list[dict]) -> Iterator[tuple]:
+    """The rows of a line in all its cells; a refined cell gives rows of the cells inside it.
+
+    Entered lines carry the cuts of their refined cells, by segment, so that a pair's first cell can be told anywhere.
+    """
+    entered = [x for x in asked if x["role"] == ENTERED]
+    looks = [x for x in asked if x["role"] == ASKED]
+    hot = {x["cell"]: tuple(x["cuts"]) for x in entered if x["cuts"] is not None}
+    cuts = None
+    if hot:
+        own = _own_cells(line)
+        cuts = [list(hot.get(c, ())) for c in own]
+        for c, (_, a, k) in own.items():
+            if c in hot:
+                rest = line[:a] + line[a + k :]
+                for j, (b, m) in enumerate(rest_parts(len(rest), hot[c])):
+                    yield _signed(rest_cell(c % 2**64, j, rest[b : b + m])), ENTERED, doc, number, line, cuts
+    yield from ((x["cell"], ENTERED, doc, number, line, cuts) for x in entered if x["cuts"] is None)
+    yield from ((x["cell"], ASKED, doc, number, line, None) for x in looks if x["cuts"] is None)
+    wanted = {x["cell"]: tuple(x["cuts"]) for x in looks if x["cuts"] is not None}
+    if wanted:
+        yield from ((_signed(c), ASKED, doc, number, line, None) for c in _asked_inside(line, wanted))
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines asked for, with their texts."""
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FETCHED, strict=True)], schema=_FETCHED)
+
     for part in slices(batches, "text"):
         rows: list[tuple] = []
         for doc, text, asked in zip(part.column(0).to_pylist(), texts_of(part.column(1)), part.column(2).to_pylist(), strict=True):
             lines = dict(compared_lines(text))
-            rows += [(x["cell"], x["role"], doc, x["line"], lines[x["line"]]) for x in asked if x["line"] in lines]
+            by_line: dict[int, list] = defaultdict(list)
+            for x in asked:
+                by_line[x["line"]].append(x)
+            for number, own in by_line.items():
+                if number in lines:
+                    rows += _line_rows(doc, number, lines[number], own)
+            if len(rows) > 50_000:
+                yield batch(rows)
+                rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FETCHED, strict=True)], schema=_FETCHED)
+            yield batch(rows)
+
+
+def first_cell(text: str, other: str, cuts: list[list[int]] | None, edits: int) -> int | None:
+    """The first cell in which a line meets an entered one that is not longer, in an order that both sides know."""
+    pieces = segments(len(other), edits)
+    for i, a, k in looked_up(len(text), len(other), edits):
+        at = pieces[i][0]
+        if text[a : a + k] != other[at : at + k]:
+            continue
+        number = cell(len(other), i, text[a : a + k])
+        if not cuts or not cuts[i]:
+            return number
+        rest, other_rest, places = text[:a] + text[a + k :], other[:at] + other[at + k :], tuple(cuts[i])
+        parts = rest_parts(len(other_rest), places)
+        for j, b, m in rest_looks(len(rest), len(other_rest), places, edits):
+            if rest[b : b + m] == other_rest[parts[j][0] : parts[j][0] + m]:
+                return rest_cell(number, j, rest[b : b + m])
+    return None
 
 
 def links_in_cell(number: int, entered: list[tuple], asked: list[tuple], edits: int) -> dict[tuple[int, int], list]:
     """(doc, line) -> [links, earliest linked place] for links that this cell, of all that hold the pair, is first to show.
 
-    Members are (doc, line, text). A line is compared with shorter ones, and with later ones of its own length.
+    Members are (doc, line, text, cuts). A line is compared with shorter ones, and with later ones of its own length.
     """
     out: dict[tuple[int, int], list] = {}
-    for doc, line, text in asked:
-        for other_doc, other_line, other in entered:
+    for doc, line, text, _ in asked:
+        for other_doc, other_line, other, cuts in entered:
             more = len(text) - len(other)
             if not 0 <= more <= edits or text == other or (more == 0 and (other_doc, other_line) > (doc, line)):
                 continue
-            pieces = segments(len(other), edits)
-            shown = next(
-                (i for i, a, k in looked_up(len(text), len(other), edits) if text[a : a + k] == other[pieces[i][0] : pieces[i][0] + k]),
-                None,
-            )
-            if shown is None or cell(len(other), shown, other[pieces[shown][0] : sum(pieces[shown])]) != number:
-                continue
-            if within(text, other, edits):
+            if first_cell(text, other, cuts, edits) == number and within(text, other, edits):
                 for own, linked in (((doc, line), (other_doc, other_line)), ((other_doc, other_line), (doc, line))):
                     found = out.setdefault(own, [0, linked])
                     found[0] += 1
@@ -315,11 +472,18 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _LINKS, strict=True)], schema=_LINKS)
 
 
-def line_links(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """(doc, line, links, earlier) of distinct lines, at their first places: links to other lines, is one earlier."""
-    asked = shared_cells(texts).join(places.where("first").select("key", "doc", "line"), "key")
-    asked = cut_lineage(asked.select("doc", "line", "cell", "role"))
-    by_doc = asked.groupBy("doc").agg(F.collect_set(F.struct("line", "cell", "role")).alias("asked"))
+def line_links(texts: DataFrame, places: DataFrame, most_pairs: int = MOST_PAIRS) -> DataFrame:
+    """(doc, line, links, earlier) of distinct lines, at their first places: links to other lines, is one earlier.
+
+    Cells of more than ``most_pairs`` pairs are refined; that changes the work and not the links.
+    """
+    asked = shared_cells(texts, most_pairs).join(places.where("first").select("key", "doc", "line"), "key")
+    asked = cut_lineage(asked.select("doc", "line", "cell", "role", "hot"))
+    hot = asked.where("hot").drop("hot")
+    asked = asked.where("not hot").drop("hot").withColumn("cuts", F.lit(None).cast("array<int>"))
+    if not hot.isEmpty():
+        asked = asked.unionByName(hot.join(cut_lineage(hot_cuts(texts, hot)), "cell"))
+    by_doc = asked.groupBy("doc").agg(F.collect_set(F.struct("line", "cell", "role", "cuts")).alias("asked"))
     fetched = texts.join(by_doc, "doc").select("doc", "text", "asked").mapInArrow(_fetched, FETCHED)
     found = fetched.repartition("cell").sortWithinPartitions("cell").mapInArrow(_verified, LINKS)
     own, other = F.struct("doc", "line"), F.struct(F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))
