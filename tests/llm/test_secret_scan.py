@@ -130,3 +130,16 @@ def test_lines_of_base64_that_do_not_join():
     odd = b64(PLAIN.encode() + b"x" * (47 - len(PLAIN))).rstrip("=")
     other = b64(b"token=ghijkl999 " + b"y" * 31).rstrip("=")
     assert len({a for _, a, _ in spans(odd + "\n" + other)}) == 2
+
+
+def test_other_unicode_escapes():
+    plain = "password=hunter22x"
+    forms = (
+        "".join(f"%u{ord(c):04x}" for c in plain), "".join(f"\\U{ord(c):08X}" for c in plain),
+        "".join((f"%u{ord(c):04X}", f"\\u{ord(c):04x}")[i % 2] for i, c in enumerate(plain)),
+        "".join(f"%25u{ord(c):04x}" for c in plain),
+    )
+    for wrapped in forms:
+        assert spans("see " + wrapped + " there") == [("assign", 4, 4 + len(wrapped))]
+    for odd in ("\\UFFFFFFFF", "%uD800", "\\U0000D800", "%u12", "\\U0041"):
+        assert spans(odd) == []

@@ -47,7 +47,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ESCAPE = re.compile(
-    r"(?P<url>(?:%[0-9A-Fa-f]{2})+)|(?P<uni>(?:\\u[0-9A-Fa-f]{4})+)|\\u\{(?P<braced>[0-9A-Fa-f]{1,6})\}"
+    r"(?P<url>(?:%[0-9A-Fa-f]{2})+)|(?P<uni>(?:[\\%]u[0-9A-Fa-f]{4})+)|\\u\{(?P<braced>[0-9A-Fa-f]{1,6})\}"
+    r"|\\U(?P<wide>[0-9A-Fa-f]{8})"
     r"|\\x(?P<byte>[0-9A-Fa-f]{2})|&#(?:(?P<dec>[0-9]{1,7})|[xX](?P<hex>[0-9A-Fa-f]{1,6}));"
 )
 _BASE64 = re.compile(
@@ -102,10 +103,10 @@ def _decoded(m: re.Match[str]) -> list[tuple[str, int, int]]:
             sizes = [len(c.encode()) for c in text]
         step = 3
     elif m["uni"]:
-        text = _pair_surrogates("".join(chr(int(x, 16)) for x in m["uni"].split("\\u")[1:]))
+        text = _pair_surrogates("".join(chr(int(m["uni"][i : i + 4], 16)) for i in range(2, len(m["uni"]), 6)))
         sizes, step = [1 + (ord(c) > 0xFFFF) for c in text], 6
     else:
-        code = int(m["braced"] or m["byte"] or m["hex"] or "0", 16) if not m["dec"] else int(m["dec"])
+        code = int(m["braced"] or m["wide"] or m["byte"] or m["hex"] or "0", 16) if not m["dec"] else int(m["dec"])
         if code > 0x10FFFF or 0xD800 <= code < 0xE000:
             return []
         return [(chr(code), 0, m.end() - m.start())]
