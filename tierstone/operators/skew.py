@@ -22,10 +22,40 @@ MAX_HOT_KEYS = 1_000
 MAX_CUTS = 4_096
 # of a hot key's texts, so many are sorted for each cut
 TEXTS_PER_CUT = 20
+# rows that one task sorts where the number of tasks is set by :func:`dealt`
+ROWS_PER_SORT = 500_000
+# hash buckets whose rows are counted to see whether any key can be heavy
+KEY_BUCKETS = 65_536
 
 SEGMENT = "_segment"
 
 
+def dealt(df: DataFrame, keys: Sequence[str], rows: int, rows_per_task: int = ROWS_PER_SORT) -> DataFrame:
+    """``df``, of about ``rows`` rows, hash-partitioned by ``keys`` so that a task gets about ``rows_per_task`` of them.
+
+    Adaptive execution makes few large tasks out of a shuffle that compresses well; the number set here is kept, so that
+    a task's memory does not grow with the table. Where every core would get less than that, ``df`` stays as it is.
+    """
+    tasks = -(-rows // rows_per_task)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[int, DataFrame | None]:
+    """How many rows there are, and (keys, ``_n``) of the keys with more than ``rows_per_task`` (None: there are none).
+
+    Rows are counted per hash bucket, so the usual answer costs a pass over the key columns and next to no shuffle; keys
+    are counted only in buckets that are full enough to hold a heavy one.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS))
+    counted = df.groupBy(bucket.alias("_b")).agg(F.count("*").alias("_n"))
+    full = F.collect_list(F.when(F.col("_n") > rows_per_task, F.col("_b")))
+    rows, suspects = counted.agg(F.coalesce(F.sum("_n"), F.lit(0)), full).first()
+    if not suspects:
+        return rows, None
+    suspected = df.filter(bucket.isin(suspects)) if len(suspects) <= MAX_HOT_KEYS else df
+    return rows, suspected.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
+
+
 def cut_points(at: Column, cuts: int) -> Column:
     """Aggregate: ``cuts - 1`` approximate quantiles of ``at``."""
     return F.percentile_approx(at, [i / cuts for i in range(1, cuts)], 20 * cuts)
