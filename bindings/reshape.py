@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bindings import bound, table
 from tierstone.functions.cleaning import tenant_key, typed_null
 from tierstone.operators.reshape import rollup_segments, unpivot_positive
+from tierstone.operators.skew import dealt
 from tierstone.plans.layouts import feeder_rows, narrow_projects, segment_rows, wide_projects
 from tierstone.plans.registry import Tenant, TenantRegistry
 
@@ -78,7 +79,7 @@ def registry() -> TenantRegistry:
 
 def _lines(spark, sf):
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    return li.join(o, li.l_orderkey == o.o_orderkey)
+    return dealt(li, ["l_orderkey"], li.count()).join(o, li.l_orderkey == o.o_orderkey)
 
 
 def raw_circuits(spark, sf):
