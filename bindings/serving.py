@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bindings import bound, table
 from tierstone.operators import serving
+from tierstone.operators.skew import dealt
 
 PART_TYPES = ("ECONOMY", "STANDARD", "PROMO", "MEDIUM", "SMALL", "LARGE")
 
@@ -41,28 +42,46 @@ def circuits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def projects(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Orders as projects of their customer, one row per order line with the part's type.
+# above so many rows a dimension is not broadcast, and the lines that meet it are dealt over tasks
+LARGE_DIMENSION = 2_000_000
+
+
+def all_projects(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as projects of their customer, one row per order line with the part's type, told apart by status.
 
-    Orders of priority 5-LOW are closed versions; lines with tax 0 have no feeder.
+    Orders of priority 5-LOW are closed versions; lines with tax 0 have no feeder. Lines meet their orders last,
+    dealt over tasks by their number; orders are as narrow as the result needs by then.
     """
-    o, li, p = (table(spark, sf, t) for t in ("orders", "lineitem", "part"))
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    rows = (
-        li.join(p, li.l_partkey == p.p_partkey)
-        .join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, "o_custkey")
-        .select(
-            F.when(F.col("l_tax") > 0, F.col("o_custkey")).alias("feeder_id"),
-            F.col("c_mktsegment").alias("utility_id"),
-            F.concat_ws("_", F.col("o_orderkey"), F.col("p_type")).alias("der_id"),
-            F.col("p_type").alias("der_type"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("nameplate_rating_kw"),
-            F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderdate")).alias("__END_AT"),
-            "o_orderstatus",
-        )
+    o, li, p, c = (table(spark, sf, t) for t in ("orders", "lineitem", "part", "customer"))
+    n_lines = li.count()
+    if p.count() > LARGE_DIMENSION:
+        li = dealt(li, ["l_partkey"], n_lines)
+    if c.count() > LARGE_DIMENSION:
+        o = dealt(o, ["o_custkey"], o.count())
+    orders = o.join(c, o.o_custkey == c.c_custkey).select(
+        "o_orderkey",
+        "o_custkey",
+        "c_mktsegment",
+        F.when(F.col("o_orderstatus") == "F", "installed").otherwise("planned").alias("installation_status"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderdate")).alias("__END_AT"),
     )
-    return rows.filter("o_orderstatus = 'F'"), rows.filter("o_orderstatus <> 'F'")
+    lines = li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", "l_tax", "l_quantity", "p_type")
+    lines = dealt(lines, ["l_orderkey"], n_lines)
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.when(F.col("l_tax") > 0, F.col("o_custkey")).alias("feeder_id"),
+        F.col("c_mktsegment").alias("utility_id"),
+        F.concat_ws("_", F.col("o_orderkey"), F.col("p_type")).alias("der_id"),
+        F.col("p_type").alias("der_type"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("nameplate_rating_kw"),
+        "__END_AT",
+        "installation_status",
+    )
+
+
+def projects(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The same as installed and planned rows."""
+    rows = all_projects(spark, sf)
+    return tuple(rows.filter(F.col("installation_status") == s).drop("installation_status") for s in ("installed", "planned"))
 
 
 def orders_as_projects(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +218,7 @@ summary AS (
 
 @bound("feeder_der_summary", SUMMARY_SQL + "SELECT * FROM summary")
 def feeder_der_summary(spark, sf):
-    return to_doubles(serving.feeder_der_summary(*projects(spark, sf), technologies=PART_TYPES))
+    return to_doubles(serving.feeder_der_summary(all_projects(spark, sf), technologies=PART_TYPES))
 
 
 MAP_SQL = SUMMARY_SQL + f"""
@@ -223,7 +242,7 @@ layer AS (
 
 
 def map_layer(spark: SparkSession, sf: str) -> DataFrame:
-    summary = serving.feeder_der_summary(*projects(spark, sf), technologies=PART_TYPES)
+    summary = serving.feeder_der_summary(all_projects(spark, sf), technologies=PART_TYPES)
     layer = serving.feeder_map_layer(circuits(spark, sf), summary)
     mw = F.round(F.col("available_capacity_mw").cast("double"), 3)
     return to_doubles(layer.withColumn("available_capacity_mw", mw))
@@ -256,7 +275,7 @@ WITH {DER_SQL}
 SELECT der_type, status AS installation_status, count(*) AS der_count, CAST(sum(kw) AS DOUBLE) AS capacity_kw
 FROM der GROUP BY 1, 2""")
 def technology_distribution(spark, sf):
-    return to_doubles(serving.technology_distribution(*projects(spark, sf)))
+    return to_doubles(serving.technology_distribution(all_projects(spark, sf)))
 
 
 @bound("hybrid_projects", """
@@ -266,8 +285,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_o
      JOIN customer ON o_custkey = c_custkey
 GROUP BY 1, 2 HAVING count(DISTINCT p_type) > 1""")
 def hybrid_projects(spark, sf):
-    installed, planned = projects(spark, sf)
-    return serving.hybrid_projects(installed.unionByName(planned))
+    return serving.hybrid_projects(all_projects(spark, sf), table(spark, sf, "lineitem").count())
 
 
 @bound("project_counts", """
@@ -277,8 +295,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_o
      JOIN customer ON o_custkey = c_custkey
 WHERE l_tax > 0 GROUP BY 1, 2""")
 def project_counts(spark, sf):
-    installed, planned = projects(spark, sf)
-    return serving.project_counts(installed.unionByName(planned))
+    return serving.project_counts(all_projects(spark, sf))
 
 
 @bound("orphan_orders", """
@@ -295,6 +312,5 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_o
      JOIN customer ON o_custkey = c_custkey
 WHERE NOT l_tax > 0 GROUP BY 1""")
 def unresolved_projects(spark, sf):
-    installed, planned = projects(spark, sf)
-    rows = serving.unresolved(installed.unionByName(planned), ["feeder_id"])
+    rows = serving.unresolved(all_projects(spark, sf), ["feeder_id"])
     return rows.groupBy("utility_id").agg(F.count("*").alias("unresolved"))

@@ -58,3 +58,40 @@ def test_dealt_sets_the_number_of_tasks(spark):
     assert dealt(df, ["id"], 5000, 5000) is df
     parts = dealt(df, ["id"], 5000, 250).groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == 20
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["hybrid_projects", "technology_distribution", "project_counts", "unresolved_projects"])
+def test_projects_are_read_once(spark, name):
+    from bindings import QUERIES
+
+    plan = _plan(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0]
+    assert plan.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["feeder_der_summary", "feeder_map_layer"])
+def test_summaries_read_projects_once_per_aggregate(spark, name):
+    from bindings import QUERIES
+
+    assert _plan(QUERIES[name](spark, SMALL)).split("== Initial Plan ==")[0].count("lineitem.parquet") == 2
+
+
+def test_one_frame_of_both_kinds_gives_the_same(spark):
+    from bindings.serving import PART_TYPES, all_projects, projects
+    from tierstone.operators import serving
+
+    both, apart = all_projects(spark, SMALL), projects(spark, SMALL)
+    for op in (serving.technology_distribution, lambda *d: serving.feeder_der_summary(*d, technologies=PART_TYPES)):
+        assert sorted(map(str, op(both).collect())) == sorted(map(str, op(*apart).collect()))
+
+
+def test_hybrid_projects_of_many_rows_keep_their_tasks(spark):
+    from bindings.serving import all_projects
+    from tierstone.operators import serving
+
+    der = all_projects(spark, SMALL)
+    plain, sized = serving.hybrid_projects(der), serving.hybrid_projects(der, 10_000_000)
+    assert sorted(plain.collect()) == sorted(sized.collect())
+    assert "20), REPARTITION_BY_NUM" in _plan(sized)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierstone.operators.history import filter_current
 from tierstone.operators.reshape import pivot_totals
-from tierstone.operators.skew import rank_within, top_within
+from tierstone.operators.skew import dealt, rank_within, top_within
 from tierstone.vocab import TECHNOLOGIES
 
 FEEDER_KEY = ["feeder_id", "utility_id"]
@@ -19,9 +19,14 @@ def or_zero(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def current_der(installed: DataFrame, planned: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Open installed and planned rows in one frame, told apart by ``installation_status``."""
+def current_der(installed: DataFrame, planned: DataFrame | None, extra: Sequence[str] = ()) -> DataFrame:
+    """Open installed and planned rows in one frame, told apart by ``installation_status``.
+
+    Without ``planned`` the first frame has rows of both kinds and that column already, and is read once.
+    """
     columns = [*FEEDER_KEY, "nameplate_rating_kw", *extra]
+    if planned is None:
+        return filter_current(installed).select(*columns, "installation_status")
     tagged = [
         filter_current(df).select(*columns, F.lit(status).alias("installation_status"))
         for df, status in ((installed, "installed"), (planned, "planned"))
@@ -80,9 +85,9 @@ def feeders_with_capacity(circuits: DataFrame, installed: DataFrame, planned: Da
 
 
 def feeder_der_summary(
-    installed: DataFrame, planned: DataFrame, technologies: Sequence[str] = TECHNOLOGIES
+    installed: DataFrame, planned: DataFrame | None = None, technologies: Sequence[str] = TECHNOLOGIES
 ) -> DataFrame:
-    """Counts and capacity per feeder, by status and by technology.
+    """Counts and capacity per feeder, by status and by technology; for one frame of both see :func:`current_der`.
 
     Rows shrink to at most one per feeder and technology before the wide pivot, so the two
     columns per technology never travel through a shuffle of raw rows.  Distinct projects are
@@ -186,8 +191,8 @@ def der_of_feeder(installed: DataFrame, planned: DataFrame, feeder_id: str) -> D
     return rows.filter(F.col("feeder_id") == feeder_id)
 
 
-def technology_distribution(installed: DataFrame, planned: DataFrame) -> DataFrame:
-    """Projects and capacity per technology and status over all feeders."""
+def technology_distribution(installed: DataFrame, planned: DataFrame | None = None) -> DataFrame:
+    """Projects and capacity per technology and status over all feeders; for one frame of both see :func:`current_der`."""
     return (
         current_der(installed, planned, extra=["der_type"])
         .groupBy("der_type", "installation_status")
@@ -210,10 +215,12 @@ def project_id(der_id: Column) -> Column:
     return F.regexp_replace(der_id, r"_[^_]*$", "")
 
 
-def hybrid_projects(der: DataFrame) -> DataFrame:
-    """Projects with more than one technology."""
+def hybrid_projects(der: DataFrame, rows: int = 0) -> DataFrame:
+    """Projects with more than one technology; ``rows``, about how many there are in ``der``, sizes the tasks."""
+    named = der.select("utility_id", project_id(F.col("der_id")).alias("project_id"), "der_type")
     return (
-        der.groupBy("utility_id", project_id(F.col("der_id")).alias("project_id"))
+        dealt(named, ["utility_id", "project_id"], rows)
+        .groupBy("utility_id", "project_id")
         .agg(F.count_distinct("der_type").alias("technology_count"))
         .filter("technology_count > 1")
     )
