@@ -95,3 +95,27 @@ def test_hybrid_projects_of_many_rows_keep_their_tasks(spark):
     plain, sized = serving.hybrid_projects(der), serving.hybrid_projects(der, 10_000_000)
     assert sorted(plain.collect()) == sorted(sized.collect())
     assert "20), REPARTITION_BY_NUM" in _plan(sized)
+
+
+def test_ranks_by_steps_are_the_same(spark):
+    from tierstone.sources.layout import range_rank, with_ranks
+
+    r = random.Random(5)
+    df = spark.createDataFrame([(r.choice([None, r.randrange(60)]), r.choice("abcdefgh")) for _ in range(400)], "n int, `t.x` string")
+    for n in (0, 1, 2, 3, 7, 8, 20, 255):
+        borders = sorted(r.randrange(60) for _ in range(n))
+        texts = sorted(r.choice("bdfh") for _ in range(min(n, 5)))
+        got = with_ranks(df, {"_a": ("n", borders), "_b": ("t.x", texts)})
+        bad = got.filter((F.col("_a") != range_rank(F.col("n"), borders)) | (F.col("_b") != range_rank(F.col("`t.x`"), texts)))
+        assert got.filter("_a IS NULL OR _b IS NULL").isEmpty() and bad.isEmpty(), n
+
+
+def test_spans_cut_names_per_file(spark, tmp_path, monkeypatch):
+    from tierstone.sources import layout
+
+    path = f"{tmp_path}/a b%20"
+    spark.range(2000).selectExpr("id", "id % 50 AS g").write.parquet(path)
+    seen = []
+    monkeypatch.setattr(layout, "plain_path", lambda c: seen.append(str(c)) or c)
+    layout.write_spans(spark, path, ["g"])
+    assert seen and not any("_metadata" in c for c in seen)

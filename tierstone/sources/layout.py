@@ -60,6 +60,23 @@ def range_rank(column: Column, borders: list) -> Column:
     return F.aggregate(F.array(*steps), F.lit(0), lambda low, s: low + F.when(F.get(points, low + s - 1) <= column, s).otherwise(0))
 
 
+def with_ranks(df: DataFrame, borders: Mapping[str, tuple[str, list]]) -> DataFrame:
+    """Add range ranks as columns (name -> column, borders), a step of all the binary searches at a time.
+
+    The same numbers as :func:`range_rank`, for many rows: each step is one comparison of compiled code.
+    """
+    at = {n: 0 for n in borders}
+    for step in (1 << b for b in reversed(range(max((len(p).bit_length() for _, p in borders.values()), default=0)))):
+        moved = {}
+        for n, (c, points) in borders.items():
+            if step <= len(points):
+                low = F.col(n) if at[n] else F.lit(0)
+                above = F.get(F.array(*[F.lit(b) for b in points]), low + (step - 1)) <= F.col(f"`{c}`")
+                moved[n], at[n] = low + F.when(above, step).otherwise(0), 1
+        df = df.withColumns(moved)
+    return df.withColumns({n: F.lit(0) for n, found in at.items() if not found})
+
+
 def interleaved(ranks: Sequence[Column], bits: int) -> Column:
     """One number out of the bits of several, the highest bits of all first: near in it is near in each of them."""
     parts = [
@@ -80,19 +97,22 @@ def write_interleaved(df: DataFrame, path: str, by: Sequence[str], ranges: int =
         raise ValueError("one to seven columns")
     rows = cut_lineage(df)
     bits = (ranges - 1).bit_length()
-    curve = interleaved([range_rank(F.col(c), range_borders(rows, c, ranges)) for c in by], bits)
+    ranks = {f"_rank{i}": (c, range_borders(rows, c, ranges)) for i, c in enumerate(by)}
+    curve = interleaved([F.col(n) for n in ranks], bits)
     spread = F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema if _hashable(f.dataType)])
-    placed = rows.withColumn("_at", curve).repartitionByRange("_at", spread).sortWithinPartitions("_at", *by)
+    placed = with_ranks(rows, ranks).withColumn("_at", curve).drop(*ranks).repartitionByRange("_at", spread).sortWithinPartitions("_at", *by)
     placed.drop("_at").write.mode("overwrite").parquet(path)
     write_spans(df.sparkSession, path, by)
 
 
 def write_spans(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
     """One row per file of a folder: its name, its rows, the least and greatest value and the NULLs of some columns."""
-    name = F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"([^/]*)$", 1)
-    found = spark.read.parquet(path).groupBy(name.alias("file")).agg(
+    name = F.regexp_extract(plain_path(F.col("_path")), r"([^/]*)$", 1)
+    # the name is cut out of the path once per file, and not of every row
+    found = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("_path")).agg(
         F.count("*").alias("n"), *[F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.count_if(F.col(c).isNull()).alias("nulls")).alias(c) for c in columns]
     )
+    found = found.select(name.alias("file"), *[c for c in found.columns if c != "_path"])
     found.coalesce(1).write.mode("overwrite").parquet(f"{path}/{SPANS}")
 
 
