@@ -119,3 +119,29 @@ def test_spans_cut_names_per_file(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout, "plain_path", lambda c: seen.append(str(c)) or c)
     layout.write_spans(spark, path, ["g"])
     assert seen and not any("_metadata" in c for c in seen)
+
+
+def test_hot_keys_are_named_only_in_full_buckets(spark, monkeypatch):
+    from tierstone.operators import skew
+
+    df = spark.range(1000).selectExpr("id % 10 AS k", "id AS seq")
+    asked = []
+    plain = skew.heavy_keys
+    monkeypatch.setattr(skew, "heavy_keys", lambda *a: asked.append(plain(*a)) or asked[-1])
+    assert skew.find_hot_keys(df, ["k"], "seq", 100) is None and asked == [(1000, None)]
+    hot = skew.find_hot_keys(df, ["k"], "seq", 99)
+    assert sorted(r.k for r in hot.frame.collect()) == list(range(10))
+
+
+def test_index_names_are_cut_once_per_file(spark, tmp_path, monkeypatch):
+    from tierstone.sources import snapshots
+
+    seen = []
+    plain = snapshots.plain_path
+    monkeypatch.setattr(snapshots, "plain_path", lambda c: seen.append(str(c)) or plain(c))
+    runs = snapshots.SnapshotTable(f"{tmp_path}/a b")
+    rows = spark.range(500).selectExpr("id % 90 AS k", "id AS n")
+    runs.publish(rows, "r 1", index_by=["k"])
+    assert seen and not any("_metadata" in c for c in seen)
+    wanted = spark.createDataFrame([(3,), (77,)], "k long")
+    assert runs.read_keys(spark, wanted, ["k"]).count() == rows.filter("k IN (3, 77)").count()

@@ -105,9 +105,11 @@ class SnapshotTable:
     def _write_index(self, spark: SparkSession, run_id: str, keys: Sequence[str]) -> None:
         """One row per file: its name below the run's folder and the buckets it holds. Reads the key columns only."""
         written = spark.read.parquet(self.run_path(run_id))
-        name = F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"/data/run_id=[^/]*/(.*)$", 1)
-        held = written.select(name.alias("file"), key_bucket(keys).alias("b")).groupBy("file").agg(F.collect_set("b").alias("buckets"))
-        held.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/run_id={run_id}")
+        # distinct buckets before any set is collected, and the name cut out of the path once per file
+        held = written.select(F.col("_metadata.file_path").alias("_path"), key_bucket(keys).alias("b")).distinct()
+        held = held.groupBy("_path").agg(F.collect_set("b").alias("buckets"))
+        name = F.regexp_extract(plain_path(F.col("_path")), r"/data/run_id=[^/]*/(.*)$", 1)
+        held.select(name.alias("file"), "buckets").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/run_id={run_id}")
 
     def read(self, spark: SparkSession, run_id: str | None = None) -> DataFrame:
         """One run, the newest by default."""

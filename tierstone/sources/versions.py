@@ -124,7 +124,8 @@ class VersionTable:
                 continue
             # the version is part of the folder's name
             rows = spark.read.schema(shape).parquet(*[f"{self.root}/{p}" for p, _ in files])
-            number = F.regexp_extract(F.col("_metadata.file_path"), r"/v(\d+)-[^/]*/[^/]*$", 1).cast("long")
+            folder = F.split_part(F.col("_metadata.file_path"), F.lit("/"), F.lit(-2))
+            number = F.substring_index(folder, "-", 1).substr(F.lit(2), F.lit(20)).cast("long")
             rows = rows.withColumn(VERSION, number)
             frames.append(rows if wanted is None else rows.filter(F.col(BUCKET).isin(wanted)))
         if not frames:
